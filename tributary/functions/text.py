@@ -34,7 +34,7 @@ def _fold_rules() -> tuple[str, str, dict[str, str], str]:
 
     One-to-one folds and deletions cover the whole code space. Expansions to
     several characters are replaced for the Latin range, punctuation, letterlike
-    symbols and Latin ligatures; the rest is returned as a regex class body.
+    symbols and Latin ligatures; the characters of the rest are only listed.
     """
     source, target, dropped, expanded, other = [], [], [], {}, []
     for point in range(0x80, sys.maxunicode + 1):
@@ -52,24 +52,21 @@ def _fold_rules() -> tuple[str, str, dict[str, str], str]:
         elif point < 0x250 or 0x2000 <= point < 0x2190 or 0xFB00 <= point <= 0xFB06:
             expanded[char] = bare
         else:
-            other.append(point)
-    return "".join(source + dropped), "".join(target), expanded, _ranges(other)
+            other.append(char)
+    return "".join(source + dropped), "".join(target), expanded, "".join(other)
 
 
-def _ranges(points: Sequence[int]) -> str:
-    """Code points as the body of a Java character class, runs joined."""
-    parts, start = [], None
-    for here, following in zip(points, [*points[1:], -1]):
-        start = here if start is None else start
-        if following != here + 1:
-            parts.append(f"\\x{{{start:x}}}-\\x{{{here:x}}}")
-            start = None
-    return "".join(parts)
+def _has_any(col: Column, characters: str) -> Column:
+    """Whether a text holds one of many characters.
+
+    One table lookup per character; a regex class tests its members in turn.
+    """
+    return F.length(F.translate(col, characters, "")) < F.length(col)
 
 
 def strip(col: Column) -> Column:
     """Trim all Unicode white space at both ends."""
-    return F.trim(col, F.lit(WHITESPACE))
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def fold(col: Column, exact: bool = False) -> Column:
@@ -84,11 +81,11 @@ def fold(col: Column, exact: bool = False) -> Column:
     wide = F.octet_length(col) > F.length(col)
     pairs = F.from_json(F.lit(json.dumps(list(expanded.items()))), "array<array<string>>")
     spelled = F.aggregate(pairs, col, lambda text, pair: F.replace(text, pair[0], pair[1]))
-    spelled = F.when(col.rlike(f"[{''.join(expanded)}]"), spelled).otherwise(col)
+    spelled = F.when(_has_any(col, "".join(expanded)), spelled).otherwise(col)
     folded = strip(F.lower(F.when(wide, F.translate(spelled, source, target)).otherwise(col)))
     if not exact:
         return folded
-    rare = F.when(wide & col.rlike(f"[{other}]"), col)
+    rare = F.when(wide & _has_any(col, other), col)
     return F.coalesce(_arrow_fold()(rare), folded)
 
 

@@ -34,13 +34,13 @@ def number_distinct(
     df: DataFrame,
     columns: Sequence[str],
     number: str,
-    start: int = 1,
+    start: int | Column = 1,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> Numbered:
     """Distinct rows of some columns, numbered without gaps in sorted order, nulls first.
 
     The distinct rows are checkpointed, so the input is read once and a lost
-    executor cannot change the numbers. Small results are numbered by one sorted
+    executor cannot change the numbers. ``start`` may be a scalar subquery. Small results are numbered by one sorted
     task. Larger ones are range-partitioned, each partition is numbered on its
     own and moved up by the rows of the partitions before it.
     """
@@ -55,7 +55,9 @@ def number_distinct(
     return Numbered(table.select(number, *columns), rows)
 
 
-def _number_ranges(df: DataFrame, columns: Sequence[str], number: str, start: int) -> DataFrame:
+def _number_ranges(
+    df: DataFrame, columns: Sequence[str], number: str, start: int | Column
+) -> DataFrame:
     # Range boundaries come from a sample, so they are fixed on storage first.
     ranged = (
         df.repartitionByRange(*columns)

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
+from tributary.functions.recode import literal
 from tributary.operators.keys import null_safe_match
 from tributary.operators.profile import long_form
 from tributary.session import path_exists
@@ -77,28 +78,26 @@ def _value_sets(df: DataFrame, columns: Sequence[str], most: int) -> list[tuple[
     return [(r["column"], r["members"]) for r in sets.collect() if len(r["members"]) <= most]
 
 
-def _outcome(df: DataFrame, rule) -> tuple[Column, Column]:
-    """Aggregates (observed, passed) of one rule."""
-    if rule["kind"] == "row_count":
-        seen = F.count("*")
-        ok = seen >= int(rule["low"] or 0)
-        if rule["high"] is not None:
-            ok = ok & (seen <= int(rule["high"]))
-        return seen.cast("string"), ok
+def _outcome(df: DataFrame, rule: Row) -> tuple[str, str]:
+    """SQL aggregates (observed, ok) of one rule."""
+    name, kind = f"`{rule['column']}`", rule["kind"]
+    if kind == "row_count":
+        bounds = [("count(*) >= ", rule["low"]), ("count(*) <= ", rule["high"])]
+        return "count(*)", " AND ".join(text + b for text, b in bounds if b is not None)
     if rule["column"] not in df.columns:
-        return F.max(F.lit("no such column")), F.bool_and(F.lit(False))
-    value = F.col(rule["column"])
-    if rule["kind"] == "null_share":
-        share = F.coalesce(F.try_divide(F.count_if(value.isNull()), F.count("*")), F.lit(0.0))
-        return share.cast("string"), share <= float(rule["high"])
-    if rule["kind"] == "value_set":
-        bad = F.count_if(~value.isin(list(rule["members"])))
-        return bad.cast("string"), bad == 0
-    kind = "int" if rule["kind"] == "length" else df.schema[rule["column"]].dataType
-    value = F.length(value) if rule["kind"] == "length" else value
-    low, high = F.lit(rule["low"]).cast(kind), F.lit(rule["high"]).cast(kind)
-    bad = F.count_if(~value.between(low, high))
-    return bad.cast("string"), bad == 0
+        return "max('no such column')", "bool_and(false)"
+    if kind == "null_share":
+        share = f"coalesce(try_divide(count_if({name} IS NULL), count(*)), 0D)"
+        return share, f"{share} <= {float(rule['high'])!r}D"
+    if kind == "value_set":
+        members = ", ".join(map(literal, rule["members"]))
+        broken = f"count_if({name} NOT IN ({members}))"
+    else:
+        cast = "int" if kind == "length" else df.schema[rule["column"]].dataType.simpleString()
+        value = f"length({name})" if kind == "length" else name
+        low, high = (f"cast({literal(rule[end])} AS {cast})" for end in ("low", "high"))
+        broken = f"count_if({value} NOT BETWEEN {low} AND {high})"
+    return broken, f"{broken} = 0"
 
 
 def validate(df: DataFrame, rules: DataFrame) -> DataFrame:
@@ -107,23 +106,13 @@ def validate(df: DataFrame, rules: DataFrame) -> DataFrame:
     All rules are evaluated by one aggregate over the table. ``observed`` is the
     row count, the null share, or the number of rows that break the rule.
     """
-    listed = rules.collect()
-    cells = []
-    for rule in listed:
+    checks, cells = [], []
+    for i, rule in enumerate(rules.collect()):
         observed, ok = _outcome(df, rule)
-        cells.append(F.struct(observed.alias("observed"), F.coalesce(ok, F.lit(False)).alias("ok")))
-    wide = df.agg(*[cell.alias(f"r{i}") for i, cell in enumerate(cells)])
-    outcome = [
-        F.struct(
-            F.lit(rule["rule"]).alias("rule"),
-            F.lit(rule["column"]).cast("string").alias("column"),
-            F.lit(rule["kind"]).alias("kind"),
-            F.col(f"r{i}.observed").alias("observed"),
-            F.col(f"r{i}.ok").alias("ok"),
-        )
-        for i, rule in enumerate(listed)
-    ]
-    return wide.select(F.explode(F.array(*outcome)).alias("o")).select("o.*")
+        checks += [F.expr(f"string({observed}) AS seen{i}"), F.expr(f"coalesce({ok}, false) AS ok{i}")]
+        named = ", ".join(f"{literal(rule[c])} AS {c}" for c in ("rule", "column", "kind"))
+        cells.append(f"struct({named}, seen{i} AS observed, ok{i} AS ok)")
+    return df.agg(*checks).selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def settled(outcome: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tributary.operators.keys import (
     null_safe_match,
     number_distinct,
 )
-from tributary.session import path_exists
+from tributary.session import path_exists, shared_dir
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,20 @@ def build_dimension(df: DataFrame, dim: Dimension) -> Numbered:
     return number_distinct(df, dim.columns, dim.id)
 
 
+def build_dimensions(
+    df: DataFrame, dims: Sequence[Dimension]
+) -> list[tuple[Dimension, Numbered]]:
+    """Several dimensions from one pass over the input.
+
+    The combinations of all natural keys are stored first; each dimension is
+    then made from them. Worth it when the input is a costly query.
+    """
+    columns = list(dict.fromkeys(c for dim in dims for c in dim.columns))
+    shared_dir(df.sparkSession)
+    combinations = df.select(*columns).distinct().checkpoint()
+    return [(dim, build_dimension(combinations, dim)) for dim in dims]
+
+
 def date_dimension(df: DataFrame, column: str) -> DataFrame:
     """Distinct dates with year and month; the date is its own key, null has no row."""
     day = F.to_date(column)
@@ -82,7 +96,7 @@ def new_members(existing: DataFrame, df: DataFrame, dim: Dimension) -> Numbered:
     fresh = incoming.join(
         existing, null_safe_match(incoming, existing, dim.columns), "left_anti"
     )
-    highest = existing.agg(F.coalesce(F.max(dim.id), F.lit(0))).first()[0]
+    highest = existing.agg(F.coalesce(F.max(dim.id), F.lit(0))).scalar()
     return number_distinct(fresh, dim.columns, dim.id, start=highest + 1)
 
 
@@ -148,7 +162,10 @@ class StarStore:
         dates.write.mode("append").parquet(f"{self.path}/dates")
 
     def load(self, df: DataFrame, run: str) -> None:
-        """Store a batch: new dimension members, dates, facts and rejected rows."""
+        """Store a batch: new dimension members, dates, facts and rejected rows.
+
+        The batch is read once per table, so it should be a stored one.
+        """
         tables = [(dim, self._grow(df, dim)) for dim in self.dims]
         self._grow_dates(df)
         fact, rejected = build_fact(df, tables, self.date, self.measures, self.integers)

@@ -9,6 +9,7 @@ from tributary.operators.star import Dimension
 from tributary.plans import reports
 from tributary.plans.catalogue.registry import longs, query, table
 from tributary.session import scratch_path
+from tributary.sources.files import write_parquet
 
 KIND = Dimension("kind", "id_kind", ("status", "priority"))
 SEGMENT = Dimension("segment", "id_segment", ("segment",))
@@ -139,7 +140,7 @@ WHERE b.day IS NOT NULL
 @query("fact_build", FACT_SQL)
 def fact_build(spark, sf):
     rows = batch(spark, sf)
-    dims = [(dim, star.build_dimension(rows, dim).for_join()) for dim in (KIND, SEGMENT)]
+    dims = [(dim, ids.for_join()) for dim, ids in star.build_dimensions(rows, [KIND, SEGMENT])]
     fact, _ = star.build_fact(rows, dims, "day", ["total"], integers=["total"])
     return fact
 
@@ -156,9 +157,10 @@ def star_load(spark, sf):
     store = star.StarStore(
         spark, scratch_path(spark, "order-star"), (KIND, SEGMENT), "day", ("total",), ("total",)
     )
-    rows = batch(spark, sf)
-    store.load(rows, "day-1")
-    store.load(rows, "day-1")
+    handed = scratch_path(spark, "order-batch")
+    write_parquet(batch(spark, sf), handed)
+    store.load(spark.read.parquet(handed), "day-1")
+    store.load(spark.read.parquet(handed), "day-1")
     return store.table("facts").drop("run")
 
 

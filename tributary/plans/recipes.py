@@ -14,15 +14,16 @@ from tributary.functions.recode import code_label, recode
 from tributary.functions.text import compact_range
 from tributary.operators import aggregate, clean, shape
 from tributary.plans import vocabulary as v
+from tributary.session import shared_dir
 
 
 @dataclass(frozen=True)
 class Recipe:
     """How one source becomes harmonised rows.
 
-    Steps run in the order of the fields: names, constants, folding, unknowns,
-    code labels and fallbacks, reconciliation, recodes, range labels, typing,
-    grouping. A step skips the columns a table lacks.
+    Steps run in the order of the fields: names, constants, collapsing, folding,
+    unknowns, code labels and fallbacks, reconciliation, recodes, range labels,
+    typing, grouping. A step skips the columns a table lacks.
     """
 
     tag: str
@@ -30,6 +31,10 @@ class Recipe:
     renames: Mapping[str, str] = field(default_factory=dict)
     drops: Sequence[str] = ()
     constants: Mapping[str, str] = field(default_factory=dict)
+    # For sources with a row per record: equal raw rows are counted first and
+    # stored, so cleaning sees each combination once and no step reads the
+    # source a second time.
+    collapse: bool = False
     fold_only_if_needed: bool = False
     unknowns: Sequence[str] = tuple(v.UNKNOWN_VARIANTS)
     codes: Mapping[str, Mapping[int, str]] = field(default_factory=dict)
@@ -53,6 +58,7 @@ CITY = Recipe(
     renames={"classification": "age_range"},
     drops=["total_victim"],
     constants={"state_dept": "valle del cauca"},
+    collapse=True,
     fold_only_if_needed=True,
     recodes={
         "ethnic_group": v.ETHNIC_GROUP_CITY,
@@ -93,13 +99,40 @@ NATIONAL = Recipe(
 )
 
 
-def clean_rows(df: DataFrame, recipe: Recipe) -> DataFrame:
-    """A source's rows with harmonised names, labels and types, not yet grouped."""
+WEIGHT = "rows"
+
+
+def used_columns(recipe: Recipe) -> list[str]:
+    """Columns that can reach the result, by their harmonised names."""
+    extra = [*recipe.codes, *recipe.fallbacks.values()]
+    if recipe.reconcile:
+        extra += [recipe.reconcile["code"], recipe.reconcile["name"]]
+    if recipe.measure:
+        extra.append(recipe.measure)
+    return list(dict.fromkeys([*v.GRAIN, *extra]))
+
+
+def named_rows(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """A source's raw rows under harmonised names, tagged."""
     if recipe.names:
         df = recipe.names(df)
     df = shape.rename(df, recipe.renames)
     df = shape.drop(df, *recipe.drops)
-    df = shape.tag(shape.with_constants(df, recipe.constants), recipe.tag)
+    return shape.tag(shape.with_constants(df, recipe.constants), recipe.tag)
+
+
+def clean_rows(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """A source's rows with harmonised names, labels and types, not yet grouped.
+
+    Collapsed rows carry the number of raw rows they stand for.
+    """
+    df = named_rows(df, recipe)
+    if recipe.collapse:
+        # The year is derived from the date again; a raw one would split groups.
+        derived = ["year", "month"] if v.DATE in df.columns else []
+        columns = [c for c in used_columns(recipe) if c not in derived]
+        shared_dir(df.sparkSession)
+        df = aggregate.collapse(df, columns, WEIGHT).checkpoint()
     df = clean.fold_text(df, only_if_needed=recipe.fold_only_if_needed)
     if recipe.fallback_first:
         df = _label_codes(df, recipe)
@@ -138,11 +171,12 @@ def apply_recipe(df: DataFrame, recipe: Recipe, flag_mode: str = "reference") ->
     """A source's rows harmonised and grouped: a count, or the sum of its measure."""
     rows = clean_rows(df, recipe)
     labels = (v.REPORTED, v.UNKNOWN)
+    weight = WEIGHT if recipe.collapse else None
     if recipe.measure:
         return aggregate.group_sum(
-            rows, v.GRAIN, recipe.measure, v.MEASURE, v.FLAG, labels, flag_mode
+            rows, v.GRAIN, recipe.measure, v.MEASURE, v.FLAG, labels, flag_mode, weight
         )
-    counted = aggregate.group_count(rows, v.GRAIN, v.MEASURE)
+    counted = aggregate.group_count(rows, v.GRAIN, v.MEASURE, weight)
     return counted.withColumn(v.FLAG, F.lit(v.REPORTED))
 
 

@@ -9,7 +9,7 @@ from tributary.functions.dates import completed_years, month_name_date
 from tributary.functions.numbers import additive_index, bounded_label, strict_integer
 from tributary.functions.recode import band, lookup, points, recode
 from tributary.operators import clean, encode, shape
-from tributary.operators.star import Dimension, build_dimension, build_fact
+from tributary.operators.star import Dimension, build_dimensions, build_fact
 from tributary.plans import vocabulary as v
 
 POINTS = ["p_age", "p_sex", "p_ethnicity", "p_fact"]
@@ -73,7 +73,7 @@ def encoded_records(df: DataFrame, sexes=("Femenino", "Masculino")) -> DataFrame
 
 def record_star(df: DataFrame) -> dict[str, DataFrame]:
     """Dimensions and fact of scored records; the fact repeats the table's row count."""
-    built = [(dim, build_dimension(df, dim)) for dim in RECORD_DIMS]
+    built = build_dimensions(df, RECORD_DIMS)
     tables = {dim.name: numbered.table for dim, numbered in built}
     tables["registration_date"] = tables["registration_date"].withColumn("year", F.year(v.DATE))
     fact, _ = build_fact(
@@ -81,6 +81,6 @@ def record_star(df: DataFrame) -> dict[str, DataFrame]:
     )
     keys = [dim.id for dim in RECORD_DIMS]
     fact = fact.select(*keys, "vulnerability_index")
-    return {**tables, "victims": fact.withColumn(v.MEASURE, df.agg(F.count("*")).scalar())}
+    return {**tables, "victims": shape.with_total_rows(fact, v.MEASURE)}
 
 

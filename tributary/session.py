@@ -29,6 +29,7 @@ def local_session(cores: str | int = "*", app: str = "tributary", **conf: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
