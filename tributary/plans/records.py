@@ -36,10 +36,25 @@ def typed_records(raw: DataFrame, date_format: str = "d-MMM-yyyy") -> DataFrame:
 
 
 def valid_records(df: DataFrame) -> DataFrame:
-    """Records with plausible dates; impossible ages are computed from the dates."""
+    """Records with plausible dates; impossible ages are computed from the dates.
+
+    The faults are counted as observed metrics of the job that filters. Filters
+    are not pushed below an observation, so each date is parsed once, not once
+    per condition.
+    """
+    born, processed = F.col("date_of_birth"), F.col(v.DATE)
+    df = df.observe(
+        "record faults",
+        F.count("*").alias("n_rows"),
+        F.count_if(~born.between(*map(F.lit, v.BIRTH_DATES))).alias("n_birth_invalid"),
+        F.count_if(born.isNull()).alias("n_birth_null"),
+        F.count_if(born > processed).alias("n_birth_later"),
+        F.count_if(processed < F.lit(v.FIRST_PROCESSING)).alias("n_too_early"),
+        F.count_if(processed > F.lit(v.LAST_PROCESSING)).alias("n_too_late"),
+    )
     df = clean.keep_range(df, "date_of_birth", *v.BIRTH_DATES)
     age = F.col("years_in_the_visitia")
-    years = completed_years(F.col("date_of_birth"), F.col(v.DATE)).cast("long")
+    years = completed_years(born, processed).cast("long")
     low, high = v.AGES
     impossible = (age < low) | (age > high)
     df = df.withColumn(
