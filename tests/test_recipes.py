@@ -93,23 +93,24 @@ def test_observed_flag(sources):
     assert ("tortura", v.UNKNOWN) in flags and ("desaparicion forzada", v.REPORTED) in flags
 
 
-@pytest.mark.parametrize(
-    "code, name, expected",
-    [
-        ("5", "Antioquia", ("05", "antioquia")),
-        ("5", None, ("05", "antioquia")),
-        (None, "BOGOTÁ, D.C.", ("11", "bogota, d.c.")),
-        ("00", "Sin definir", (v.UNKNOWN, v.UNKNOWN)),
-        ("42", None, (v.UNKNOWN, v.UNKNOWN)),
-        (None, "Atlántida", (v.UNKNOWN, v.UNKNOWN)),
-        ("5.0", "Nariño", (v.UNKNOWN, "narino")),
-        ("99", "Antioquia", ("99", "antioquia")),
-        ("-5", None, (v.UNKNOWN, v.UNKNOWN)),
-    ],
-)
-def test_departments(spark, code, name, expected):
-    df = spark.createDataFrame([national(code, name)], NATIONAL_COLUMNS)
-    assert picked(clean_rows(df, NATIONAL), "cod_estado_depto", "state_dept") == {expected}
+DEPARTMENT_CASES = [
+    ("5", "Antioquia", "05", "antioquia"),
+    ("5", None, "05", "antioquia"),
+    (None, "BOGOTÁ, D.C.", "11", "bogota, d.c."),
+    ("00", "Sin definir", v.UNKNOWN, v.UNKNOWN),
+    ("42", None, v.UNKNOWN, v.UNKNOWN),
+    (None, "Atlántida", v.UNKNOWN, v.UNKNOWN),
+    ("5.0", "Nariño", v.UNKNOWN, "narino"),
+    ("99", "Antioquia", "99", "antioquia"),
+    ("-5", None, v.UNKNOWN, v.UNKNOWN),
+]
+
+
+def test_departments(spark):
+    rows = [(*national(code, name)[:-1], str(i)) for i, (code, name, *_) in enumerate(DEPARTMENT_CASES)]
+    cleaned = clean_rows(spark.createDataFrame(rows, NATIONAL_COLUMNS), NATIONAL)
+    got = {int(r["vigencia"]): (r["cod_estado_depto"], r["state_dept"]) for r in cleaned.collect()}
+    assert got == {i: tuple(case[2:]) for i, case in enumerate(DEPARTMENT_CASES)}
 
 
 def test_sparse_source(spark):
@@ -169,34 +170,34 @@ def scored(spark, *rows):
     return records.scored_records(records.valid_records(records.typed_records(raw)))
 
 
-@pytest.mark.parametrize(
-    "cells, index, age",
-    [
-        ({}, 1 + 2 + 2 + 3, 30),
-        ({"years_in_the_visitia": "-5"}, 8, 30),
-        ({"years_in_the_visitia": "200", "date_of_birth": "6-ago-1990"}, 8, 29),
-        ({"years_in_the_visitia": "70", "sex": None}, 2 + 0 + 2 + 3, 70),
-        ({"victimization_fact": None}, 1 + 2 + 2 + 1, 30),
-        ({"ethnic_group": "Ninguno", "victimization_fact": "Tortura"}, 1 + 2, 30),
-    ],
-)
-def test_scores(spark, cells, index, age):
-    row = scored(spark, raw_record(**cells)).first()
-    assert (row["vulnerability_index"], row["years_in_the_visitia"], row["commune"]) == (index, age, "7")
+SCORE_CASES = [
+    ({}, 1 + 2 + 2 + 3, 30),
+    ({"years_in_the_visitia": "-5"}, 8, 30),
+    ({"years_in_the_visitia": "200", "date_of_birth": "6-ago-1990"}, 8, 29),
+    ({"years_in_the_visitia": "70", "sex": None}, 2 + 0 + 2 + 3, 70),
+    ({"victimization_fact": None}, 1 + 2 + 2 + 1, 30),
+    ({"ethnic_group": "Ninguno", "victimization_fact": "Tortura"}, 1 + 2, 30),
+]
 
 
-@pytest.mark.parametrize(
-    "cells",
-    [
+def test_scores(spark):
+    rows = [raw_record(**cells, code_sspm=str(i)) for i, (cells, *_) in enumerate(SCORE_CASES)]
+    got = {
+        r["code_sspm"]: (r["vulnerability_index"], r["years_in_the_visitia"], r["commune"])
+        for r in scored(spark, *rows).collect()
+    }
+    assert got == {i: (index, age, "7") for i, (_, index, age) in enumerate(SCORE_CASES)}
+
+
+def test_invalid_records_are_removed(spark):
+    invalid = [
         {"date_of_birth": "1-dic-1909"},
         {"date_of_birth": None},
         {"date_of_birth": "6-ago-2020"},
         {"date_processing": "4-jun-2012", "date_of_birth": "1-ene-1990"},
         dict.fromkeys(v.RAW_COLUMNS),
-    ],
-)
-def test_invalid_records_are_removed(spark, cells):
-    assert scored(spark, raw_record(**cells)).count() == 0
+    ]
+    assert scored(spark, *[raw_record(**cells) for cells in invalid]).count() == 0
 
 
 def test_record_star(spark):

@@ -10,23 +10,21 @@ from pyspark.sql import functions as F
 
 from tributary.session import shared_dir
 
-# Up to this many distinct rows one task may sort the whole table.
+# Up to these sizes one task may sort a whole table, and a join may broadcast it.
 ONE_TASK_ROWS = 100_000
+ONE_TASK_BYTES = 16 * 2**20
 
 
 @dataclass(frozen=True)
 class Numbered:
-    """A table with a number column, and its row count."""
+    """A table with a number column, its counted rows and whether it is small."""
 
     table: DataFrame
     rows: int
-
-    @property
-    def is_small(self) -> bool:
-        return self.rows <= ONE_TASK_ROWS
+    is_small: bool
 
     def for_join(self) -> DataFrame:
-        """The table, broadcast if its counted size allows; else Spark decides."""
+        """The table, broadcast if its measured size allows; else Spark decides."""
         return F.broadcast(self.table) if self.is_small else self.table
 
 
@@ -46,13 +44,15 @@ def number_distinct(
     """
     shared_dir(df.sparkSession)
     distinct = df.select(*columns).distinct().checkpoint()
-    rows = distinct.count()
-    if rows <= one_task_rows:
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in columns])
+    rows, size = distinct.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    is_small = rows <= one_task_rows and (size or 0) <= ONE_TASK_BYTES
+    if is_small:
         order = Window.orderBy(*columns)
         table = distinct.withColumn(number, F.row_number().over(order).cast("long") + (start - 1))
     else:
         table = _number_ranges(distinct, columns, number, start)
-    return Numbered(table.select(number, *columns), rows)
+    return Numbered(table.select(number, *columns), rows, is_small)
 
 
 def _number_ranges(

@@ -78,15 +78,15 @@ def date_dimension(df: DataFrame, column: str) -> DataFrame:
 def insert_ignore(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """Existing rows plus incoming rows whose key is new; one row per new key.
 
-    Of several incoming rows with one key the smallest is kept.
+    Of several incoming rows with one key the smallest is kept. They are reduced
+    before the join, so a hot key reaches it as one row.
     """
-    fresh = incoming.join(existing, null_safe_match(incoming, existing, key), "left_anti")
     rest = [c for c in incoming.columns if c not in key]
+    single = incoming.select(*key).distinct()
     if rest:
-        fresh = fresh.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__row"))
-        fresh = fresh.select(*key, "__row.*")
-    else:
-        fresh = fresh.distinct()
+        single = incoming.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__row"))
+        single = single.select(*key, "__row.*")
+    fresh = single.join(existing, null_safe_match(single, existing, key), "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
@@ -144,6 +144,11 @@ class StarStore:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def register_views(self) -> None:
+        """Every table of the star as a view of its name, for SQL reports."""
+        for name in [dim.name for dim in self.dims] + ["dates", "facts"]:
+            self.table(name).createOrReplaceTempView(name)
+
     def _stored(self, name: str) -> DataFrame | None:
         return self.table(name) if path_exists(self.spark, f"{self.path}/{name}") else None
 

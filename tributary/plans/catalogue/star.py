@@ -249,3 +249,27 @@ def report_mode_by_group(spark, sf):
     return reports.most_common(
         facts, nation, (dim, "act", "id_priority"), "n_name", "o_orderpriority"
     )
+
+
+SQL_REPORT = """
+SELECT d.year, n.n_name, COUNT(*) AS total
+FROM star_facts f
+JOIN star_nation n ON f.c_nationkey = n.n_nationkey
+JOIN star_dates d ON f.day = d.id_day
+GROUP BY d.year, n.n_name
+ORDER BY total DESC, n.n_name, d.year
+"""
+
+
+@query(
+    "report_sql",
+    f"""
+    SELECT CAST(year(o_orderdate) AS BIGINT) AS year, n_name, COUNT(*) AS total FROM {ORDER_STAR_SQL}
+    GROUP BY 1, 2 ORDER BY total DESC, n_name, year
+    """,
+)
+def report_sql(spark, sf):
+    """A report given as SQL text over the star's tables."""
+    fact, (dates, *_), (nation, *_) = order_star(spark, sf)
+    tables = {"star_facts": fact, "star_dates": longs(dates, "year"), "star_nation": nation}
+    return reports.sql_report(spark, tables, SQL_REPORT)

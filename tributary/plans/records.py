@@ -35,16 +35,16 @@ def typed_records(raw: DataFrame, date_format: str = "d-MMM-yyyy") -> DataFrame:
     )
 
 
-def valid_records(df: DataFrame) -> DataFrame:
+def valid_records(df: DataFrame, metrics: str = "record faults") -> DataFrame:
     """Records with plausible dates; impossible ages are computed from the dates.
 
-    The faults are counted as observed metrics of the job that filters. Filters
-    are not pushed below an observation, so each date is parsed once, not once
-    per condition.
+    The faults are counted as metrics, observed under the given name in the job
+    that filters. Filters are not pushed below an observation, so each date is
+    parsed once, not once per condition.
     """
     born, processed = F.col("date_of_birth"), F.col(v.DATE)
     df = df.observe(
-        "record faults",
+        metrics,
         F.count("*").alias("n_rows"),
         F.count_if(~born.between(*map(F.lit, v.BIRTH_DATES))).alias("n_birth_invalid"),
         F.count_if(born.isNull()).alias("n_birth_null"),

@@ -6,9 +6,9 @@ sees one row per key however often the key occurs, and only counts are shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.aggregate import argmax_per_group, pivot_first
@@ -29,6 +29,13 @@ def count_by(
     return joined.groupBy(*columns).agg(F.sum("__n").alias(out))
 
 
+def sql_report(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> DataFrame:
+    """An SQL text over tables, each visible under its name."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+    return spark.sql(sql)
+
+
 def counts_over_time(counts: DataFrame, period: str, group: str, values, total: str) -> DataFrame:
     """Counts with one row per period and one column per group value."""
     return pivot_first(counts, period, group, values, total)
