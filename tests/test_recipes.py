@@ -3,10 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.operators import quality
+from tributary.operators import aggregate, quality
 from tributary.plans import flow, records
 from tributary.plans import vocabulary as v
-from tributary.plans.recipes import CITY, NATIONAL, REGION, apply_recipe, clean_rows, consolidated
+from tributary.plans.recipes import CITY, NATIONAL, REGION, apply_recipe, clean_rows, consolidated, harmonise
 from tributary.session import scratch_path
 
 CITY_COLUMNS = (
@@ -121,6 +121,8 @@ def test_sparse_source(spark):
 
 def test_consolidation_is_idempotent(sources):
     table = consolidated(sources)
+    stepwise = aggregate.consolidate(harmonise(sources), v.GRAIN, v.MEASURE)
+    assert picked(table, *v.GRAIN, v.MEASURE) == picked(stepwise, *v.GRAIN, v.MEASURE)
     assert table.groupBy(*v.GRAIN).count().filter("count > 1").count() == 0
     assert table.agg(F.sum(v.MEASURE)).first()[0] == 3 + 14 + 3
     assert {r["source"] for r in table.collect()} == set(v.TAGS)

@@ -180,11 +180,23 @@ def apply_recipe(df: DataFrame, recipe: Recipe, flag_mode: str = "reference") ->
     return counted.withColumn(v.FLAG, F.lit(v.REPORTED))
 
 
+def measured_rows(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """A source's cleaned rows with what each adds to the measure, not yet grouped."""
+    rows = clean_rows(df, recipe)
+    weight = F.col(WEIGHT) if recipe.collapse else F.lit(1)
+    return rows.withColumn(v.MEASURE, F.col(recipe.measure) * weight if recipe.measure else weight)
+
+
 def harmonise(sources: Sequence[tuple[DataFrame, Recipe]]) -> DataFrame:
-    """All sources in one table of the harmonised schema."""
+    """All sources, each grouped, in one table of the harmonised schema."""
     return shape.union_conformed([apply_recipe(df, r) for df, r in sources], v.HARMONISED)
 
 
 def consolidated(sources: Sequence[tuple[DataFrame, Recipe]]) -> DataFrame:
-    """One row per distinct harmonised key over all sources."""
-    return aggregate.consolidate(harmonise(sources), v.GRAIN, v.MEASURE)
+    """One row per distinct harmonised key over all sources.
+
+    Equal to consolidating ``harmonise``, but the cleaned rows of all sources
+    meet in one aggregate, so the data are shuffled once instead of twice.
+    """
+    rows = shape.union_conformed([measured_rows(df, r) for df, r in sources], v.HARMONISED)
+    return aggregate.consolidate(rows, v.GRAIN, v.MEASURE)
