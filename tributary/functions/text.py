@@ -69,6 +69,16 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def _plain_edges(col: Column) -> Column:
+    """Whether a text starts and ends with a visible ASCII character.
+
+    Such a text needs no trimming, folded or not. Trimming a set of characters
+    walks the whole text.
+    """
+    first, last = F.substring(col, 1, 1), F.substring(col, -1, 1)
+    return first.between("!", "~") & last.between("!", "~")
+
+
 def fold(col: Column, exact: bool = False) -> Column:
     """Lower-case text without accents, compatibility forms resolved, trimmed.
 
@@ -82,7 +92,8 @@ def fold(col: Column, exact: bool = False) -> Column:
     pairs = F.from_json(F.lit(json.dumps(list(expanded.items()))), "array<array<string>>")
     spelled = F.aggregate(pairs, col, lambda text, pair: F.replace(text, pair[0], pair[1]))
     spelled = F.when(_has_any(col, "".join(expanded)), spelled).otherwise(col)
-    folded = strip(F.lower(F.when(wide, F.translate(spelled, source, target)).otherwise(col)))
+    folded = F.lower(F.when(wide, F.translate(spelled, source, target)).otherwise(col))
+    folded = F.when(_plain_edges(col), folded).otherwise(strip(folded))
     if not exact:
         return folded
     rare = F.when(wide & _has_any(col, other), col)
