@@ -100,6 +100,24 @@ def test_filters(spark):
     assert (met.count(), others.count()) == (1, 3)
 
 
+@pytest.fixture(params=["true", "false"])
+def coalescing(spark, request):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, before)
+
+
+def test_large_tables_are_numbered_in_several_partitions(spark, coalescing):
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("a"))
+    numbered = keys.number_distinct(df, ["a"], "id", start=0, one_task_rows=0).table
+    assert numbered.filter("a != id").count() == 0 and numbered.count() == 5000
+    if coalescing == "false":
+        parts = keys._number_ranges(df, ["a"], "id", 0).select("__part").distinct().count()
+        assert parts > 1
+
+
 @pytest.mark.parametrize("one_task_rows", [0, 1000])
 def test_numbers_are_a_bijection_in_order(spark, one_task_rows):
     rows = [(i % 97, str(i % 13)) for i in range(3000)] + [(None, "x"), (None, None)]

@@ -34,6 +34,12 @@ def test_csv_without_header(spark, tmp_path):
     assert as_set(df) == {("ene", "Niño", "7"), (None, "x", None)}
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('fecha,hecho,n\n1,"two\nlines",3\n')
+    df = files.read_csv(spark, str(tmp_path), NAMES, multi_line=True)
+    assert as_set(df) == {("1", "two\nlines", "3")}
+
+
 @pytest.mark.parametrize("reader", [files.read_parquet, files.read_csv])
 def test_missing_source_is_named(spark, tmp_path, reader):
     with pytest.raises(files.SourceMissing, match="city"):

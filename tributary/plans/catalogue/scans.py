@@ -28,21 +28,21 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 def extract(spark, sf):
     """Flat record out of five normalised tables.
 
-    The dimension chain is joined before the fact, so the fact is shuffled once,
-    on the order key, and the wide record not at all.
+    The dimension chain is joined from its small end and before the fact, so the
+    fact is shuffled once, on the order key, and the wide record not at all.
     """
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("order_date")
     )
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    order_side = star_join(
-        orders,
+    customer_side = star_join(
+        customer,
         [
-            (customer, "o_custkey", "c_custkey"),
             (table(spark, sf, "nation"), "c_nationkey", "n_nationkey"),
             (table(spark, sf, "region"), "n_regionkey", "r_regionkey"),
         ],
     )
+    order_side = star_join(orders, [(customer_side, "o_custkey", "c_custkey")])
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     flat = star_join(lines, [(order_side, "l_orderkey", "o_orderkey")])
     flat = flat.withColumn("order_year", F.year("order_date").cast("long"))

@@ -59,14 +59,17 @@ def read_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = NULL_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Files with a header row, all columns as text; typing is a later step.
 
     Given column names are checked against the header; without them the header
-    of one file is read. No pass over the data infers types.
+    of one file is read. No pass over the data infers types. ``multi_line`` allows
+    line breaks inside quotes; such files cannot be split between tasks.
     """
     reader = spark.read.options(
-        header=True, sep=sep, encoding=encoding, escape='"', enforceSchema=False
+        header=True, sep=sep, encoding=encoding, escape='"', enforceSchema=False,
+        multiLine=multi_line,
     )
     if columns:
         reader = reader.schema(text_schema(columns))
@@ -82,6 +85,7 @@ def read_csv_unnamed(
     sep: str = ";",
     encoding: str = LATIN1,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Files read without a header; names go by position.
 
@@ -89,7 +93,7 @@ def read_csv_unnamed(
     content, since the rows of a distributed scan have no first one.
     """
     reader = spark.read.schema(text_schema(columns)).options(
-        header=False, sep=sep, encoding=encoding, escape='"'
+        header=False, sep=sep, encoding=encoding, escape='"', multiLine=multi_line
     )
     rows = _load(name, lambda: reader.csv(path))
     if header_cell is not None:
