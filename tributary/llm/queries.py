@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, quality
+from tributary.llm import exact, jaccard, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +91,38 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
+
+
+@query(
+    "op7_ngram_jaccard_join",
+    sql=r"""
+    WITH RECURSIVE w AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS words
+      FROM documents),
+    sets AS (
+      SELECT r, doc_id,
+             CASE WHEN len(words) = 0 THEN []
+                  WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                  ELSE list_distinct([array_to_string(words[i:i + 4], ' ')
+                                      FOR i IN range(1, len(words) - 3)]) END AS shingles
+      FROM w),
+    items AS (SELECT r, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+    links AS (
+      SELECT a.r AS a, b.r AS b
+      FROM items a JOIN items b ON a.shingle = b.shingle AND a.r <> b.r
+      GROUP BY a.r, b.r, a.n, b.n
+      HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reach AS (
+      SELECT r AS a, r AS b FROM sets
+      UNION
+      SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+    FROM sets s JOIN reach ON reach.a = s.r JOIN sets t ON t.r = reach.b
+    GROUP BY s.r, s.doc_id, len(s.shingles)
+    """,
+)
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
