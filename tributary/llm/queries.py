@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, jaccard, quality
+from tributary.llm import exact, jaccard, packing, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,3 +127,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op5_secret_scans")
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(documents(spark, sf_dir))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
