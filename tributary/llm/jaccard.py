@@ -9,11 +9,11 @@ and are never expanded into pairs.
    ``n - ceil(0.8 n) + 1`` tokens of either, so nodes that share such a token
    form a cell. Frequent tokens come last in the order (this moves work, never
    results); equal cells are kept once.
-3. In a cell tokens are hashed into 64 groups. The group counts are the points
-   of an R-tree whose boxes hold coordinate maxima: the sum of the minima of a
-   query and a box bounds the overlap from above. Surviving pairs are verified
-   on their tokens, skipping pairs already connected.
-4. Cells beyond ``LEAF`` nodes are cut into leaves; pairs of leaves whose boxes
+3. Tokens are hashed into groups. In a cell the group counts are the points of
+   an R-tree whose boxes hold coordinate maxima: the sum of the minima of a
+   query and a box bounds the overlap from above. Only nodes of surviving pairs
+   get their tokens; these pairs are verified, skipping those already connected.
+4. Cells beyond ``LEAF_WEIGHT`` are cut into leaves; pairs of leaves whose boxes
    may hold a link are separate groups of work, so no task holds a whole cell.
 5. A first round joins the cells of each node's first two tokens only. It
    connects most copies; the second round takes every cell that still holds
@@ -38,9 +38,11 @@ from tributary.llm.common import ranges, row_of, split_words, stored, text_chunk
 from tributary.llm.components import components
 
 SIZE = 5
-GROUPS = 64
+GROUPS = 256
 FANOUT = 16
-LEAF = 2000
+# A leaf ends where its tokens, and LEAST_WEIGHT more for each node, reach this.
+LEAF_WEIGHT = 1_000_000
+LEAST_WEIGHT = 500
 # Frequent tokens are those seen in this many nodes of batches that hold them
 # more than once; at most so many are broadcast (8 bytes each).
 FREQUENT = 500
@@ -238,175 +240,245 @@ class CountTree:
         return query[keep], entry[keep]
 
 
-def cell_links(
-    tokens: np.ndarray, offsets: np.ndarray, sides: np.ndarray, parts: np.ndarray
-) -> list[tuple[int, int]]:
-    """Verified links that connect the components of one group of work.
+def box_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The most tokens points of two boxes can share."""
+    return np.minimum(a, b).sum(-1)
+
+
+def point_pairs(
+    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray, step: int = 256
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different parts that the tree lets through, some queries at a time.
 
-    Sets of side 1 are looked up in the tree of side 0, or, where side 1 is
-    empty, those of side 0 among themselves. ``parts`` holds known components.
+    Points of side 1 are looked up in the tree of side 0, or, where side 1 is
+    empty, those of side 0 among themselves. ``parts`` may change in between.
     """
-    sizes = np.diff(offsets)
-    points = group_counts(tokens, offsets)
     indexed, asking = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
     if not len(asking):
         asking = indexed
-    parts = np.unique(parts, return_inverse=True)[1]
     tree = CountTree(points[indexed], sizes[indexed])
-    links = []
-    for start in range(0, len(asking), 256):
-        ask = asking[start : start + 256]
+    for start in range(0, len(asking), step):
+        ask = asking[start : start + step]
         query, entry = tree.matches(points[ask], sizes[ask])
         left, right = ask[query], indexed[entry]
         different = parts[left] != parts[right]
-        for a, b in zip(left[different], right[different], strict=True):
+        yield left[different], right[different]
+
+
+def cell_links(
+    tokens: np.ndarray, offsets: np.ndarray, sides: np.ndarray, parts: np.ndarray
+) -> list[tuple[int, int]]:
+    """Verified links that connect the parts of one group of work."""
+    parts = np.unique(parts, return_inverse=True)[1]
+    links = []
+    for left, right in point_pairs(group_counts(tokens, offsets), np.diff(offsets), sides, parts):
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
             if parts[a] == parts[b]:
                 continue
             mine, other = tokens[offsets[a] : offsets[a + 1]], tokens[offsets[b] : offsets[b + 1]]
             places = np.searchsorted(other, mine)
             common = int((other[np.minimum(places, len(other) - 1)] == mine).sum())
             if 100 * common >= 80 * (len(mine) + len(other) - common):
-                links.append((int(a), int(b)))
+                links.append((a, b))
                 parts[parts == parts[b]] = parts[a]
     return links
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of every group of work of one partition sorted by group; groups are bounded."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list]]:
+    """Rows of a partition sorted by ``keys`` as tables of whole groups, with the groups' borders."""
     held: list[pa.RecordBatch] = []
 
-    def flush(done: pa.Table) -> pa.RecordBatch:
-        groups = done.column("work").to_numpy()
-        nodes, sides, parts = (done.column(c).to_numpy() for c in ("node", "side", "part"))
-        tokens, offsets = unpacked(pa.concat_arrays(done.column("tokens").chunks))
-        cuts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]]))
-        pairs = []
-        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-            own = offsets[start : stop + 1]
-            found = cell_links(
-                tokens[own[0] : own[-1]], own - own[0], sides[start:stop], parts[start:stop]
-            )
-            pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
-        ends = np.array(pairs, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+    def changes(table) -> np.ndarray:
+        columns = [table.column(k).to_numpy() for k in keys]
+        return np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+
+    def cut(table: pa.Table) -> tuple[pa.Table, list]:
+        borders = [0, *changes(table).tolist(), table.num_rows]
+        return table, list(zip(borders[:-1], borders[1:], strict=True))
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        groups = batch.column("work").to_numpy()
-        cut = int(np.searchsorted(groups, groups[-1]))  # the last group may go on
-        if cut:
-            yield flush(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-            held = [batch.slice(cut)]
-        elif held and held[0].column("work")[0].as_py() != groups[-1]:
-            yield flush(pa.Table.from_batches(held))
-            held = [batch]
+        held.append(batch)
+        if len(held) > 1:
+            same = all(held[0].column(k)[0].as_py() == batch.column(k)[-1].as_py() for k in keys)
         else:
-            held.append(batch)
+            same = not len(changes(batch))
+        if same:  # one group so far, and it may go on
+            continue
+        table = pa.Table.from_batches(held)
+        last = int(changes(table)[-1])
+        yield cut(table.slice(0, last))
+        held = table.slice(last).combine_chunks().to_batches()
     if held:
-        yield flush(pa.Table.from_batches(held))
+        yield cut(pa.Table.from_batches(held))
 
 
-def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _points(table: pa.Table, name: str) -> np.ndarray:
+    column = pa.concat_arrays(table.column(name).chunks)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    return data.view(np.uint32).reshape(len(column), GROUPS).astype(np.int64)
+
+
+def _binary(points: np.ndarray) -> pa.Array:
+    data = np.ascontiguousarray(points.astype(np.uint32))
+    ends = (np.arange(len(points) + 1) * GROUPS * 4).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(points), [None, pa.py_buffer(ends), pa.py_buffer(data)]
+    )
+
+
+def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         tokens, offsets = unpacked(batch.column("tokens"))
-        counts = group_counts(tokens, offsets).astype(np.int64)
-        points = pa.FixedSizeListArray.from_arrays(pa.array(counts.reshape(-1)), GROUPS)
-        rest = ["cell", "leaf", "part", "n"]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n) for n in rest), points.cast(pa.list_(pa.int64()))],
-            names=[*rest, "point"],
+            [
+                batch.column("node"),
+                pa.array(np.diff(offsets)),
+                _binary(group_counts(tokens, offsets)),
+            ],
+            names=["node", "n", "point"],
         )
 
 
-def _leaf_pairs(members: DataFrame) -> DataFrame:
-    """(cell, a, b) for leaves of cells with several leaves that may hold a link between them."""
-    boxes = (
-        members.filter("leaves > 1")
-        .select("cell", "leaf", "part", "n", "tokens")
-        .mapInArrow(_boxes, "cell long, leaf int, part long, n long, point array<long>")
-        .groupBy("cell", "leaf")
-        .agg(
-            F.min("n").alias("low"),
-            F.max("n").alias("high"),
-            F.min("part").alias("part"),
-            (F.min("part") == F.max("part")).alias("whole"),
-            F.array(*[F.max(F.col("point")[g]) for g in range(GROUPS)]).alias("top"),
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of each group of work with a surviving partner of another part."""
+    for table, groups in _whole_groups(batches, ["work"]):
+        points = _points(table, "point")
+        sizes, sides, parts = (table.column(c).to_numpy() for c in ("n", "side", "part"))
+        keep = np.zeros(table.num_rows, bool)
+        for start, stop in groups:
+            own = slice(start, stop)
+            for left, right in point_pairs(points[own], sizes[own], sides[own], parts[own]):
+                keep[start + left] = keep[start + right] = True
+        yield from table.select(["work", "side", "node", "part"]).filter(pa.array(keep)).to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links of each group of work."""
+    for table, groups in _whole_groups(batches, ["work"]):
+        nodes, sides, parts = (table.column(c).to_numpy() for c in ("node", "side", "part"))
+        tokens, offsets = unpacked(pa.concat_arrays(table.column("tokens").chunks))
+        pairs = []
+        for start, stop in groups:
+            own = offsets[start : stop + 1]
+            found = cell_links(
+                tokens[own[0] : own[-1]], own - own[0], sides[start:stop], parts[start:stop]
+            )
+            pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
+        ends = np.array(pairs, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The box of every leaf: maxima, size range, and its part if it has but one."""
+    for table, groups in _whole_groups(batches, ["cell", "leaf"]):
+        cuts = np.array([start for start, _ in groups])
+        sizes, parts = table.column("n").to_numpy(), table.column("part").to_numpy()
+        low, high = np.minimum.reduceat(parts, cuts), np.maximum.reduceat(parts, cuts)
+        yield pa.RecordBatch.from_arrays(
+            [
+                table.column("cell").combine_chunks().take(pa.array(cuts)),
+                table.column("leaf").combine_chunks().take(pa.array(cuts)),
+                pa.array(np.minimum.reduceat(sizes, cuts)),
+                pa.array(np.maximum.reduceat(sizes, cuts)),
+                pa.array(low, mask=low != high),
+                _binary(np.maximum.reduceat(_points(table, "point"), cuts)),
+            ],
+            names=["cell", "leaf", "low", "high", "part", "top"],
         )
+
+
+def _near_boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        need = 4 * (table.column("low").to_numpy() + table.column("low_b").to_numpy())
+        near = 9 * box_bound(_points(table, "top"), _points(table, "top_b")) >= need
+        yield from table.select(["cell", "a", "b"]).filter(pa.array(near)).to_batches()
+
+
+def _leaf_pairs(several: DataFrame) -> DataFrame:
+    """(cell, a, b) for leaves of one cell whose boxes may hold a link between different parts."""
+    boxes = (
+        several.select("cell", "leaf", "part", "n", "point")
+        .repartition("cell", "leaf")
+        .sortWithinPartitions("cell", "leaf")
+        .mapInArrow(_boxes, "cell long, leaf int, low long, high long, part long, top binary")
     )
+    boxes = stored(boxes, "boxes")
     other = boxes.select(
-        "cell", *[F.col(c).alias(f"{c}_b") for c in ("leaf", "low", "high", "part", "whole", "top")]
-    )
-    bound = F.aggregate(
-        F.zip_with("top", "top_b", lambda x, y: F.least(x, y)),
-        F.lit(0).cast("long"),
-        lambda total, x: total + x,
+        "cell",
+        F.col("leaf").alias("b"),
+        *[F.col(c).alias(f"{c}_b") for c in ("low", "high", "part", "top")],
     )
     return (
-        boxes.join(other, "cell")
-        .filter("leaf <= leaf_b")
-        .filter("NOT (whole AND whole_b AND part = part_b)")
+        boxes.withColumnRenamed("leaf", "a")
+        .join(other, "cell")
+        .filter("a <= b AND NOT coalesce(part = part_b, false)")
         .filter("5 * high_b >= 4 * low AND 5 * high >= 4 * low_b")
-        .filter((F.col("leaf") == F.col("leaf_b")) | (bound * 9 >= (F.col("low") + F.col("low_b")) * 4))
-        .select("cell", F.col("leaf").alias("a"), F.col("leaf_b").alias("b"))
+        .select("cell", "a", "b", "low", "low_b", "top", "top_b")
+        .mapInArrow(_near_boxes, "cell long, a int, b int")
     )
 
 
-def _links(cells: DataFrame, tokens: DataFrame, first_round: bool) -> DataFrame:
+def _leaf(name: str, side: int):
+    return F.struct(F.col(name).alias("leaf"), F.lit(side).alias("side"))
+
+
+def _links(cells: DataFrame, points: DataFrame, tokens: DataFrame, first_round: bool) -> DataFrame:
     """Verified links (a, b) between nodes of the same cell and of different parts.
 
-    ``cells`` has cell, node, part, n; the first round joins neighbouring leaves only.
+    ``cells`` has cell, node, part; the first round joins neighbouring leaves only.
     """
     in_cell = Window.partitionBy("cell")
-    placed = cells.select(
-        "cell",
-        "node",
-        "part",
-        "n",
-        F.floor((F.row_number().over(in_cell.orderBy("part", "n", "node")) - 1) / LEAF)
-        .cast("int")
-        .alias("leaf"),
-        F.ceil(F.count(F.lit(1)).over(in_cell) / LEAF).cast("int").alias("leaves"),
+    weight = F.col("n") + LEAST_WEIGHT
+    before = F.sum(weight).over(
+        in_cell.orderBy("part", "n", "node").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = (
+        cells.join(points.select("node", "n"), "node")
+        .withColumn("leaf", F.floor(F.coalesce(before, F.lit(0)) / LEAF_WEIGHT).cast("int"))
+        .withColumn("leaves", F.dense_rank().over(in_cell.orderBy("leaf")))
+    )
+    placed = placed.withColumns(
+        {"leaf": F.col("leaves") - 1, "leaves": F.max("leaves").over(in_cell)}
     )
-    members = placed.join(tokens, "node")
+    members = placed.join(points.select("node", "point"), "node").select(
+        "cell", "node", "part", "n", "point", "leaf", "leaves"
+    )
+    members = stored(members, "members")
     single = members.filter("leaves = 1").select(
-        F.xxhash64("cell").alias("work"), F.lit(0).alias("side"), "node", "part", "tokens"
+        F.xxhash64("cell").alias("work"), F.lit(0).alias("side"), "node", "part", "n", "point"
     )
     several = members.filter("leaves > 1")
     if first_round:
-        pairs = (
-            placed.filter("leaves > 1")
-            .select("cell", "leaf", "leaves")
-            .distinct()
-            .select(
-                "cell",
-                F.col("leaf").alias("a"),
-                F.explode(F.array("leaf", F.least(F.col("leaf") + 1, F.col("leaves") - 1))).alias("b"),
-            )
-            .distinct()
+        leaves = several.select("cell", F.col("leaf").alias("a"), "leaves").distinct()
+        pairs = leaves.select("cell", "a", F.col("a").alias("b")).unionAll(
+            leaves.filter("a + 1 < leaves").select("cell", "a", F.expr("a + 1").alias("b"))
         )
     else:
-        pairs = _leaf_pairs(members)
+        pairs = _leaf_pairs(several)
+    places = F.when(F.col("a") == F.col("b"), F.array(_leaf("a", 0))).otherwise(
+        F.array(_leaf("a", 0), _leaf("b", 1))
+    )
     work = pairs.select(
-        "cell",
-        F.xxhash64("cell", "a", "b").alias("work"),
-        F.explode(
-            F.when(
-                F.col("a") == F.col("b"),
-                F.array(F.struct(F.col("a").alias("leaf"), F.lit(0).alias("side"))),
-            ).otherwise(
-                F.array(
-                    F.struct(F.col("a").alias("leaf"), F.lit(0).alias("side")),
-                    F.struct(F.col("b").alias("leaf"), F.lit(1).alias("side")),
-                )
-            )
-        ).alias("place"),
+        "cell", F.xxhash64("cell", "a", "b").alias("work"), F.explode(places).alias("place")
     ).select("cell", "work", "place.leaf", "place.side")
-    split = several.join(work, ["cell", "leaf"]).select("work", "side", "node", "part", "tokens")
-    return (
+    split = several.join(work, ["cell", "leaf"]).select(
+        "work", "side", "node", "part", "n", "point"
+    )
+    asked = (
         single.unionAll(split)
         .repartition("work")
         .sortWithinPartitions("work")
+        .mapInArrow(_candidates, "work long, side int, node long, part long")
+    )
+    asked = stored(asked, "candidates")
+    return (
+        asked.join(tokens, "node")
+        .repartition("work")
+        .sortWithinPartitions("work")
         .mapInArrow(_linked, "a long, b long")
     )
 
@@ -450,30 +522,26 @@ def node_components(shingles: DataFrame) -> DataFrame:
     if wanted.count() <= 1_000_000:  # 8 bytes each; beyond that a shuffled join
         wanted = F.broadcast(wanted)
     tokens = stored(
-        shingles.join(wanted, "node").select("node", "n_shingles", "tokens").dropDuplicates(["node"]),
+        shingles.join(wanted, "node").select("node", "tokens").dropDuplicates(["node"]),
         "node-tokens",
     )
-    payload = tokens.select("node", "tokens")
-    sized = cells.join(
-        tokens.select("node", F.col("n_shingles").alias("n")), "node"
-    )
-    early = sized.filter("rank < 2").select("cell", "node", F.col("node").alias("part"), "n")
-    first = stored(_links(early, payload, first_round=True), "first-links")
+    points = stored(tokens.mapInArrow(_pointed, "node long, n long, point binary"), "points")
+    early = cells.filter("rank < 2").select("cell", "node", F.col("node").alias("part"))
+    first = stored(_links(early, points, tokens, first_round=True), "first-links")
     found = components(first)
     parted = stored(
-        sized.join(found, "node", "left").select(
-            "cell", "node", F.coalesce("component", "node").alias("part"), "n"
+        cells.join(found, "node", "left").select(
+            "cell", "node", F.coalesce("component", "node").alias("part")
         ),
         "parted-cells",
     )
     mixed = (
         parted.groupBy("cell")
-        .agg((F.min("part") < F.max("part")).alias("mixed"))
-        .filter("mixed")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        .filter("low < high")
         .select("cell")
     )
-    rest = parted.join(mixed, "cell")
-    second = stored(_links(rest, payload, first_round=False), "second-links")
+    second = stored(_links(parted.join(mixed, "cell"), points, tokens, first_round=False), "second-links")
     return components(first.unionAll(second))
 
 

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, SPACE_CLASS, WORD_CLASS, stored
+from tributary.llm.common import SPACE, SPACE_CLASS, WORD_CLASS, let, stored
 
 SAMPLE_ROWS = 2000
 WINDOW = 8
@@ -30,11 +30,6 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_CLASS + "+"), F.lit(0))
 
