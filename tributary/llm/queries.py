@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact, html_text, jaccard, language, packing, quality, secret_scan, toxicity
+from tributary.llm import (
+    exact,
+    html_text,
+    jaccard,
+    language,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,3 +163,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_extraction")
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(
+        documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
