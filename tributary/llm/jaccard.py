@@ -483,10 +483,10 @@ def _links(cells: DataFrame, points: DataFrame, tokens: DataFrame, first_round:
     )
 
 
-def shingle_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's id, node, number of shingles and tokens, stored."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, node long, n_shingles long, tokens binary"
+def shingle_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` with their text replaced by node, n_shingles and tokens, stored."""
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
+    schema = ", ".join([*fields, "node long", "n_shingles long", "tokens binary"])
     return stored(rows.mapInArrow(_shingled, schema), "shingles")
 
 
@@ -545,17 +545,58 @@ def node_components(shingles: DataFrame) -> DataFrame:
     return components(first.unionAll(second))
 
 
+def _grouped(rows: DataFrame) -> DataFrame:
+    """The rows with their component, ``group``; null for those without shingles."""
+    shingles = shingle_rows(rows)
+    found = node_components(shingles)
+    return (
+        shingles.drop("tokens")
+        .join(found, "node", "left")
+        .withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
+        .drop("node", "component")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    shingles = shingle_rows(docs, id_col, text_col)
-    rows = shingles.select("doc_id", "node", "n_shingles")
-    classes = (
-        rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    grouped = stored(_grouped(rows), "grouped")
+    least = (
+        grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
     )
-    found = node_components(shingles)
-    named = classes.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    ids = stored(named.select("node", "group").join(least, "group").select("node", "component_id"), "classes")
-    return rows.join(ids, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    return grouped.join(least, "group", "left").select(
+        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
+    )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` less all but one of each component, all columns as they were.
+
+    The row with the smallest id stays (null ids last). Rows without shingles stay.
+    """
+    # rows with the same id and text are alike here; 96 bits name them
+    keys = {"key": F.xxhash64(id_col, text_col), "mark": F.hash(id_col, text_col)}
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        *[c.alias(n) for n, c in keys.items()],
+    )
+    grouped = stored(_grouped(rows).filter("group IS NOT NULL"), "grouped")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "mark")
+    best = grouped.groupBy("group").agg(F.min(rank).alias("best"))
+    alike = (
+        grouped.join(best, "group")
+        .groupBy("key", "mark")
+        .agg(F.max(rank == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("n"))
+        .filter("NOT stays OR n > 1")
     )
+    alike = stored(alike, "dropped")
+    count = alike.count()
+    dropped = F.broadcast(alike) if count <= 500_000 else alike  # 21 bytes each
+    keyed = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in keys.items()])
+    kept = keyed.join(dropped, ["key", "mark"], "left_anti")
+    twice = dropped.filter("stays")
+    if count and not twice.isEmpty():
+        again = keyed.join(twice, ["key", "mark"], "left_semi").dropDuplicates(["key", "mark"])
+        kept = kept.unionByName(again)
+    return kept.select("row.*")
