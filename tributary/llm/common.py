@@ -21,13 +21,9 @@ CHUNK_BYTES = 8 << 20
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read again; removed when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(conf).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -227,7 +227,7 @@ class CountTree:
             lengths = np.minimum(FANOUT, count - starts)
             query, entry = np.repeat(query, lengths), ranges(starts, lengths)
 
-    def _passing(self, depth, query, entry, points, sizes, step=100_000):
+    def _passing(self, depth, query, entry, points, sizes, step=8_000):
         top, low, high = self.levels[depth]
         n = sizes[query]
         fits = (4 * low[entry] <= 5 * n) & (5 * high[entry] >= 4 * n)
@@ -318,7 +318,7 @@ def _points(table: pa.Table, name: str) -> np.ndarray:
     column = pa.concat_arrays(table.column(name).chunks)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    return data.view(np.uint32).reshape(len(column), GROUPS).astype(np.int64)
+    return data.view(np.uint32).reshape(len(column), GROUPS).astype(np.int32)
 
 
 def _binary(points: np.ndarray) -> pa.Array:
