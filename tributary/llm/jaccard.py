@@ -11,13 +11,14 @@ and are never expanded into pairs.
    results); equal cells are kept once.
 3. Tokens are hashed into groups. In a cell the group counts are the points of
    an R-tree whose boxes hold coordinate maxima: the sum of the minima of a
-   query and a box bounds the overlap from above. Only nodes of surviving pairs
-   get their tokens; these pairs are verified, skipping those already connected.
-4. Cells beyond ``LEAF_WEIGHT`` are cut into leaves; pairs of leaves whose boxes
-   may hold a link are separate groups of work, so no task holds a whole cell.
-5. A first round joins the cells of each node's first two tokens only. It
-   connects most copies; the second round takes every cell that still holds
-   more than one component, so no link between different components is missed.
+   query and a box bounds the overlap from above. Surviving pairs connect nodes
+   to candidate groups; a linked pair is always in one group.
+4. In a candidate group, where each node has its tokens once, the tree yields
+   pairs again, and they are verified, skipping pairs already connected.
+5. Cells and groups beyond ``LEAF_WEIGHT`` are cut into leaves. Neighbouring
+   leaves are joined first; then every pair of leaves whose boxes may hold a link
+   between nodes not yet connected. So no task holds a whole cell, and no link
+   between different components is missed.
 
 Null or wordless texts have no shingles and link with nothing. Rows that repeat
 an id are rows of their own. An empty table gives an empty result.
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import ranges, row_of, split_words, stored, text_chunks, texts
@@ -178,9 +179,8 @@ def _prefixes(frequent: np.ndarray):
                 [
                     pa.array(tokens[order][at].view(np.int64)),
                     batch.column("node").take(pa.array(rows[at])),
-                    pa.array(ranges(np.zeros(len(lengths), np.int64), lengths).astype(np.int32)),
                 ],
-                names=["token", "node", "rank"],
+                names=["token", "node"],
             )
 
     return run
@@ -246,7 +246,7 @@ def box_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def point_pairs(
-    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray, step: int = 256
+    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray, step: int = 64
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of different parts that the tree lets through, some queries at a time.
 
@@ -265,25 +265,41 @@ def point_pairs(
         yield left[different], right[different]
 
 
-def cell_links(
-    tokens: np.ndarray, offsets: np.ndarray, sides: np.ndarray, parts: np.ndarray
-) -> list[tuple[int, int]]:
-    """Verified links that connect the parts of one group of work."""
-    parts = np.unique(parts, return_inverse=True)[1]
+def _connect(pairs, parts: np.ndarray, holds) -> list[tuple[int, int]]:
+    """The pairs for which ``holds`` is true and that connect two parts; parts are merged."""
     links = []
-    for left, right in point_pairs(group_counts(tokens, offsets), np.diff(offsets), sides, parts):
+    for left, right in pairs:
         for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            if parts[a] == parts[b]:
-                continue
-            mine, other = tokens[offsets[a] : offsets[a + 1]], tokens[offsets[b] : offsets[b + 1]]
-            places = np.searchsorted(other, mine)
-            common = int((other[np.minimum(places, len(other) - 1)] == mine).sum())
-            if 100 * common >= 80 * (len(mine) + len(other) - common):
+            if parts[a] != parts[b] and holds(a, b):
                 links.append((a, b))
                 parts[parts == parts[b]] = parts[a]
     return links
 
 
+def candidate_links(
+    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray
+) -> list[tuple[int, int]]:
+    """Pairs the tree lets through, as many as connect what they connect."""
+    parts = np.unique(parts, return_inverse=True)[1]
+    return _connect(point_pairs(points, sizes, sides, parts), parts, lambda a, b: True)
+
+
+def cell_links(
+    tokens: np.ndarray, offsets: np.ndarray, sides: np.ndarray, parts: np.ndarray
+) -> list[tuple[int, int]]:
+    """Verified links that connect the parts of one group of work."""
+
+    def linked(a: int, b: int) -> bool:
+        mine, other = tokens[offsets[a] : offsets[a + 1]], tokens[offsets[b] : offsets[b + 1]]
+        places = np.searchsorted(other, mine)
+        common = int((other[np.minimum(places, len(other) - 1)] == mine).sum())
+        return 100 * common >= 80 * (len(mine) + len(other) - common)
+
+    parts = np.unique(parts, return_inverse=True)[1]
+    points = group_counts(tokens, offsets)
+    return _connect(point_pairs(points, np.diff(offsets), sides, parts), parts, linked)
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list]]:
     """Rows of a partition sorted by ``keys`` as tables of whole groups, with the groups' borders."""
     held: list[pa.RecordBatch] = []
@@ -342,17 +358,24 @@ def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _ends(pairs: list) -> pa.RecordBatch:
+    ends = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of each group of work with a surviving partner of another part."""
+    """Candidate links of each group of work."""
     for table, groups in _whole_groups(batches, ["work"]):
         points = _points(table, "point")
-        sizes, sides, parts = (table.column(c).to_numpy() for c in ("n", "side", "part"))
-        keep = np.zeros(table.num_rows, bool)
+        nodes, sizes, sides, parts = (
+            table.column(c).to_numpy() for c in ("node", "n", "side", "part")
+        )
+        pairs = []
         for start, stop in groups:
             own = slice(start, stop)
-            for left, right in point_pairs(points[own], sizes[own], sides[own], parts[own]):
-                keep[start + left] = keep[start + right] = True
-        yield from table.select(["work", "side", "node", "part"]).filter(pa.array(keep)).to_batches()
+            found = candidate_links(points[own], sizes[own], sides[own], parts[own])
+            pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
+        yield _ends(pairs)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,8 +390,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tokens[own[0] : own[-1]], own - own[0], sides[start:stop], parts[start:stop]
             )
             pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
-        ends = np.array(pairs, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+        yield _ends(pairs)
 
 
 def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,61 +448,79 @@ def _leaf(name: str, side: int):
     return F.struct(F.col(name).alias("leaf"), F.lit(side).alias("side"))
 
 
-def _links(cells: DataFrame, points: DataFrame, tokens: DataFrame, first_round: bool) -> DataFrame:
-    """Verified links (a, b) between nodes of the same cell and of different parts.
+def _place(leaf: Column, alone: bool, side: int) -> Column:
+    return F.struct(leaf.alias("leaf"), F.lit(alone).alias("alone"), F.lit(side).alias("side"))
 
-    ``cells`` has cell, node, part; the first round joins neighbouring leaves only.
-    """
+
+def _placed(cells: DataFrame) -> DataFrame:
+    """Rows (cell, node, part, n) with their leaf and the number of leaves of their cell."""
     in_cell = Window.partitionBy("cell")
-    weight = F.col("n") + LEAST_WEIGHT
-    before = F.sum(weight).over(
+    before = F.sum(F.col("n") + LEAST_WEIGHT).over(
         in_cell.orderBy("part", "n", "node").rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = (
-        cells.join(points.select("node", "n"), "node")
-        .withColumn("leaf", F.floor(F.coalesce(before, F.lit(0)) / LEAF_WEIGHT).cast("int"))
-        .withColumn("leaves", F.dense_rank().over(in_cell.orderBy("leaf")))
-    )
-    placed = placed.withColumns(
-        {"leaf": F.col("leaves") - 1, "leaves": F.max("leaves").over(in_cell)}
-    )
-    members = placed.join(points.select("node", "point"), "node").select(
-        "cell", "node", "part", "n", "point", "leaf", "leaves"
+    reached = cells.withColumn("leaf", F.floor(F.coalesce(before, F.lit(0)) / LEAF_WEIGHT))
+    ranked = reached.withColumn("leaf", F.dense_rank().over(in_cell.orderBy("leaf")) - 1)
+    return ranked.withColumn("leaves", F.max("leaf").over(in_cell) + 1)
+
+
+def _search(work: DataFrame, payload: DataFrame, verify: bool) -> DataFrame:
+    """Links (a, b) of every group of work; rows are (work, side, node, part)."""
+    search = _linked if verify else _candidates
+    return stored(
+        work.join(payload, "node")
+        .repartition("work")
+        .sortWithinPartitions("work")
+        .mapInArrow(search, "a long, b long"),
+        "links",
     )
-    members = stored(members, "members")
-    single = members.filter("leaves = 1").select(
-        F.xxhash64("cell").alias("work"), F.lit(0).alias("side"), "node", "part", "n", "point"
+
+
+def _joined(cells: DataFrame, points: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) that connect, in every cell (cell, node), what is linked there.
+
+    Links are verified where ``tokens`` are given, else as the points bound them.
+    """
+    payload = points if tokens is None else tokens
+    sized = cells.join(points.select("node", "n"), "node")
+    placed = stored(_placed(sized.withColumn("part", F.col("node"))).drop("n"), "placed")
+    several = placed.filter("leaves > 1")
+    hot = not several.isEmpty()
+    work = placed.filter("leaves = 1").select(
+        F.xxhash64("cell").alias("work"), F.lit(0).alias("side"), "node", "part"
     )
-    several = members.filter("leaves > 1")
-    if first_round:
-        leaves = several.select("cell", F.col("leaf").alias("a"), "leaves").distinct()
-        pairs = leaves.select("cell", "a", F.col("a").alias("b")).unionAll(
-            leaves.filter("a + 1 < leaves").select("cell", "a", F.expr("a + 1").alias("b"))
+    if hot:
+        # a leaf by itself, and the next leaf's rows looked up in it
+        leaf = F.col("leaf")
+        alone, ahead, behind = _place(leaf, True, 0), _place(leaf, False, 0), _place(leaf - 1, False, 1)
+        places = several.withColumn("place", F.explode(F.array(alone, ahead, behind)))
+        work = work.unionAll(
+            places.filter("place.leaf >= 0").select(
+                F.xxhash64("cell", "place.leaf", "place.alone").alias("work"),
+                "place.side",
+                "node",
+                "part",
+            )
         )
-    else:
-        pairs = _leaf_pairs(several)
+    first = _search(work, payload, tokens is not None)
+    if not hot:
+        return first
+    found = components(first)
+    again = (
+        several.select("cell", "node")
+        .join(found, "node", "left")
+        .join(points.select("node", "n"), "node")
+        .select("cell", "node", F.coalesce("component", "node").alias("part"), "n")
+    )
+    members = stored(_placed(again), "leaves")
+    pairs = _leaf_pairs(members.join(points.select("node", "point"), "node"))
     places = F.when(F.col("a") == F.col("b"), F.array(_leaf("a", 0))).otherwise(
         F.array(_leaf("a", 0), _leaf("b", 1))
     )
-    work = pairs.select(
+    spread = pairs.select(
         "cell", F.xxhash64("cell", "a", "b").alias("work"), F.explode(places).alias("place")
     ).select("cell", "work", "place.leaf", "place.side")
-    split = several.join(work, ["cell", "leaf"]).select(
-        "work", "side", "node", "part", "n", "point"
-    )
-    asked = (
-        single.unionAll(split)
-        .repartition("work")
-        .sortWithinPartitions("work")
-        .mapInArrow(_candidates, "work long, side int, node long, part long")
-    )
-    asked = stored(asked, "candidates")
-    return (
-        asked.join(tokens, "node")
-        .repartition("work")
-        .sortWithinPartitions("work")
-        .mapInArrow(_linked, "a long, b long")
-    )
+    work = members.join(spread, ["cell", "leaf"]).select("work", "side", "node", "part")
+    return first.unionAll(_search(work, payload, tokens is not None))
 
 
 def shingle_rows(rows: DataFrame) -> DataFrame:
@@ -493,7 +533,7 @@ def shingle_rows(rows: DataFrame) -> DataFrame:
 def node_components(shingles: DataFrame) -> DataFrame:
     """(node, component) of every node that links with another."""
     prefixes = shingles.select("node", "tokens").mapInArrow(
-        _prefixes(_frequent(shingles)), "token long, node long, rank int"
+        _prefixes(_frequent(shingles)), "token long, node long"
     )
     of_token = Window.partitionBy("token")
     shared = stored(
@@ -502,7 +542,6 @@ def node_components(shingles: DataFrame) -> DataFrame:
         .select(
             "token",
             "node",
-            "rank",
             F.count(F.lit(1)).over(of_token).alias("size"),
             F.bit_xor(F.xxhash64("node")).over(of_token).alias("sign"),
             F.bit_xor(F.xxhash64("node", F.lit(1))).over(of_token).alias("mark"),
@@ -514,7 +553,7 @@ def node_components(shingles: DataFrame) -> DataFrame:
     distinct = shared.groupBy("size", "sign", "mark").agg(F.min("token").alias("token"))
     cells = stored(
         shared.join(distinct.select("token"), "token").select(
-            F.col("token").alias("cell"), "node", "rank"
+            F.col("token").alias("cell"), "node"
         ),
         "cells",
     )
@@ -526,23 +565,9 @@ def node_components(shingles: DataFrame) -> DataFrame:
         "node-tokens",
     )
     points = stored(tokens.mapInArrow(_pointed, "node long, n long, point binary"), "points")
-    early = cells.filter("rank < 2").select("cell", "node", F.col("node").alias("part"))
-    first = stored(_links(early, points, tokens, first_round=True), "first-links")
-    found = components(first)
-    parted = stored(
-        cells.join(found, "node", "left").select(
-            "cell", "node", F.coalesce("component", "node").alias("part")
-        ),
-        "parted-cells",
-    )
-    mixed = (
-        parted.groupBy("cell")
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        .filter("low < high")
-        .select("cell")
-    )
-    second = stored(_links(parted.join(mixed, "cell"), points, tokens, first_round=False), "second-links")
-    return components(first.unionAll(second))
+    candidates = components(_joined(cells, points))
+    groups = candidates.select(F.col("component").alias("cell"), "node")
+    return components(_joined(groups, points, tokens))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
