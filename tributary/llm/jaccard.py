@@ -49,6 +49,7 @@ LEAST_WEIGHT = 500
 FREQUENT = 500
 MOST_FREQUENT = 200_000
 TOKEN_BYTES = 6
+CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
 ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -115,7 +116,7 @@ def _nodes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in text_chunks(batches):
+    for whole in text_chunks(batches, limit=CHUNK):
         for start in range(0, whole.num_rows, 1 << 16):
             batch = whole.slice(start, 1 << 16)
             tokens, offsets = shingle_tokens(texts(batch))
@@ -139,7 +140,7 @@ def _first_of_node(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_chunks(batches, "tokens", 2 * CHUNK):
         tokens, _ = unpacked(_first_of_node(batch).column("tokens"))
         found, counts = np.unique(tokens, return_counts=True)
         often = counts > 1
@@ -166,7 +167,7 @@ def _frequent(shingles: DataFrame) -> np.ndarray:
 
 def _prefixes(frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in text_chunks(batches, "tokens", CHUNK):
             batch = _first_of_node(whole)
             tokens, offsets = unpacked(batch.column("tokens"))
             sizes = np.diff(offsets)
@@ -346,7 +347,7 @@ def _binary(points: np.ndarray) -> pa.Array:
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_chunks(batches, "tokens", CHUNK):
         tokens, offsets = unpacked(batch.column("tokens"))
         yield pa.RecordBatch.from_arrays(
             [
