@@ -45,6 +45,10 @@ HEADLINE = [
     "report_year_group",
     "scored_records",
     "flagship",
+    "flow_star",
+    "record_star",
+    "star_load",
+    "extend_dimension",
 ]
 
 

@@ -111,18 +111,16 @@ def coalescing(spark, request):
 
 def test_large_tables_are_numbered_in_several_partitions(spark, coalescing):
     df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("a"))
-    numbered = keys.number_distinct(df, ["a"], "id", start=0, one_task_rows=0).table
+    numbered = keys.number_distinct(df, ["a"], "id", start=0).table
     assert numbered.filter("a != id").count() == 0 and numbered.count() == 5000
     if coalescing == "false":
-        parts = keys._number_ranges(df, ["a"], "id", 0).select("__part").distinct().count()
-        assert parts > 1
+        assert numbered.select(F.spark_partition_id()).distinct().count() > 1
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_numbers_are_a_bijection_in_order(spark, one_task_rows):
+def test_numbers_are_a_bijection_in_order(spark):
     rows = [(i % 97, str(i % 13)) for i in range(3000)] + [(None, "x"), (None, None)]
     df = spark.createDataFrame(rows, "a int, b string").repartition(7)
-    numbered = keys.number_distinct(df, ["a", "b"], "id", one_task_rows=one_task_rows)
+    numbered = keys.number_distinct(df, ["a", "b"], "id")
     got = numbered.table.orderBy("id").collect()
     expected = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     assert [(r["a"], r["b"]) for r in got] == expected
@@ -130,15 +128,38 @@ def test_numbers_are_a_bijection_in_order(spark, one_task_rows):
     assert numbered.rows == len(expected)
 
 
+def test_an_empty_table_has_no_numbers(spark):
+    empty = keys.number_distinct(spark.createDataFrame([], "a int"), ["a"], "id")
+    assert (empty.rows, empty.table.collect()) == (0, [])
+
+
+def test_pivot_is_complete_or_loud(spark):
+    df = spark.createDataFrame([(1, "x", 5), (1, "zz", 9), (2, "x", 1), (2, None, 3)], "i int, k string, n int")
+    assert as_set(aggregate.pivot_first(df, "i", "k", None, "n")) == {(1, 5, 9), (2, 1, None)}
+    with pytest.raises(Exception, match="no column for zz"):
+        aggregate.pivot_first(df, "i", "k", ["x"], "n").collect()
+    with pytest.raises(Exception, match="two rows for one cell"):
+        aggregate.pivot_first(df.union(df.limit(1)), "i", "k", ["x", "zz"], "n").collect()
+
+
+def test_not_a_number_is_missing_in_a_histogram(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (nan,), (inf,), (None,)], "x double")
+    bins = aggregate.histogram(df, "x", 2).orderBy("bin").collect()
+    assert [(b["low"], b["high"], b["n"]) for b in bins] == [(0.0, 1.0, 1), (1.0, 2.0, 2)]
+
+
 def test_encodings(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "x string")
     assert as_set(encode.label_encode(df, "x", "c")) == {("b", 1), ("a", 0), (None, None)}
     assert as_set(encode.label_mapping(df, "x", "c")) == {(0, "a"), (1, "b")}
-    hot = encode.one_hot(df, "x", "x")
+    hot = encode.one_hot(df, "x", "x", max_columns=2)
     assert hot.columns == ["x", "x_a", "x_b"]
     assert as_set(hot) == {("b", 0, 1), ("a", 1, 0), (None, 0, 0)}
     with pytest.raises(ValueError, match="more than 1"):
         encode.one_hot(df, "x", "x", max_columns=1)
+    with pytest.raises(ValueError, match="most columns"):
+        encode.one_hot(df, "x", "x")
 
 
 def test_union_keeps_all_rows(spark):

@@ -24,7 +24,7 @@ def no_broadcast(spark):
     spark.conf.set(THRESHOLD, before)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"normalize_text_exact"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -70,3 +70,21 @@ def test_profiles_scan_once(spark, sf_dir):
 def test_long_texts_are_not_shuffled(spark, sf_dir):
     text = plan(QUERIES["duplicate_count"](spark, sf_dir))
     assert "sha2" in text and "hashpartitioning(text" not in text
+
+
+def test_numbering_has_no_window_and_no_join(spark, sf_dir):
+    text = plan(QUERIES["surrogate_dim_ranges"](spark, sf_dir))
+    assert "Window" not in text and "Join" not in text and "Exchange" not in text
+
+
+def test_the_number_pattern_runs_once(spark):
+    from tributary.functions.numbers import safe_number
+
+    df = spark.createDataFrame([("1",)], "x string").repartition(1)
+    text = plan(df.select(safe_number(df.x).alias("y")))
+    assert text.count("regexp_extract") == 1
+
+
+def test_record_star_reads_its_records_once(spark, sf_dir):
+    text = plan(QUERIES["record_star"](spark, sf_dir))
+    assert text.count("FileScan") == 1

@@ -19,14 +19,18 @@ def broken_rules(df, rules):
     return {r["rule"] for r in quality.validate(df, rules).filter("NOT ok").collect()}
 
 
+DOMAINS = ["s"]
+
+
 def test_a_table_obeys_its_own_rules(good):
-    assert broken_rules(good, quality.infer_rules(good)) == set()
+    assert broken_rules(good, quality.infer_rules(good, DOMAINS)) == set()
 
 
 def test_rule_kinds(good):
-    rules = {r["rule"]: r for r in quality.infer_rules(good).collect()}
-    assert rules["s: value_set"]["members"] == ["a", "b"]
-    assert "free: value_set" not in rules
+    found = quality.infer_rules(good, ["s", "free"]).collect()
+    rules = {r["rule"]: r for r in found}
+    assert sorted(r["member"] for r in found if r["rule"] == "s: value_set") == ["a", "b"]
+    assert sum(r["rule"] == "free: value_set" for r in found) == 25
     assert (rules["day: range"]["low"], rules["day: range"]["high"]) == ("2020-01-01", "2020-01-25")
     assert (rules["free: length"]["low"], rules["free: length"]["high"]) == ("6", "7")
 
@@ -44,14 +48,14 @@ def test_rule_kinds(good):
 )
 def test_a_fault_breaks_its_rule(spark, good, row, rule):
     faulty = good.unionByName(spark.createDataFrame([row], SCHEMA))
-    rules = quality.infer_rules(good)
+    rules = quality.infer_rules(good, DOMAINS)
     assert broken_rules(faulty, rules) == {rule}
     with pytest.raises(ValueError, match=rule):
         quality.require_valid(quality.validate(faulty, rules))
 
 
 def test_empty_and_narrow_tables_fail(good):
-    rules = quality.infer_rules(good)
+    rules = quality.infer_rules(good, DOMAINS)
     assert "row_count" in broken_rules(good.limit(0), rules)
     assert {"s: value_set", "s: length", "s: null_share"} <= broken_rules(good.drop("s"), rules)
 
@@ -68,9 +72,30 @@ def test_rules_are_stored_once(spark, good):
 def test_outcomes_are_kept_per_run(spark, good):
     path = scratch_path(spark, "outcomes")
     outcome = quality.settled(quality.validate(good, quality.infer_rules(good)))
-    for run in ("a", "b", "b"):
+    for run in ("2024-01-01", "007", "007"):
         quality.save_outcome(outcome, path, run)
-    assert spark.read.parquet(path).count() == 2 * outcome.count()
+    kept = quality.load_outcomes(spark, path)
+    assert kept.count() == 2 * outcome.count()
+    assert {r["run"] for r in kept.select("run").collect()} == {"2024-01-01", "007"}
+
+
+def test_not_a_number_bounds_nothing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (2.0,), (nan,)], "x double")
+    rules = quality.infer_rules(df)
+    found = {r["rule"]: (r["low"], r["high"]) for r in rules.collect()}
+    assert found["x: range"] == ("1.0", "2.0")
+    assert float(found["x: null_share"][1]) == pytest.approx(1 / 3)
+    assert broken_rules(spark.createDataFrame([(1.5,), (99.0,)], "x double"), rules) == {"x: range"}
+    assert broken_rules(spark.createDataFrame([(nan,), (nan,)], "x double"), rules) >= {"x: null_share"}
+
+
+def test_open_bounds_and_tolerance(spark, good):
+    rules = quality.infer_rules(good, open_above=["day", "n"], tolerance=0.2)
+    later = spark.createDataFrame([(999, 1.0, dt.date(2031, 1, 2), None, "text 1")], SCHEMA)
+    assert broken_rules(good.unionByName(later), rules) == set()
+    earlier = spark.createDataFrame([(-1, 1.0, dt.date(2011, 1, 2), "a", "text 1")], SCHEMA)
+    assert broken_rules(good.unionByName(earlier), rules) == {"day: range", "n: range"}
 
 
 def test_planted_violations(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tributary.operators import aggregate, quality
@@ -136,7 +138,7 @@ def paths(spark):
 def test_flow_twice(spark, sources):
     where = paths(spark)
     for _ in range(2):
-        outcome = flow.run_flow(spark, sources, where, "2024-01-01")
+        outcome, steps = flow.run_flow(spark, sources, where, "2024-01-01")
         assert outcome.filter("NOT ok").count() == 0
     store = flow.star_store(spark, where.star)
     table = spark.read.parquet(where.consolidated)
@@ -144,12 +146,36 @@ def test_flow_twice(spark, sources):
     assert store.table("rejects").count() == table.filter("date_processing IS NULL").count()
     dated = table.filter("date_processing IS NOT NULL").agg(F.sum(v.MEASURE)).first()[0]
     assert store.table("facts").agg(F.sum(v.MEASURE)).first()[0] == dated
+    counts = {r["step"]: (r["n_rows"], r["n_duplicates"]) for r in steps.collect()}
+    assert counts["consolidated"] == (table.count(), 0)
+    assert counts["facts"][0] + counts["rejects"][0] == table.count()
+    read = [counts[f"read {recipe.tag}"][0] for _, recipe in sources]
+    assert read == [df.count() for df, _ in sources]
+
+
+def test_a_second_day_passes_and_a_fault_does_not(spark, sources):
+    where = paths(spark)
+    reference = consolidated(sources)
+    open_above = [v.DATE, "year", "month", v.MEASURE]
+    options = {"domains": ["source"], "open_above": open_above, "tolerance": 0.5}
+    flow.run_flow(spark, sources, where, "2024-01-01", reference, **options)
+    later = [
+        (df.withColumn("date_processing", F.lit("2031-05-07")) if recipe is CITY else df, recipe)
+        for df, recipe in sources
+    ]
+    flow.run_flow(spark, later, where, "2024-01-02")
+    store = flow.star_store(spark, where.star)
+    assert {r["run"] for r in store.table("facts").select("run").collect()} == {"2024-01-01", "2024-01-02"}
+    with pytest.raises(quality.ValidationFailed, match="source: value_set"):
+        flow.run_flow(spark, [(df, replace(r, tag=f"new {r.tag}")) for df, r in later], where, "2024-01-03")
+    kept = quality.load_outcomes(spark, where.outcomes)
+    assert {r["run"] for r in kept.filter("NOT ok").select("run").collect()} == {"2024-01-03"}
 
 
 def test_broken_rule_stops_the_load(spark, sources):
     where = paths(spark)
     first = consolidated(sources).filter("source = 'cali'")
-    quality.save_rules(quality.infer_rules(first), where.rules)
+    quality.save_rules(quality.infer_rules(first, ["source"]), where.rules)
     with pytest.raises(quality.ValidationFailed, match="source: value_set"):
         flow.run_flow(spark, sources, where, "2024-01-01")
     assert spark.read.parquet(where.outcomes).filter("NOT ok").count() > 0
@@ -210,5 +236,16 @@ def test_record_star(spark):
     for name, column in (("person", "id_person"), ("location", "id_location"), ("registration_date", "id_date")):
         assert facts.join(tables[name], column, "left_anti").count() == 0
     assert {r["year"] for r in tables["registration_date"].collect()} == {2020}
+    seen = Observation("faults")
+    records.valid_records(
+        records.typed_records(
+            spark.createDataFrame(
+                [raw_record(), raw_record(date_of_birth=None)],
+                ", ".join(f"`{c}` string" for c in v.RAW_COLUMNS),
+            )
+        ),
+        seen,
+    ).count()
+    assert (seen.get["n_rows"], seen.get["n_birth_null"]) == (2, 1)
     encoded = records.encoded_records(df)
     assert {(r["sex_Femenino"], r["sex_Masculino"]) for r in encoded.collect()} == {(1, 0), (0, 1)}

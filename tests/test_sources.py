@@ -76,23 +76,23 @@ def page_files(folder: Path, sizes):
     return records
 
 
-@pytest.mark.parametrize("sizes", [[5, 5, 2], [5, 5, 5], [3], [0]])
-@pytest.mark.parametrize("strides", [1, 2, 5])
-def test_paged_source_reads_every_page_once(spark, tmp_path, sizes, strides):
-    records = page_files(tmp_path, sizes)
-    folder = str(tmp_path)
-
-    def fetch(offset, limit):
+@pytest.mark.parametrize("rows", [0, 3, 10, 12, 15])
+@pytest.mark.parametrize("pages_per_task", [1, 2, 5])
+def test_paged_source_reads_every_row_once(spark, tmp_path, rows, pages_per_task):
+    """Every third page comes short; no row is lost or read twice."""
+    records = page_files(tmp_path, [rows])
+    path = f"{tmp_path}/0.json"
+
+    def fetch(offset, limit, where):
         import json
-        import os
 
-        path = f"{folder}/{offset // limit}.json"
-        return json.load(open(path)) if os.path.exists(path) else []
+        asked = json.load(open(path))[offset : offset + limit]
+        return asked[: max(1, len(asked) - 2)] if offset % 3 == 0 else asked
 
-    spark.dataSource.register(pages.paged_source(fetch, "test_pages"))
+    spark.dataSource.register(pages.paged_source(fetch, lambda where: rows, "test_pages"))
     df = (
         spark.read.format("test_pages")
-        .options(columns="id,vigencia,x", pageSize="5", numPartitions=str(strides))
+        .options(columns="id,vigencia,x", pageSize="5", pagesPerTask=str(pages_per_task))
         .load()
     )
     expected = {(r["id"], r["vigencia"], str(r["x"]) if "x" in r else None) for r in records}
@@ -100,16 +100,67 @@ def test_paged_source_reads_every_page_once(spark, tmp_path, sizes, strides):
     assert len(got) == len(records) and {tuple(r) for r in got} == expected
 
 
+@pytest.mark.parametrize("counted", [9, 11])
+def test_paged_source_fails_on_other_row_counts(spark, counted):
+    def fetch(offset, limit, where):
+        return [{"id": str(i)} for i in range(10)][offset : offset + limit]
+
+    spark.dataSource.register(pages.paged_source(fetch, lambda where: counted, "changed_pages"))
+    df = spark.read.format("changed_pages").options(columns="id", pageSize="4").load()
+    with pytest.raises(Exception, match="rows"):
+        df.collect()
+
+
+def test_filters_reach_the_service(spark):
+    def fetch(offset, limit, where):
+        assert where == [("vigencia", ">=", "2012")]
+        return [{"vigencia": "2013"}, {"vigencia": "2012"}][offset : offset + limit]
+
+    source = pages.paged_source(fetch, lambda where: 2 if where else 5, "filtered_pages", True)
+    spark.dataSource.register(source)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = spark.read.format("filtered_pages").options(columns="vigencia").load()
+        assert as_set(df.filter("vigencia >= '2012'")) == {("2013",), ("2012",)}
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_cells_read_alike_from_both_readers(spark, tmp_path):
+    records = [{"a": True, "b": {"x": [1, "é"]}, "c": 1.5}, {"a": None, "b": "t", "c": 7}]
+    (tmp_path / "0.json").write_text("\n".join(json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in records))
+    landed = as_set(pages.read_landed(spark, str(tmp_path), ["a", "b", "c"]))
+    source = pages.paged_source(lambda o, n, w: records[o : o + n], lambda w: 2, "typed_pages")
+    spark.dataSource.register(source)
+    assert as_set(spark.read.format("typed_pages").options(columns="a,b,c").load()) == landed
+
+
 def test_paged_source_raises_errors(spark):
-    def fetch(offset, limit):
+    def fetch(offset, limit, where):
         raise OSError("service is down")
 
-    spark.dataSource.register(pages.paged_source(fetch, "broken_pages"))
-    df = spark.read.format("broken_pages").options(columns="id", numPartitions="1").load()
+    spark.dataSource.register(pages.paged_source(fetch, lambda where: 1, "broken_pages"))
+    df = spark.read.format("broken_pages").options(columns="id").load()
     with pytest.raises(Exception, match="service is down"):
         df.collect()
 
 
+def test_rows_that_do_not_fit_are_loud(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("fecha,hecho,n\n1,2,3\n1,2,3,4\n5\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, str(tmp_path), NAMES).select("n").collect()
+    rows, rejects = files.split_csv(spark, str(tmp_path), NAMES)
+    assert as_set(rows) == {("1", "2", "3")} and as_set(rejects) == {("1,2,3,4",), ("5",)}
+
+
+def test_lines_that_are_no_records_are_loud(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}\n{"id": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        pages.read_landed(spark, str(tmp_path), ["id"]).collect()
+    rows, rejects = pages.split_landed(spark, str(tmp_path), ["id"])
+    assert as_set(rows) == {("1",)} and as_set(rejects) == {('{"id": ',)}
+
+
 def test_landed_pages(spark):
     path = scratch_path(spark, "pages")
     df = spark.range(23).select(F.col("id").cast("string").alias("id"), F.lit("2012").alias("vigencia"))
@@ -130,7 +181,9 @@ def test_overlapping_pages(spark):
 
 
 def test_jdbc_scan_options():
-    assert relational.scan_options("victims") == {"dbtable": "victims", "fetchsize": "10000"}
+    with pytest.raises(ValueError, match="split"):
+        relational.scan_options("victims")
+    assert relational.scan_options("victims", small=True) == {"dbtable": "victims", "fetchsize": "10000"}
     split = relational.scan_options("victims", "id", (1, 1000), 8)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "1000", "8")
 

@@ -97,6 +97,40 @@ def test_reset_drops_what_was_stored(spark, batch):
     assert store.table("facts").count() == 1
 
 
+def test_a_mended_batch_leaves_nothing_of_the_first(spark, batch):
+    store = load(spark, scratch_path(spark, "star"))
+    store.load(batch, "2024-01-01")
+    mended = batch.withColumn("day", F.coalesce("day", F.lit(dt.datetime(2020, 5, 6))))
+    store.load(mended, "2024-01-01")
+    assert store.table("facts").count() == 5 and store.table("rejects").count() == 0
+    store.load(batch.filter("day IS NULL"), "2024-01-01")
+    assert store.table("facts").count() == 0 and store.table("rejects").count() == 1
+    assert {r["run"] for r in store.table("rejects").collect()} == {"2024-01-01"}
+
+
+@pytest.mark.parametrize(
+    ("fault", "constraint"),
+    [
+        (("f", "a", None, DAY, None), "not null: n"),
+        (("f" * 101, "a", "p", DAY, 1.0), "length: sex"),
+        (("f", "a", "p", DAY, -1.0), "check: n >= 0"),
+    ],
+)
+def test_a_broken_constraint_stops_the_load(spark, fault, constraint):
+    good = rows(spark, [("f", "a", "p", dt.datetime(2020, 1, 2), 1.0)])
+    bad = good.union(spark.createDataFrame([fault], "sex string, group string, place string, day date, n double"))
+    path = scratch_path(spark, "star")
+    store = StarStore(spark, path, (PERSON, PLACE), "day", ("n",), (), ("n",), 100, "n >= 0")
+    with pytest.raises(star.ConstraintBroken, match=constraint):
+        store.load(bad, "r")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.table("facts")
+    found = {r["constraint"]: r["n"] for r in store.violations(bad).collect()}
+    assert found[constraint] == 1
+    store.load(good, "r")
+    assert store.table("facts").count() == 1
+
+
 def test_reports(spark):
     fact = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 2), (3, 1)], "p int, a int")
     person = spark.createDataFrame([(1, "f"), (2, "m")], "id_p int, sex string")

@@ -11,11 +11,12 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def safe_number(col: Column) -> Column:
     """Text or number as double; junk, NaN and infinities become null.
 
-    The pattern runs before the cast, which would accept "5d" and "nan".
+    The pattern is evaluated once, before the cast, which would accept "5d" and
+    "nan": what it does not match is an empty text, and that casts to null.
     """
     text = F.trim(F.translate(col.cast("string"), "\t\r\n", "   "))
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    value = F.regexp_extract(text, NUMBER, 0).try_cast("double")
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def finite(col: Column) -> Column:

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from functools import lru_cache
 from itertools import filterfalse
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,17 +27,19 @@ def fold_literal(text: str) -> str:
     return _bare(text).lower().strip()
 
 
-@lru_cache(maxsize=1)
-def _fold_rules() -> tuple[str, str, dict[str, str], str]:
-    """Translate strings, expansions replaced one by one, and all other expansions.
+# Hangul syllables are composed by rule: 19 leads, 21 vowels, 27 tails or none.
+SYLLABLES = (0xAC00, 0xD7A3)
+LEADS, VOWELS, TAILS = (
+    [chr(first + n) for n in range(count)] for first, count in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))
+)
 
-    One-to-one folds and deletions cover the whole code space. Expansions to
-    several characters are replaced for the Latin range, punctuation, letterlike
-    symbols and Latin ligatures; the characters of the rest are only listed.
-    """
-    source, target, dropped, expanded, other = [], [], [], {}, []
+
+@lru_cache(maxsize=1)
+def _fold_rules() -> tuple[str, str, dict[str, str]]:
+    """Translate strings for one-to-one folds and deletions, and all expansions but syllables."""
+    source, target, dropped, expanded = [], [], [], {}
     for point in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= point <= 0xDFFF:
+        if 0xD800 <= point <= 0xDFFF or SYLLABLES[0] <= point <= SYLLABLES[1]:
             continue
         char = chr(point)
         bare = _bare(char)
@@ -49,11 +50,9 @@ def _fold_rules() -> tuple[str, str, dict[str, str], str]:
         elif len(bare) == 1:
             source.append(char)
             target.append(bare)
-        elif point < 0x250 or 0x2000 <= point < 0x2190 or 0xFB00 <= point <= 0xFB06:
-            expanded[char] = bare
         else:
-            other.append(char)
-    return "".join(source + dropped), "".join(target), expanded, "".join(other)
+            expanded[char] = bare
+    return "".join(source + dropped), "".join(target), expanded
 
 
 def _has_any(col: Column, characters: str) -> Column:
@@ -79,39 +78,51 @@ def _plain_edges(col: Column) -> Column:
     return first.between("!", "~") & last.between("!", "~")
 
 
-def fold(col: Column, exact: bool = False) -> Column:
+def _syllable(char: Column) -> Column:
+    """The letters of one Hangul syllable."""
+    place = F.ascii(char) - SYLLABLES[0]
+    vowels, tails = len(VOWELS), len(TAILS) + 1
+    letters = [
+        (LEADS, F.floor(place / (vowels * tails))),
+        (VOWELS, F.floor(place / tails) % vowels),
+        (["", *TAILS], place % tails),
+    ]
+    return F.concat(
+        *[F.element_at(F.array(*map(F.lit, chars)), (n + 1).cast("int")) for chars, n in letters]
+    )
+
+
+def _spelled(col: Column, expanded: dict[str, str]) -> Column:
+    """A text with every expanding character replaced by its expansion."""
+    table = F.from_json(F.lit(json.dumps(expanded)), "map<string,string>")
+    chars = F.split(col, "")
+    return F.array_join(
+        F.transform(
+            chars,
+            lambda c: F.when(
+                F.octet_length(c) > 1,
+                F.when(c.between(*map(chr, SYLLABLES)), _syllable(c)).otherwise(
+                    F.coalesce(F.element_at(table, c), c)
+                ),
+            ).otherwise(c),
+        ),
+        "",
+    )
+
+
+def fold(col: Column) -> Column:
     """Lower-case text without accents, compatibility forms resolved, trimmed.
 
-    JVM expressions only. Pure ASCII values skip the translation. With
-    ``exact=True`` the rows holding an expansion outside the built-in set
-    (Hangul, Arabic presentation forms, squared symbols) go through an Arrow
-    function; other rows send a null to it.
+    JVM expressions only. Pure ASCII values skip the translation; only values
+    with a character that becomes several ones are taken apart.
     """
-    source, target, expanded, other = _fold_rules()
+    source, target, expanded = _fold_rules()
     wide = F.octet_length(col) > F.length(col)
-    pairs = F.from_json(F.lit(json.dumps(list(expanded.items()))), "array<array<string>>")
-    spelled = F.aggregate(pairs, col, lambda text, pair: F.replace(text, pair[0], pair[1]))
-    spelled = F.when(_has_any(col, "".join(expanded)), spelled).otherwise(col)
+    syllables = col.rlike(f"[{chr(SYLLABLES[0])}-{chr(SYLLABLES[1])}]")
+    rare = wide & (syllables | _has_any(col, "".join(expanded)))
+    spelled = F.when(rare, _spelled(col, expanded)).otherwise(col)
     folded = F.lower(F.when(wide, F.translate(spelled, source, target)).otherwise(col))
-    folded = F.when(_plain_edges(col), folded).otherwise(strip(folded))
-    if not exact:
-        return folded
-    rare = F.when(wide & _has_any(col, other), col)
-    return F.coalesce(_arrow_fold()(rare), folded)
-
-
-def _arrow_fold():
-    @F.pandas_udf("string")
-    def fold_values(values: pd.Series) -> pd.Series:
-        from itertools import filterfalse
-        from unicodedata import combining, normalize
-
-        def one(text):
-            return "".join(filterfalse(combining, normalize("NFKD", text))).lower().strip()
-
-        return values.map(one, na_action="ignore")
-
-    return fold_values
+    return F.when(_plain_edges(col), folded).otherwise(strip(folded))
 
 
 def needs_fold(col: Column, capitals: str = "A-ZÁÉÍÓÚÑ") -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.functions.numbers import finite
 from tributary.functions.recode import presence_flag
 from tributary.operators.shape import present
 
@@ -85,8 +86,8 @@ def value_shares(df: DataFrame, column: str, k: int | None = None, digits: int =
     known = df.filter(F.col(column).isNotNull())
     counts = known.rollup(column).agg(F.count("*").alias("n"), F.grouping(column).alias("is_total"))
     if k is None:
-        total = known.agg(F.count("*")).scalar()
-        rows = known.groupBy(column).agg(F.count("*").alias("n")).withColumn("total", total)
+        grouped = known.groupBy(column).agg(F.count("*").alias("n"))
+        rows = grouped.withColumn("total", grouped.agg(F.sum("n")).scalar())
     else:
         head = counts.orderBy(F.desc("is_total"), F.desc("n"), column).limit(k + 1)
         rows = head.withColumn(
@@ -127,8 +128,11 @@ def argmax_per_group(
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between the extremes, last one closed, empty ones kept."""
-    x = F.col(column).cast("double")
+    """Equal-width bins between the extremes, last one closed, empty ones kept.
+
+    NaN and infinities count as missing.
+    """
+    x = finite(F.col(column).cast("double"))
     ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("ends")).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     bucket = F.when(lo == hi, F.lit(1)).otherwise(F.least(F.width_bucket(x, lo, hi, bins), F.lit(bins)))
@@ -161,7 +165,25 @@ def ordered_category_count(df: DataFrame, column: str, categories: Sequence[str]
 
 
 def pivot_first(
-    df: DataFrame, index: str, columns: str, values: Sequence, measure: str
+    df: DataFrame, index: str, columns: str, values: Sequence | None, measure: str
 ) -> DataFrame:
-    """One row per index, one column per listed value, holding the measure."""
-    return df.groupBy(index).pivot(columns, list(values)).agg(F.first(measure))
+    """One row per index, one column per value, holding the measure.
+
+    Without ``values`` they are looked up. A value that is not listed, or a second
+    row for one cell, fails the job: neither would have a place.
+    """
+    if values is None:
+        found = df.select(columns).filter(F.col(columns).isNotNull()).distinct().collect()
+        values = sorted(row[0] for row in found)
+    cells = df.filter(F.col(columns).isNotNull())
+    listed = F.col(columns).isin(list(values)) if values else F.lit(False)
+    checked = F.when(listed, F.col(columns)).otherwise(
+        F.raise_error(F.concat(F.lit("no column for "), F.col(columns).cast("string")))
+    )
+    kind = df.schema[columns].dataType
+    counted = cells.withColumn(columns, checked.cast(kind)).groupBy(index, columns).agg(
+        F.when(F.count("*") == 1, F.first(measure))
+        .otherwise(F.raise_error(F.lit("two rows for one cell")))
+        .alias(measure)
+    )
+    return counted.groupBy(index).pivot(columns, list(values)).agg(F.first(measure))

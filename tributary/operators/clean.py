@@ -59,7 +59,6 @@ def fold_text(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     only_if_needed: bool = False,
-    exact: bool = False,
 ) -> DataFrame:
     """Fold text columns.
 
@@ -68,7 +67,7 @@ def fold_text(
     subquery of the same query.
     """
     if not only_if_needed:
-        return map_columns(df, columns, lambda c: fold(c, exact))
+        return map_columns(df, columns, fold)
     chosen = text_columns(df) if columns is None else present(df, columns)
     if not chosen:
         return df
@@ -76,7 +75,7 @@ def fold_text(
         F.struct(*[F.bool_or(needs_fold(F.col(c))).alias(c) for c in chosen]).alias("flags")
     ).scalar()
     return df.withColumns(
-        {c: F.when(flags.getField(c), fold(F.col(c), exact)).otherwise(F.col(c)) for c in chosen}
+        {c: F.when(flags.getField(c), fold(F.col(c))).otherwise(F.col(c)) for c in chosen}
     )
 
 

@@ -28,14 +28,16 @@ def one_hot(
     column: str,
     prefix: str,
     values: Sequence[str] | None = None,
-    max_columns: int = 1000,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """A 0/1 column per value; a null row is 0 everywhere.
 
-    Values not given are looked up by one job. More of them than ``max_columns``
-    is an error, since each becomes a column.
+    Values not given are looked up by one job, which needs ``max_columns``: each
+    value becomes a column, and more of them than the caller allows is an error.
     """
     if values is None:
+        if max_columns is None:
+            raise ValueError(f"give the values of '{column}' or the most columns to make of them")
         found = (
             df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_columns + 1)
         ).collect()

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.session import shared_dir
 
-# Up to these sizes one task may sort a whole table, and a join may broadcast it.
-ONE_TASK_ROWS = 100_000
-ONE_TASK_BYTES = 16 * 2**20
+# Up to these measured sizes a join may broadcast a table.
+SMALL_ROWS = 100_000
+SMALL_BYTES = 16 * 2**20
+PARTITION_BITS = 33  # of a monotonically increasing id: the row's place in its partition
 
 
 @dataclass(frozen=True)
@@ -33,48 +34,40 @@ def number_distinct(
     columns: Sequence[str],
     number: str,
     start: int | Column = 1,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> Numbered:
     """Distinct rows of some columns, numbered without gaps in sorted order, nulls first.
 
-    The distinct rows are checkpointed, so the input is read once and a lost
-    executor cannot change the numbers. ``start`` may be a scalar subquery. Small results are numbered by one sorted
-    task. Larger ones are range-partitioned, each partition is numbered on its
-    own and moved up by the rows of the partitions before it.
+    The distinct rows are range-partitioned and sorted inside their partitions; a
+    row's number is its place there plus the rows of the partitions before. They
+    are checkpointed once with their places, so the input is read once and a lost
+    executor cannot change the numbers. ``start`` may be a scalar subquery.
     """
     shared_dir(df.sparkSession)
-    distinct = df.select(*columns).distinct().checkpoint()
-    text = F.concat_ws("", *[F.col(c).cast("string") for c in columns])
-    rows, size = distinct.agg(F.count("*"), F.sum(F.octet_length(text))).first()
-    is_small = rows <= one_task_rows and (size or 0) <= ONE_TASK_BYTES
-    if is_small:
-        order = Window.orderBy(*columns)
-        table = distinct.withColumn(number, F.row_number().over(order).cast("long") + (start - 1))
-    else:
-        table = _number_ranges(distinct, columns, number, start)
-    return Numbered(table.select(number, *columns), rows, is_small)
-
-
-def _number_ranges(
-    df: DataFrame, columns: Sequence[str], number: str, start: int | Column
-) -> DataFrame:
-    # Range boundaries come from a sample, so they are fixed on storage first.
-    ranged = (
-        df.repartitionByRange(*columns)
-        .withColumn("__part", F.spark_partition_id())
+    placed = (
+        df.select(*columns)
+        .distinct()
+        .repartitionByRange(*columns)
+        .sortWithinPartitions(*columns)
+        .withColumn("__place", F.monotonically_increasing_id())
         .checkpoint()
     )
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.shiftright("__place", PARTITION_BITS)
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in columns])
     # One row per partition: bounded by the partition count, not by the data.
-    offsets = ranged.groupBy("__part").count().select(
-        "__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset")
-    )
-    inside = Window.partitionBy("__part").orderBy(*columns)
-    return (
-        ranged.withColumn("__row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(number, F.col("__offset") + F.col("__row") + (start - 1))
+    parts = placed.groupBy(part.alias("part")).agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length(text)).alias("bytes")
     )
+    found = {r["part"]: (r["rows"], r["bytes"] or 0) for r in parts.collect()}
+    offsets, rows = [], 0
+    for one in range(max(found, default=0) + 1):
+        offsets.append(rows)
+        rows += found.get(one, (0, 0))[0]
+    size = sum(b for _, b in found.values())
+    offset = F.element_at(F.lit(offsets), (part + 1).cast("int"))
+    inside = F.col("__place") - F.shiftleft(part, PARTITION_BITS)
+    table = placed.withColumn(number, offset.cast("long") + inside + start)
+    is_small = rows <= SMALL_ROWS and size <= SMALL_BYTES
+    return Numbered(table.select(number, *columns), rows, is_small)
 
 
 def null_safe_match(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:

@@ -1,10 +1,11 @@
 """Rules inferred from a table, validation, and key checks.
 
-A rule is a row ``(rule, column, kind, low, high, members)``; bounds are kept as
-text in the column's own type, so the table can be stored as JSON.
+A rule is a row ``(rule, column, kind, low, high, member)``; bounds are kept as
+text in the column's own type, so the table can be stored as JSON. A value set
+is as many rows as it has members.
 
-Kinds: ``row_count`` (table), ``null_share``, ``range`` (numbers, dates),
-``length`` (text), ``value_set`` (text with few values).
+Kinds: ``row_count`` (table), ``null_share`` (NaN counts as null), ``range``
+(numbers, dates), ``length`` (text), ``value_set`` (the columns named as domains).
 """
 
 from __future__ import annotations
@@ -13,15 +14,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
-
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    FractionalType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from tributary.functions.numbers import finite
 from tributary.functions.recode import literal
 from tributary.operators.keys import null_safe_match
 from tributary.operators.profile import long_form
 from tributary.session import path_exists
+from tributary.sources.files import read_runs, write_run
 
-RULES = "rule string, column string, kind string, low string, high string, members array<string>"
-MAX_MEMBERS = 20
+RULES = "rule string, column string, kind string, low string, high string, member string"
 
 
 def _ordered(df: DataFrame) -> list[str]:
@@ -33,53 +45,71 @@ def _texts(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, StringType)]
 
 
-def infer_rules(df: DataFrame, max_members: int = MAX_MEMBERS) -> DataFrame:
-    """Rules that hold for a table.
+def _missing(df: DataFrame, column: str) -> str:
+    floating = isinstance(df.schema[column].dataType, FractionalType) and not isinstance(
+        df.schema[column].dataType, DecimalType
+    )
+    name = f"`{column}`"
+    return f"({name} IS NULL OR isnan({name}))" if floating else f"({name} IS NULL)"
+
 
-    One aggregate yields counts, nulls, extremes, lengths and estimated distinct
-    counts of all columns. Text columns with few values by that estimate are
-    counted exactly by a second one, which handles no other column.
+def infer_rules(
+    df: DataFrame,
+    domains: Sequence[str] = (),
+    open_above: Sequence[str] = (),
+    tolerance: float = 0.0,
+) -> DataFrame:
+    """Rules that hold for a table, which should be another one than is validated.
+
+    One aggregate yields counts, nulls, extremes and lengths of all columns. The
+    columns named in ``domains`` get their values as a rule, however many there
+    are. Columns in ``open_above`` have no upper bound; null shares may grow by
+    ``tolerance``. NaN and infinities bound nothing.
     """
     ordered, texts = _ordered(df), _texts(df)
     checked = ordered + texts
     stats = [F.count("*").alias("rows")]
-    stats += [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in checked]
+    stats += [F.expr(f"count_if({_missing(df, c)})").alias(f"null {c}") for c in checked]
     for c in ordered:
-        stats += [F.min(c).cast("string").alias(f"min {c}"), F.max(c).cast("string").alias(f"max {c}")]
-    for c in texts:
-        size = F.length(c)
+        floating = isinstance(df.schema[c].dataType, (FloatType, DoubleType))
+        value = finite(F.col(c)) if floating else F.col(c)
         stats += [
-            F.min(size).cast("string").alias(f"min {c}"),
-            F.max(size).cast("string").alias(f"max {c}"),
-            F.approx_count_distinct(c).alias(f"distinct {c}"),
+            F.min(value).cast("string").alias(f"min {c}"),
+            F.max(value).cast("string").alias(f"max {c}"),
         ]
+    for c in texts:
+        size = F.length(c)
+        stats += [F.min(size).cast("string").alias(f"min {c}"), F.max(size).cast("string").alias(f"max {c}")]
     found = df.agg(*stats).first()
 
     rows = [("row_count", None, "row_count", "1", None, None)]
     for c in checked:
         share = found[f"null {c}"] / found["rows"] if found["rows"] else 0.0
-        rows.append((f"{c}: null_share", c, "null_share", "0.0", str(share), None))
+        rows.append((f"{c}: null_share", c, "null_share", "0.0", str(min(1.0, share + tolerance)), None))
     for kind, names in (("range", ordered), ("length", texts)):
         for c in names:
             if found[f"min {c}"] is not None:
-                low, high = found[f"min {c}"], found[f"max {c}"]
+                low, high = found[f"min {c}"], None if c in open_above else found[f"max {c}"]
                 rows.append((f"{c}: {kind}", c, kind, low, high, None))
-    few = [c for c in texts if 0 < found[f"distinct {c}"] <= 2 * max_members]
-    for c, members in _value_sets(df, few, max_members):
-        rows.append((f"{c}: value_set", c, "value_set", None, None, members))
-    return df.sparkSession.createDataFrame(rows, RULES)
-
-
-def _value_sets(df: DataFrame, columns: Sequence[str], most: int) -> list[tuple[str, list[str]]]:
-    if not columns:
-        return []
-    values = long_form(df, columns).filter("value IS NOT NULL").distinct()
-    sets = values.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("members"))
-    return [(r["column"], r["members"]) for r in sets.collect() if len(r["members"]) <= most]
+    rules = df.sparkSession.createDataFrame(rows, RULES)
+    if not domains:
+        return rules
+    members = long_form(df, list(domains)).filter("value IS NOT NULL").distinct()
+    none = F.lit(None).cast("string")
+    return rules.unionByName(
+        members.select(
+            F.concat("column", F.lit(": value_set")).alias("rule"),
+            "column",
+            F.lit("value_set").alias("kind"),
+            none.alias("low"),
+            none.alias("high"),
+            F.col("value").alias("member"),
+        )
+    )
 
 
 def _outcome(df: DataFrame, rule: Row) -> tuple[str, str]:
-    """SQL aggregates (observed, ok) of one rule."""
+    """SQL aggregates (observed, ok) of one rule without members."""
     name, kind = f"`{rule['column']}`", rule["kind"]
     if kind == "row_count":
         bounds = [("count(*) >= ", rule["low"]), ("count(*) <= ", rule["high"])]
@@ -87,32 +117,65 @@ def _outcome(df: DataFrame, rule: Row) -> tuple[str, str]:
     if rule["column"] not in df.columns:
         return "max('no such column')", "bool_and(false)"
     if kind == "null_share":
-        share = f"coalesce(try_divide(count_if({name} IS NULL), count(*)), 0D)"
+        share = f"coalesce(try_divide(count_if({_missing(df, rule['column'])}), count(*)), 0D)"
         return share, f"{share} <= {float(rule['high'])!r}D"
-    if kind == "value_set":
-        members = ", ".join(map(literal, rule["members"]))
-        broken = f"count_if({name} NOT IN ({members}))"
-    else:
-        cast = "int" if kind == "length" else df.schema[rule["column"]].dataType.simpleString()
-        value = f"length({name})" if kind == "length" else name
-        low, high = (f"cast({literal(rule[end])} AS {cast})" for end in ("low", "high"))
-        broken = f"count_if({value} NOT BETWEEN {low} AND {high})"
+    cast = "int" if kind == "length" else df.schema[rule["column"]].dataType.simpleString()
+    value = f"length({name})" if kind == "length" else name
+    outside = [
+        f"{value} {sign} cast({literal(rule[end])} AS {cast})"
+        for end, sign in (("low", "<"), ("high", ">"))
+        if rule[end] is not None
+    ]
+    broken = f"count_if({' OR '.join(outside) or 'false'})"
     return broken, f"{broken} = 0"
 
 
+def _strangers(df: DataFrame, sets: DataFrame) -> DataFrame:
+    """Outcome of the value sets: rows whose value is no member.
+
+    Values are counted before they meet the members.
+    """
+    named = sets.select("rule", "column", "kind").distinct()
+    columns = [r["column"] for r in named.select("column").distinct().collect()]
+    there = [c for c in columns if c in df.columns]
+    absent = F.array(*[F.lit(c) for c in columns if c not in there]).cast("array<string>")
+    outcome = named.withColumn("absent", F.array_contains(absent, F.col("column")))
+    strange = F.lit(0).cast("long")
+    if there:
+        cells = long_form(df, there).filter("value IS NOT NULL")
+        counted = cells.groupBy("column", "value").agg(F.count("*").alias("n"))
+        members = sets.select("column", F.col("member").alias("value"))
+        loose = counted.join(members, ["column", "value"], "left_anti")
+        outcome = outcome.join(loose.groupBy("column").agg(F.sum("n").alias("n")), "column", "left")
+        strange = F.coalesce("n", F.lit(0))
+    return outcome.select(
+        "rule",
+        "column",
+        "kind",
+        F.when(F.col("absent"), F.lit("no such column")).otherwise(strange.cast("string")).alias("observed"),
+        (~F.col("absent") & (strange == 0)).alias("ok"),
+    )
+
+
 def validate(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Outcome of every rule: (rule, column, kind, observed, ok).
 
-    All rules are evaluated by one aggregate over the table. ``observed`` is the
-    row count, the null share, or the number of rows that break the rule.
+    All rules but value sets are evaluated by one aggregate over the table, value
+    sets by one more. ``observed`` is the row count, the null share, or the
+    number of rows that break the rule.
     """
     checks, cells = [], []
-    for i, rule in enumerate(rules.collect()):
+    for i, rule in enumerate(rules.filter("kind <> 'value_set'").collect()):
         observed, ok = _outcome(df, rule)
         checks += [F.expr(f"string({observed}) AS seen{i}"), F.expr(f"coalesce({ok}, false) AS ok{i}")]
-        named = ", ".join(f"{literal(rule[c])} AS {c}" for c in ("rule", "column", "kind"))
+        named = ", ".join(f"string({literal(rule[c])}) AS {c}" for c in ("rule", "column", "kind"))
         cells.append(f"struct({named}, seen{i} AS observed, ok{i} AS ok)")
-    return df.agg(*checks).selectExpr(f"inline(array({', '.join(cells)}))")
+    sets = rules.filter("kind = 'value_set'")
+    some_sets = not sets.isEmpty()
+    if not cells:
+        return _strangers(df, sets)
+    outcome = df.agg(*checks).selectExpr(f"inline(array({', '.join(cells)}))")
+    return outcome.unionByName(_strangers(df, sets)) if some_sets else outcome
 
 
 def settled(outcome: DataFrame) -> DataFrame:
@@ -141,21 +204,27 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(RULES).json(path) if path_exists(spark, path) else None
 
 
-def load_or_infer(df: DataFrame, path: str) -> DataFrame:
-    """The stored rules; only if none are stored, those of ``df``, stored now."""
-    spark = df.sparkSession
+def load_or_infer(reference: DataFrame, path: str, **options) -> DataFrame:
+    """The stored rules; only if none are stored, those of ``reference``, stored now.
+
+    The options are those of ``infer_rules``.
+    """
+    spark = reference.sparkSession
     stored = load_rules(spark, path)
     if stored is None:
-        save_rules(infer_rules(df), path)
+        save_rules(infer_rules(reference, **options), path)
         stored = load_rules(spark, path)
     return stored
 
 
 def save_outcome(outcome: DataFrame, path: str, run: str) -> None:
-    """Append the outcome of a run to the result store; a repeated run replaces its own."""
-    outcome.withColumn("run", F.lit(run)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("run").parquet(path)
+    """Keep the outcome of a run in the result store; a repeated run replaces its own."""
+    write_run(outcome, path, run)
+
+
+def load_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """The outcomes of all runs kept."""
+    return read_runs(spark, path)
 
 
 def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -84,6 +84,9 @@ def union_tagged(tables: Mapping[str, DataFrame], schema: StructType) -> DataFra
     return union_conformed([tag(t, name) for name, t in tables.items()], schema)
 
 
-def with_total_rows(df: DataFrame, column: str) -> DataFrame:
-    """Number of all rows as a column, taken from a scalar subquery."""
-    return df.withColumn(column, df.agg(F.count("*")).scalar())
+def with_total_rows(df: DataFrame, column: str, total: Column | None = None) -> DataFrame:
+    """Number of all rows as a column, from a scalar subquery.
+
+    ``total`` gives the number where a cheaper table than ``df`` has it.
+    """
+    return df.withColumn(column, df.agg(F.count("*")).scalar() if total is None else total)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tributary.operators.clean import split_rows
 from tributary.operators.keys import (
@@ -15,7 +16,8 @@ from tributary.operators.keys import (
     null_safe_match,
     number_distinct,
 )
-from tributary.session import path_exists, shared_dir
+from tributary.session import path_exists, remove_path, shared_dir
+from tributary.sources.files import read_runs, write_run
 
 
 @dataclass(frozen=True)
@@ -50,18 +52,29 @@ def build_dimension(df: DataFrame, dim: Dimension) -> Numbered:
     return number_distinct(df, dim.columns, dim.id)
 
 
+ROWS = "__rows"
+
+
+def dimension_rows(df: DataFrame, dims: Sequence[Dimension], *more: str) -> DataFrame:
+    """The stored combinations of all natural keys (and more columns), with their row counts.
+
+    One pass over the input from which every dimension can be made.
+    """
+    columns = list(dict.fromkeys([*(c for dim in dims for c in dim.columns), *more]))
+    shared_dir(df.sparkSession)
+    return df.groupBy(*columns).agg(F.count("*").alias(ROWS)).checkpoint()
+
+
 def build_dimensions(
     df: DataFrame, dims: Sequence[Dimension]
 ) -> list[tuple[Dimension, Numbered]]:
     """Several dimensions from one pass over the input.
 
-    The combinations of all natural keys are stored first; each dimension is
-    then made from them. Worth it when the input is a costly query.
+    The combinations of all natural keys are stored first, unless ``df`` is what
+    ``dimension_rows`` made; each dimension is then made from them.
     """
-    columns = list(dict.fromkeys(c for dim in dims for c in dim.columns))
-    shared_dir(df.sparkSession)
-    combinations = df.select(*columns).distinct().checkpoint()
-    return [(dim, build_dimension(combinations, dim)) for dim in dims]
+    stored = df if ROWS in df.columns else dimension_rows(df, dims)
+    return [(dim, build_dimension(stored, dim)) for dim in dims]
 
 
 def date_dimension(df: DataFrame, column: str) -> DataFrame:
@@ -125,13 +138,22 @@ def build_fact(
     return fact.select(*[dim.id for dim, _ in dims], date, *measures), rejected
 
 
+class ConstraintBroken(ValueError):
+    """A batch breaks a constraint of the star it is loaded into."""
+
+
 @dataclass(frozen=True)
 class StarStore:
     """A star kept as Parquet below one shared path.
 
-    Dimensions only grow, by members not yet stored. Facts are written per run
-    into their own partition, which a repeated run replaces, so loading a batch
-    twice equals loading it once.
+    Dimensions only grow, by members not yet stored. Facts and rejects are
+    written per run into a folder of their own, which a repeated run replaces, so
+    loading a batch twice equals loading it once, and loading a mended batch
+    leaves nothing of the first.
+
+    A batch is checked before any of it is visible: ``not_null`` columns hold no
+    null, natural keys are at most ``max_length`` characters long, ``check`` (an
+    SQL condition on the batch) is not false, and every fact finds its dimensions.
     """
 
     spark: SparkSession
@@ -140,15 +162,39 @@ class StarStore:
     date: str
     measures: Sequence[str]
     integers: Sequence[str] = field(default=())
+    not_null: Sequence[str] = field(default=())
+    max_length: int = 100
+    check: str | None = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        path = f"{self.path}/{name}"
+        if name in ("facts", "rejects"):
+            return read_runs(self.spark, path)
+        return self.spark.read.parquet(path)
 
     def register_views(self) -> None:
         """Every table of the star as a view of its name, for SQL reports."""
         for name in [dim.name for dim in self.dims] + ["dates", "facts"]:
             self.table(name).createOrReplaceTempView(name)
 
+    def violations(self, df: DataFrame) -> DataFrame:
+        """Rows of the batch that break each constraint: (constraint, n), none left out."""
+        texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+        keys = dict.fromkeys(c for dim in self.dims for c in dim.columns)
+        broken = {f"not null: {c}": F.col(c).isNull() for c in self.not_null}
+        broken |= {f"length: {c}": F.length(c) > self.max_length for c in keys if c in texts}
+        if self.check:
+            broken[f"check: {self.check}"] = ~F.expr(self.check)
+        counts = [F.count_if(condition).alias(f"n{i}") for i, condition in enumerate(broken.values())]
+        cells = [F.struct(F.lit(c).alias("constraint"), F.col(f"n{i}").alias("n")) for i, c in enumerate(broken)]
+        return df.agg(*counts).select(F.inline(F.array(*cells)))
+
+    def _require(self, violations: DataFrame) -> None:
+        broken = violations.filter("n > 0").collect()
+        if broken:
+            listed = "; ".join(f"{r['constraint']} ({r['n']} rows)" for r in broken)
+            raise ConstraintBroken(f"{len(broken)} constraints broken: {listed}")
+
     def _stored(self, name: str) -> DataFrame | None:
         return self.table(name) if path_exists(self.spark, f"{self.path}/{name}") else None
 
@@ -169,26 +215,27 @@ class StarStore:
     def load(self, df: DataFrame, run: str) -> None:
         """Store a batch: new dimension members, dates, facts and rejected rows.
 
-        The batch is read once per table, so it should be a stored one.
+        The batch is read for its constraints, once for all dimensions and dates,
+        for its facts, and for its undated rows only; it should be a stored one.
         """
-        tables = [(dim, self._grow(df, dim)) for dim in self.dims]
-        self._grow_dates(df)
+        if any((self.not_null, self.dims, self.check)):
+            self._require(self.violations(df))
+        rows = dimension_rows(df, self.dims, self.date)
+        tables = [(dim, self._grow(rows, dim)) for dim in self.dims]
+        self._grow_dates(rows)
         fact, rejected = build_fact(df, tables, self.date, self.measures, self.integers)
-        for name, rows in (("facts", fact), ("rejects", rejected)):
-            rows.withColumn("run", F.lit(run)).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy("run").parquet(f"{self.path}/{name}")
+        loose = [F.count_if(F.col(dim.id).isNull()).alias(dim.id) for dim in self.dims]
+        seen = Observation(f"facts {run}")
+        write_run(fact.observe(seen, F.count(F.lit(1)), *loose), f"{self.path}/facts", run)
+        write_run(rejected, f"{self.path}/rejects", run)
+        if missing := [dim.id for dim in self.dims if seen.get[dim.id]]:
+            write_run(fact.limit(0), f"{self.path}/facts", run)
+            raise ConstraintBroken(f"facts without a dimension row: {', '.join(missing)}")
 
     def reset(self, df: DataFrame, run: str) -> None:
         """Drop what is stored and load a batch into an empty star."""
-        for dim in self.dims:
-            build_dimension(df, dim).table.write.mode("overwrite").parquet(
-                f"{self.path}/{dim.name}"
-            )
-        date_dimension(df, self.date).write.mode("overwrite").parquet(f"{self.path}/dates")
-        tables = [(dim, self.table(dim.name)) for dim in self.dims]
-        fact, rejected = build_fact(df, tables, self.date, self.measures, self.integers)
-        for name, rows in (("facts", fact), ("rejects", rejected)):
-            rows.withColumn("run", F.lit(run)).write.mode("overwrite").partitionBy("run").parquet(
-                f"{self.path}/{name}"
-            )
+        if any((self.not_null, self.dims, self.check)):
+            self._require(self.violations(df))
+        for name in [*(dim.name for dim in self.dims), "dates", "facts", "rejects"]:
+            remove_path(self.spark, f"{self.path}/{name}")
+        self.load(df, run)

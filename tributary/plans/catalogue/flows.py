@@ -257,6 +257,26 @@ def flow_star(spark, sf):
     )
 
 
+@query(
+    "flow_metrics",
+    f"""
+    WITH c AS ({CONSOLIDATED_SQL})
+    SELECT 'consolidated' AS step, COUNT(*) AS n_rows, 0::BIGINT AS n_duplicates FROM c
+    UNION ALL SELECT 'facts', COUNT(*), NULL FROM c WHERE date_processing IS NOT NULL
+    UNION ALL SELECT 'rejects', COUNT(*), NULL FROM c WHERE date_processing IS NULL
+    UNION ALL SELECT 'read', COUNT(*), NULL FROM lineitem
+    UNION ALL SELECT 'read', COUNT(*), NULL FROM events
+    UNION ALL SELECT 'read', COUNT(*), NULL FROM orders
+    """,
+)
+def flow_metrics(spark, sf):
+    """Rows and duplicates at every step of a flow."""
+    base = scratch_path(spark, "flow")
+    paths = flow.FlowPaths(*(f"{base}/{n}" for n in ("consolidated", "rules", "outcomes", "star")))
+    _, steps = flow.run_flow(spark, sources(spark, sf), paths, "day-1")
+    return steps.withColumn("step", F.element_at(F.split("step", " "), 1))
+
+
 RECORD_SEX = ["Femenino", "Masculino", "Otro"]
 RECORD_ETHNIC = ["Indígena", "Mestizo", "Negro", "Ninguno", "Rom"]
 RECORD_ETHNIC_CLEAN = ["Indigena", "Mestizo", "Negro", "Ninguno", "Rom"]
@@ -337,7 +357,8 @@ def scored(spark, sf):
            commune, victimization_fact, classification, CAST(vulnerability_index AS BIGINT) AS vulnerability_index,
            CAST(DENSE_RANK() OVER (ORDER BY ethnic_group) - 1 AS BIGINT) AS ethnic_group_encoded,
            CASE WHEN sex = 'Femenino' THEN 1 ELSE 0 END AS sex_Femenino,
-           CASE WHEN sex = 'Masculino' THEN 1 ELSE 0 END AS sex_Masculino
+           CASE WHEN sex = 'Masculino' THEN 1 ELSE 0 END AS sex_Masculino,
+           CASE WHEN sex = 'Otro' THEN 1 ELSE 0 END AS sex_Otro
     FROM ({RECORDS_SQL})
     """,
 )
@@ -346,7 +367,7 @@ def scored_records(spark, sf):
     return longs(encoded, "vulnerability_index").select(
         "code_sspm", v.DATE, "date_of_birth", F.col("years_in_the_visitia").alias("years"), "sex",
         "ethnic_group", "commune", "victimization_fact", "classification", "vulnerability_index",
-        "ethnic_group_encoded", "sex_Femenino", "sex_Masculino",
+        "ethnic_group_encoded", "sex_Femenino", "sex_Masculino", "sex_Otro",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators import quality
 from tributary.plans.catalogue.registry import query, table
+from tributary.session import scratch_path
 
 PROFILE_COLUMNS = ["c_custkey", "c_acctbal", "c_name", "c_mktsegment"]
 
@@ -14,7 +15,7 @@ PROFILE_COLUMNS = ["c_custkey", "c_acctbal", "c_name", "c_mktsegment"]
     "profile_rules",
     """
     SELECT 'row_count' AS rule, 'row_count' AS kind, 1.0::DOUBLE AS low, NULL::DOUBLE AS high,
-           NULL::VARCHAR AS members
+           NULL::VARCHAR AS member
     UNION ALL SELECT 'c_custkey: null_share', 'null_share', 0, (COUNT(*) - COUNT(c_custkey)) / COUNT(*), NULL FROM customer
     UNION ALL SELECT 'c_acctbal: null_share', 'null_share', 0, (COUNT(*) - COUNT(c_acctbal)) / COUNT(*), NULL FROM customer
     UNION ALL SELECT 'c_name: null_share', 'null_share', 0, (COUNT(*) - COUNT(c_name)) / COUNT(*), NULL FROM customer
@@ -24,21 +25,21 @@ PROFILE_COLUMNS = ["c_custkey", "c_acctbal", "c_name", "c_mktsegment"]
     UNION ALL SELECT 'c_name: length', 'length', MIN(length(c_name)), MAX(length(c_name)), NULL FROM customer
     UNION ALL SELECT 'c_mktsegment: length', 'length', MIN(length(c_mktsegment)), MAX(length(c_mktsegment)), NULL
               FROM customer WHERE c_custkey % 4 <> 0
-    UNION ALL SELECT 'c_mktsegment: value_set', 'value_set', NULL, NULL,
-                     string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment)
+    UNION ALL SELECT DISTINCT 'c_mktsegment: value_set', 'value_set', NULL::DOUBLE, NULL::DOUBLE, c_mktsegment
               FROM customer WHERE c_custkey % 4 <> 0
+    UNION ALL SELECT DISTINCT 'c_name: value_set', 'value_set', NULL::DOUBLE, NULL::DOUBLE, c_name FROM customer
     """,
 )
 def profile_rules(spark, sf):
     segment = F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment"))
     customer = table(spark, sf, "customer").withColumn("c_mktsegment", segment)
-    rules = quality.infer_rules(customer.select(*PROFILE_COLUMNS))
+    rules = quality.infer_rules(customer.select(*PROFILE_COLUMNS), ["c_mktsegment", "c_name"])
     return rules.select(
         "rule",
         "kind",
         F.col("low").cast("double").alias("low"),
         F.col("high").cast("double").alias("high"),
-        F.array_join("members", "|").alias("members"),
+        "member",
     )
 
 
@@ -46,7 +47,8 @@ def profile_rules(spark, sf):
     "validate_rules",
     """
     WITH early AS (SELECT * FROM orders WHERE o_orderdate < DATE '1996-01-01'),
-    b AS (SELECT MIN(o_totalprice) AS lo, MAX(o_totalprice) AS hi, MIN(o_orderdate) AS d0,
+    b AS (SELECT MIN(o_totalprice) FILTER (o_orderkey % 60 <> 0) AS lo,
+                 MAX(o_totalprice) FILTER (o_orderkey % 60 <> 0) AS hi, MIN(o_orderdate) AS d0,
                  MAX(o_orderdate) AS d1, MIN(length(o_orderpriority)) AS l0,
                  MAX(length(o_orderpriority)) AS l1, MIN(length(o_orderstatus)) AS s0,
                  MAX(length(o_orderstatus)) AS s1 FROM early),
@@ -73,7 +75,7 @@ def profile_rules(spark, sf):
     """,
 )
 def validate_rules(spark, sf):
-    """Rules of the first year's orders, held against all orders with planted faults."""
+    """Rules of the first year's orders, some prices not a number, held against all orders with faults."""
     orders = table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate"))
     columns = ["o_totalprice", "day", "o_orderstatus", "o_orderpriority"]
     early = orders.filter(F.col("day") < F.lit("1996-01-01").cast("date"))
@@ -84,7 +86,11 @@ def validate_rules(spark, sf):
             "o_orderpriority": F.when(order % 40 != 0, F.col("o_orderpriority")),
         }
     )
-    outcome = quality.validate(faulty.select(*columns), quality.infer_rules(early.select(*columns)))
+    domains = ["o_orderstatus", "o_orderpriority"]
+    nan = F.when(order % 60 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    early = early.withColumn("o_totalprice", nan)
+    rules = quality.infer_rules(early.select(*columns), domains)
+    outcome = quality.validate(faulty.select(*columns), rules)
     return outcome.select("rule", "kind", F.col("observed").cast("double").alias("observed"), "ok")
 
 
@@ -148,3 +154,40 @@ def check_violations(spark, sf):
     kind = F.when(F.col("p_partkey") % 4 != 0, F.col("p_type")).alias("kind")
     part = table(spark, sf, "part").select("p_partkey", kind)
     return quality.check_violations(part, F.col("kind").isin("ECONOMY", "SMALL", "LARGE"))
+
+
+@query(
+    "replace_rules",
+    """
+    SELECT 'row_count' AS rule, '1' AS low, NULL AS high
+    UNION ALL SELECT 'n: null_share', '0.0', '0.0'
+    UNION ALL SELECT 'n: range', CAST(MIN(c_nationkey) AS VARCHAR), CAST(MAX(c_nationkey) AS VARCHAR) FROM customer
+    """,
+)
+def replace_rules(spark, sf):
+    """Rules stored first are replaced by the next ones."""
+    path = scratch_path(spark, "rules")
+    customer = table(spark, sf, "customer")
+    quality.save_rules(quality.infer_rules(customer, ["c_mktsegment"]), path)
+    nations = customer.select(F.col("c_nationkey").cast("int").alias("n"))
+    quality.save_rules(quality.infer_rules(nations), path)
+    return quality.load_rules(spark, path).select("rule", "low", "high")
+
+
+@query(
+    "stored_outcomes",
+    """
+    SELECT r.run, o.rule, o.ok FROM (VALUES ('007'), ('2024-01-02')) r(run),
+    (SELECT 'row_count' AS rule, COUNT(*) >= 1 AS ok FROM customer
+     UNION ALL SELECT 'c_acctbal: null_share', TRUE
+     UNION ALL SELECT 'c_acctbal: range', FALSE) o
+    """,
+)
+def stored_outcomes(spark, sf):
+    """Outcomes of two runs, one of them repeated; run names stay text."""
+    path = scratch_path(spark, "outcomes")
+    customer = table(spark, sf, "customer").select("c_acctbal")
+    rules = quality.infer_rules(customer.filter("c_acctbal < 0"))
+    for run in ("007", "2024-01-02", "007"):
+        quality.save_outcome(quality.settled(quality.validate(customer, rules)), path, run)
+    return quality.load_outcomes(spark, path).select("run", "rule", "ok")

@@ -125,6 +125,52 @@ def paged_json_scan(spark, sf):
     return files.tag(recent, INGEST_TAGS[2])
 
 
+LINE = "CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',' || o_orderstatus"
+
+
+@query(
+    "csv_rejects",
+    f"""
+    SELECT CASE WHEN o_orderkey % 13 = 0 THEN {LINE} || ',more'
+                ELSE CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority END AS record, NULL AS status
+    FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderstatus
+    FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
+    """,
+)
+def csv_rejects(spark, sf):
+    """Lines with a cell too many or too few are kept apart, whole."""
+    key = F.col("o_orderkey")
+    short = F.concat_ws(",", key.cast("string"), "o_orderpriority")
+    whole = F.concat_ws(",", short, "o_orderstatus")
+    line = F.when(key % 13 == 0, F.concat(whole, F.lit(",more"))).when(key % 17 == 0, short)
+    path = scratch_path(spark, "lines")
+    table(spark, sf, "orders").select(F.coalesce(line, whole).alias("value")).write.text(path)
+    rows, rejects = files.split_csv(spark, path, ["code", "priority", "status"], header=False)
+    broken = rejects.select("record", F.lit(None).cast("string").alias("status"))
+    return broken.unionByName(rows.select(F.col("code").alias("record"), "status"))
+
+
+@query(
+    "json_rejects",
+    """
+    SELECT '{"id": "' || event_id AS record, NULL AS kind FROM events WHERE event_id % 19 = 0
+    UNION ALL SELECT CAST(event_id AS VARCHAR), event_type FROM events WHERE event_id % 19 <> 0
+    """,
+)
+def json_rejects(spark, sf):
+    """Lines that are no records are kept apart, whole."""
+    key = F.col("event_id").cast("string")
+    record = F.to_json(F.struct(key.alias("id"), F.col("event_type").alias("kind")))
+    broken = F.concat(F.lit('{"id": "'), key)
+    line = F.when(F.col("event_id") % 19 == 0, broken).otherwise(record)
+    path = scratch_path(spark, "records")
+    table(spark, sf, "events").select(line.alias("value")).write.text(path)
+    rows, rejects = pages.split_landed(spark, path, ["id", "kind"])
+    lost = rejects.select("record", F.lit(None).cast("string").alias("kind"))
+    return lost.unionByName(rows.select(F.col("id").alias("record"), "kind"))
+
+
 @query("paged_json_overlap", "SELECT event_id, event_type, user_id FROM events")
 def paged_json_overlap(spark, sf):
     """Pages that repeat records: every purchase comes twice, in the scan once."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.functions.recode import code_label, recode
-from tributary.functions.text import compact_range, fold, zero_pad
+from tributary.functions.text import compact_range, fold, fold_literal, zero_pad
 from tributary.operators import clean
 from tributary.plans import vocabulary as v
 from tributary.plans.catalogue.registry import case, listed, plant, planted, query, table, text
@@ -22,9 +22,20 @@ def normalize_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", fold(F.col("text")).alias("folded"), "lang")
 
 
-@query("normalize_text_exact", f"SELECT doc_id, {folded('text')} AS folded FROM documents")
+RARE = ["㎏", "가", "각하", "㍿", "ﷲ", "x"]
+RARE_FOLDED = [fold_literal(c) for c in RARE]
+
+
+@query(
+    "normalize_text_exact",
+    f"""
+    SELECT doc_id, {folded("(text || '|')")} || {planted("doc_id", RARE_FOLDED)} AS folded FROM documents
+    """,
+)
 def normalize_text_exact(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", fold(F.col("text"), True).alias("folded"))
+    """Texts that end with a character that folds to several ones."""
+    rare = F.concat("text", F.lit("|"), plant("doc_id", RARE))
+    return table(spark, sf, "documents").select("doc_id", fold(rare).alias("folded"))
 
 
 REPLIES = ["Sí", "NO", " tal vez ", "Ñandú"]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tributary.functions.dates import completed_years, month_name_date
 from tributary.functions.numbers import additive_index, bounded_label, strict_integer
 from tributary.functions.recode import band, lookup, points, recode
 from tributary.operators import clean, encode, shape
-from tributary.operators.star import Dimension, build_dimensions, build_fact
+from tributary.operators.star import ROWS, Dimension, build_dimensions, build_fact, dimension_rows
 from tributary.plans import vocabulary as v
+from tributary.session import scratch_path
 
 POINTS = ["p_age", "p_sex", "p_ethnicity", "p_fact"]
 
@@ -35,16 +36,16 @@ def typed_records(raw: DataFrame, date_format: str = "d-MMM-yyyy") -> DataFrame:
     )
 
 
-def valid_records(df: DataFrame, metrics: str = "record faults") -> DataFrame:
+def valid_records(df: DataFrame, metrics: Observation | None = None) -> DataFrame:
     """Records with plausible dates; impossible ages are computed from the dates.
 
-    The faults are counted as metrics, observed under the given name in the job
-    that filters. Filters are not pushed below an observation, so each date is
-    parsed once, not once per condition.
+    The faults are counted by the job that filters; ``metrics`` receives them.
+    Filters are not pushed below an observation, so each date is parsed once, not
+    once per condition.
     """
     born, processed = F.col("date_of_birth"), F.col(v.DATE)
     df = df.observe(
-        metrics,
+        metrics or Observation("record faults"),
         F.count("*").alias("n_rows"),
         F.count_if(~born.between(*map(F.lit, v.BIRTH_DATES))).alias("n_birth_invalid"),
         F.count_if(born.isNull()).alias("n_birth_null"),
@@ -80,15 +81,22 @@ def scored_records(df: DataFrame) -> DataFrame:
     return df.withColumn("vulnerability_index", additive_index(*map(F.col, POINTS)))
 
 
-def encoded_records(df: DataFrame, sexes=("Femenino", "Masculino")) -> DataFrame:
-    """Ethnic group as a code, sex as 0/1 columns."""
+def encoded_records(df: DataFrame, max_sexes: int = 1000) -> DataFrame:
+    """Ethnic group as a code, every sex as a 0/1 column.
+
+    The records are stored once, for the codes, the values and the rows.
+    """
+    path = scratch_path(df.sparkSession, "records")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     df = encode.label_encode(df, "ethnic_group", "ethnic_group_encoded")
-    return encode.one_hot(df, "sex", "sex", sexes)
+    return encode.one_hot(df, "sex", "sex", max_columns=max_sexes)
 
 
 def record_star(df: DataFrame) -> dict[str, DataFrame]:
     """Dimensions and fact of scored records; the fact repeats the table's row count."""
-    built = build_dimensions(df, RECORD_DIMS)
+    combinations = dimension_rows(df, RECORD_DIMS)
+    built = build_dimensions(combinations, RECORD_DIMS)
     tables = {dim.name: numbered.table for dim, numbered in built}
     tables["registration_date"] = tables["registration_date"].withColumn("year", F.year(v.DATE))
     fact, _ = build_fact(
@@ -96,6 +104,7 @@ def record_star(df: DataFrame) -> dict[str, DataFrame]:
     )
     keys = [dim.id for dim in RECORD_DIMS]
     fact = fact.select(*keys, "vulnerability_index")
-    return {**tables, "victims": shape.with_total_rows(fact, v.MEASURE)}
+    total = combinations.agg(F.sum(ROWS)).scalar()
+    return {**tables, "victims": shape.with_total_rows(fact, v.MEASURE, total)}
 
 

@@ -18,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -55,8 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """Unused path for a hand-off table below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """Unused path for a hand-off table below the shared folder.
+
+    Whatever is there when the driver's JVM ends is removed with it.
+    """
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).deleteOnExit(target)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -64,3 +72,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(conf).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of the library's own, if it is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)

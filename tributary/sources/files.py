@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tributary.session import scratch_path
+
 LATIN1 = "ISO-8859-1"
 
 # Texts a data-frame CSV reader takes as missing by default.
@@ -51,6 +54,22 @@ def tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFr
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _csv_reader(spark: SparkSession, columns: Sequence[str] | None, rejects: bool, **options):
+    """A reader that fails on a row that does not fit, or keeps it in a column of its own.
+
+    Pruning is off, since a row is only checked against the columns parsed.
+    """
+    reader = spark.read.options(escape='"', columnPruning=False, **options)
+    if rejects:
+        names = [*columns, CORRUPT]
+        return reader.options(columnNameOfCorruptRecord=CORRUPT).schema(text_schema(names))
+    reader = reader.options(mode="FAILFAST")
+    return reader.schema(text_schema(columns)) if columns else reader
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -64,18 +83,46 @@ def read_csv(
     """Files with a header row, all columns as text; typing is a later step.
 
     Given column names are checked against the header; without them the header
-    of one file is read. No pass over the data infers types. ``multi_line`` allows
-    line breaks inside quotes; such files cannot be split between tasks.
+    of one file is read. No pass over the data infers types. A row with more or
+    fewer cells fails the job; ``split_csv`` keeps such rows apart.
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split
+    between tasks.
     """
-    reader = spark.read.options(
-        header=True, sep=sep, encoding=encoding, escape='"', enforceSchema=False,
-        multiLine=multi_line,
-    )
-    if columns:
-        reader = reader.schema(text_schema(columns))
+    reader = _csv_reader(
+        spark, columns, False,
+        header=True, sep=sep, encoding=encoding, enforceSchema=False, multiLine=multi_line,
+    )
     return tokens_to_null(_load(name, lambda: reader.csv(path)), null_tokens)
 
 
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit, and the raw records of those that do not.
+
+    What was parsed is stored first, so both come from one parse.
+    """
+    path = scratch_path(df.sparkSession, "parsed")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    broken = F.col(CORRUPT).isNotNull()
+    return df.filter(~broken).drop(CORRUPT), df.filter(broken).select(F.col(CORRUPT).alias("record"))
+
+
+def split_csv(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    name: str = "csv",
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    header: bool = True,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with as many cells as columns, and the raw records of all others."""
+    reader = _csv_reader(spark, columns, True, header=header, sep=sep, encoding=encoding)
+    rows, rejects = split_corrupt(_load(name, lambda: reader.csv(path)))
+    return tokens_to_null(rows, null_tokens), rejects
+
+
 def read_csv_unnamed(
     spark: SparkSession,
     path: str,
@@ -87,13 +134,13 @@ def read_csv_unnamed(
     null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Files read without a header; names go by position.
+    """Files read without a header; names go by position, other cell counts fail the job.
 
     A header row inside the data is known by its first cell and removed by
     content, since the rows of a distributed scan have no first one.
     """
-    reader = spark.read.schema(text_schema(columns)).options(
-        header=False, sep=sep, encoding=encoding, escape='"', multiLine=multi_line
+    reader = _csv_reader(
+        spark, columns, False, header=False, sep=sep, encoding=encoding, multiLine=multi_line
     )
     rows = _load(name, lambda: reader.csv(path))
     if header_cell is not None:
@@ -116,3 +163,19 @@ def write_csv(
 def tag(df: DataFrame, origin: str, column: str = "source") -> DataFrame:
     """Origin of every row as a constant column; a tag already there is replaced."""
     return df.withColumn(column, F.lit(origin))
+
+
+def _run_folder(run: str) -> str:
+    return f"run={quote(run, safe='')}"
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """A run's rows as its own folder, replacing all it held, also by none."""
+    df.write.mode("overwrite").parquet(f"{path}/{_run_folder(run)}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs' rows with ``run`` as the text it was given."""
+    found = spark.read.parquet(path).schema
+    fields = [StructField(f.name, StringType()) if f.name == "run" else f for f in found]
+    return spark.read.schema(StructType(fields)).parquet(path)

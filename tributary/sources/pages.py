@@ -1,25 +1,48 @@
 """Records of a paged JSON service.
 
 ``read_landed`` scans page files already on shared storage and is the way for
-large volumes. ``paged_source`` reads the service itself: a batch data source
-whose tasks each walk every n-th page, so pages load in parallel and no task or
-driver holds them all.
+large volumes. ``paged_source`` reads the service itself: the rows are counted
+first, the offsets are dealt out over the tasks, and every task reads its own
+offsets to the end, however short the pages are that it gets.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+)
 
 from tributary.functions.numbers import safe_number
-from tributary.sources.files import _load, text_schema
+from tributary.sources.files import CORRUPT, _load, split_corrupt, text_schema
 
 PAGE_SIZE = 50_000  # Fixed value: rows per page of the service.
 
-Fetch = Callable[[int, int], list[dict]]
+# (offset, limit, where) to records, and (where) to the number of rows; ``where``
+# is a list of (column, operator, text).
+Where = list[tuple[str, str, str]]
+Fetch = Callable[[int, int, Where], list[dict]]
+CountRows = Callable[[Where], int]
+
+OPERATORS = {
+    EqualTo: "=",
+    GreaterThan: ">",
+    GreaterThanOrEqual: ">=",
+    LessThan: "<",
+    LessThanOrEqual: "<=",
+}
 
 
 def land(df: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
@@ -30,8 +53,21 @@ def land(df: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
 def read_landed(
     spark: SparkSession, path: str, columns: Sequence[str], name: str = "pages"
 ) -> DataFrame:
-    """Page files as one table of text columns; keys a record lacks are null."""
-    return _load(name, lambda: spark.read.schema(text_schema(columns)).json(path))
+    """Page files as one table of text columns; keys a record lacks are null.
+
+    A line that is no record fails the job; ``split_landed`` keeps it apart.
+    """
+    reader = spark.read.schema(text_schema(columns)).option("mode", "FAILFAST")
+    return _load(name, lambda: reader.json(path))
+
+
+def split_landed(
+    spark: SparkSession, path: str, columns: Sequence[str], name: str = "pages"
+) -> tuple[DataFrame, DataFrame]:
+    """Records of page files, and the lines that are none."""
+    reader = spark.read.schema(text_schema([*columns, CORRUPT]))
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return split_corrupt(_load(name, lambda: reader.json(path)))
 
 
 def from_year(year: Column, start: int) -> Column:
@@ -46,30 +82,47 @@ def drop_repeated(df: DataFrame, key: str) -> DataFrame:
     return kept.select(key, "row.*").select(*df.columns)
 
 
-class PageStride(InputPartition):
-    """Pages first, first + step, first + 2*step, ... of the service."""
+class OffsetRange(InputPartition):
+    """Rows start .. stop - 1 of the service; ``last`` marks the end of all rows."""
+
+    def __init__(self, start: int, stop: int, last: bool):
+        super().__init__(start)
+        self.start = start
+        self.stop = stop
+        self.last = last
 
-    def __init__(self, first: int, step: int):
-        super().__init__(first)
-        self.first = first
-        self.step = step
 
+class RowsChanged(RuntimeError):
+    """The service has more or fewer rows than it counted."""
 
-def walk(fetch: Fetch, stride: PageStride, page_size: int) -> Iterator[dict]:
-    """Records of the stride's pages until an empty or short page."""
-    page = stride.first
-    while records := fetch(page * page_size, page_size):
-        yield from records
-        if len(records) < page_size:
-            return
-        page += stride.step
 
+def walk(fetch: Fetch, part: OffsetRange, page_size: int, where: Where) -> Iterator[list[dict]]:
+    """Pages that together hold exactly the rows of the range; short ones are read on from."""
+    at = part.start
+    while at < part.stop:
+        records = fetch(at, min(page_size, part.stop - at), where)
+        if not records:
+            raise RowsChanged(f"no rows from offset {at} on, {part.stop} expected")
+        yield records
+        at += len(records)
+    if part.last and fetch(at, 1, where):
+        raise RowsChanged(f"more than the {part.stop} rows counted")
 
-def paged_source(fetch: Fetch, name: str = "paged_json") -> type[DataSource]:
-    """Data source over ``fetch(offset, limit)``; register it with the session.
 
-    Options: ``columns`` (comma separated), ``pageSize``, ``numPartitions``. An
-    error in ``fetch`` fails the task; Spark tries it again and then fails the
+def cell(value) -> str | None:
+    """A JSON value as text, in the form a scan of landed pages gives it."""
+    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+def paged_source(
+    fetch: Fetch, count: CountRows, name: str = "paged_json", push_filters: bool = False
+) -> type[DataSource]:
+    """Data source over ``fetch`` and ``count``; register it with the session.
+
+    Options: ``columns`` (comma separated), ``pageSize``, ``pagesPerTask``. With
+    ``push_filters`` simple comparisons of a column with a text are handed to the
+    service; the session must allow that for such sources
+    (``spark.sql.python.filterPushdown.enabled``). An error in ``fetch`` fails the task; Spark tries it again and then fails the
     job. Order the pages by a unique id in ``fetch``, or use ``drop_repeated``.
     """
 
@@ -82,41 +135,63 @@ def paged_source(fetch: Fetch, name: str = "paged_json") -> type[DataSource]:
             return ", ".join(f"`{c}` string" for c in self.options["columns"].split(","))
 
         def reader(self, schema) -> DataSourceReader:
-            return PagedReader(
+            kind = FilteringReader if push_filters else PagedReader
+            return kind(
                 schema.fieldNames(),
                 int(self.options.get("pagesize", PAGE_SIZE)),
-                int(self.options.get("numpartitions", 8)),
+                int(self.options.get("pagespertask", 4)),
             )
 
     class PagedReader(DataSourceReader):
-        def __init__(self, columns: list[str], page_size: int, strides: int):
+        def __init__(self, columns: list[str], page_size: int, pages: int):
             self.columns = columns
             self.page_size = page_size
-            self.strides = strides
+            self.pages = pages
+            self.where: Where = []
 
         def partitions(self):
-            return [PageStride(i, self.strides) for i in range(self.strides)]
+            rows, step = count(self.where), self.page_size * self.pages
+            starts = range(0, max(rows, 1), step)
+            return [OffsetRange(s, min(s + step, rows), s + step >= rows) for s in starts]
 
         def read(self, partition):
-            for record in walk(fetch, partition, self.page_size):
-                cells = (record.get(c) for c in self.columns)
-                yield tuple(c if c is None or isinstance(c, str) else str(c) for c in cells)
+            for records in walk(fetch, partition, self.page_size, self.where):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([cell(r.get(c)) for r in records], pa.string()) for c in self.columns],
+                    names=self.columns,
+                )
+
+    class FilteringReader(PagedReader):
+        def pushFilters(self, filters):
+            for one in filters:
+                text = OPERATORS.get(type(one))
+                if text and isinstance(one.value, str) and len(one.attribute) == 1:
+                    self.where.append((one.attribute[0], text, one.value))
+                else:
+                    yield one
 
     return PagedJson
 
 
-def http_fetch(url: str, where: str | None = None, order: str = ":id", timeout: int = 120) -> Fetch:
-    """Pages of a limit/offset JSON service over HTTP; errors are raised."""
+def _query_text(where: Where) -> dict[str, str]:
+    quoted = [f"{c} {op} '{text.replace(chr(39), chr(39) * 2)}'" for c, op, text in where]
+    return {"$where": " AND ".join(quoted)} if quoted else {}
+
 
-    def fetch(offset: int, limit: int) -> list[dict]:
-        import json
+def http_pages(url: str, order: str = ":id", timeout: int = 120) -> tuple[Fetch, CountRows]:
+    """Pages and row count of a limit/offset JSON service over HTTP; errors are raised."""
+
+    def ask(query: dict):
         from urllib.parse import urlencode
         from urllib.request import urlopen
 
-        query = {"$limit": limit, "$offset": offset, "$order": order}
-        if where:
-            query["$where"] = where
         with urlopen(f"{url}?{urlencode(query)}", timeout=timeout) as reply:
             return json.load(reply)
 
-    return fetch
+    def fetch(offset: int, limit: int, where: Where) -> list[dict]:
+        return ask({"$limit": limit, "$offset": offset, "$order": order, **_query_text(where)})
+
+    def count(where: Where) -> int:
+        return int(ask({"$select": "count(*) AS n", **_query_text(where)})[0]["n"])
+
+    return fetch, count

@@ -14,13 +14,17 @@ def scan_options(
     table: str,
     key: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int = 8,
     fetch_size: int = 10_000,
+    small: bool = False,
 ) -> dict[str, str]:
-    """Options of one table scan, split on a numeric key if bounds are given.
+    """Options of one table scan, split on a numeric key between bounds.
 
-    Without a split the whole table runs through a single connection.
+    Without a split the whole table runs through one connection and one task;
+    that has to be asked for, by ``small``.
     """
+    if not (key and bounds) and not small:
+        raise ValueError(f"'{table}' needs a key and bounds to split on, or small=True")
     options = {"dbtable": table, "fetchsize": str(fetch_size)}
     if key and bounds:
         options |= {
@@ -32,6 +36,15 @@ def scan_options(
     return options
 
 
+def key_bounds(
+    spark: SparkSession, connection: Mapping[str, str], table: str, key: str
+) -> tuple[int, int]:
+    """Least and greatest key of a table, found by the source; (0, 0) if it is empty."""
+    query = f"SELECT min({key}) AS low, max({key}) AS high FROM {table}"
+    row = spark.read.format("jdbc").options(**connection).option("query", query).load().first()
+    return (row["low"] or 0, row["high"] or 0)
+
+
 def read_table(
     spark: SparkSession,
     connection: Mapping[str, str],
