@@ -48,6 +48,7 @@ LEAST_WEIGHT = 500
 # more than once; at most so many are broadcast (8 bytes each).
 FREQUENT = 500
 MOST_FREQUENT = 200_000
+MOST_BROADCAST = 1_000_000
 TOKEN_BYTES = 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
@@ -558,19 +559,30 @@ def node_components(shingles: DataFrame) -> DataFrame:
         ),
         "cells",
     )
-    wanted = stored(cells.select("node").distinct(), "cell-nodes")
-    if wanted.count() <= 1_000_000:  # 8 bytes each; beyond that a shuffled join
-        wanted = F.broadcast(wanted)
+    wanted = _small(stored(cells.select("node").distinct(), "cell-nodes"))
+    points = stored(
+        shingles.join(wanted, "node")
+        .select("node", "tokens")
+        .mapInArrow(_pointed, "node long, n long, point binary")
+        .dropDuplicates(["node"]),
+        "points",
+    )
+    candidates = components(_joined(cells, points))
+    groups = stored(candidates.select(F.col("component").alias("cell"), "node"), "groups")
     tokens = stored(
-        shingles.join(wanted, "node").select("node", "tokens").dropDuplicates(["node"]),
+        shingles.join(_small(groups.select("node")), "node")
+        .select("node", "tokens")
+        .dropDuplicates(["node"]),
         "node-tokens",
     )
-    points = stored(tokens.mapInArrow(_pointed, "node long, n long, point binary"), "points")
-    candidates = components(_joined(cells, points))
-    groups = candidates.select(F.col("component").alias("cell"), "node")
     return components(_joined(groups, points, tokens))
 
 
+def _small(nodes: DataFrame) -> DataFrame:
+    """Nodes (8 bytes each), broadcast if there are at most ``MOST_BROADCAST``; else Spark decides."""
+    return F.broadcast(nodes) if nodes.count() <= MOST_BROADCAST else nodes
+
+
 def _grouped(rows: DataFrame) -> DataFrame:
     """The rows with their component, ``group``; null for those without shingles."""
     shingles = shingle_rows(rows)
