@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from tributary.llm.common import ranges, split_words
 
 MOST_WORDS = 1_000_000
+# ASCII punctuation but the apostrophe, behind a letter or digit, at a word's end.
+CLOSING = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~]+)$"
 
 
 class WordTokens:
@@ -55,10 +57,24 @@ class WordTokens:
             places[np.isnan(places)] = at
         return places.astype(np.int64)
 
-    def encode(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and the texts' offsets."""
-        codes, offsets, words = split_words(values)
-        places = self._places(words)[codes]
+    def _encode_parts(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        codes, offsets, parts = split_words(values)
+        places = self._places(parts)[codes]
         lengths = self.offsets[places + 1] - self.offsets[places]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return self.ids[ranges(self.offsets[places], lengths)], ends[offsets]
+
+    def encode(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the texts' offsets.
+
+        The tokenizer folds case and starts anew at punctuation behind a letter or
+        digit, so distinct words are encoded folded and without it; words that may
+        hold a special token (``<|``) are left as they are.
+        """
+        codes, offsets, words = split_words(values)
+        folded = pc.replace_substring_regex(pc.ascii_lower(words), CLOSING, r"\1 \2")
+        plain = pc.invert(pc.match_substring(words, "<"))
+        ids, ends = self._encode_parts(pc.if_else(plain, folded, words))
+        lengths = np.diff(ends)[codes]
+        stops = np.concatenate([[0], np.cumsum(lengths)])
+        return ids[ranges(ends[codes], lengths)], stops[offsets]
