@@ -44,6 +44,7 @@ def text_chunks(
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

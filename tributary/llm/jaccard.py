@@ -49,6 +49,7 @@ LEAST_WEIGHT = 500
 FREQUENT = 500
 MOST_FREQUENT = 200_000
 MOST_BROADCAST = 1_000_000
+FULL = 65_535  # group counts are kept in two bytes
 TOKEN_BYTES = 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
@@ -336,12 +337,14 @@ def _points(table: pa.Table, name: str) -> np.ndarray:
     column = pa.concat_arrays(table.column(name).chunks)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    return data.view(np.uint32).reshape(len(column), GROUPS).astype(np.int32)
+    points = data.view(np.uint16).reshape(len(column), GROUPS).astype(np.int32)
+    points[points == FULL] = 1 << 22  # at least FULL: bounds stay bounds
+    return points
 
 
 def _binary(points: np.ndarray) -> pa.Array:
-    data = np.ascontiguousarray(points.astype(np.uint32))
-    ends = (np.arange(len(points) + 1) * GROUPS * 4).astype(np.int32)
+    data = np.ascontiguousarray(np.minimum(points, FULL).astype(np.uint16))
+    ends = (np.arange(len(points) + 1) * GROUPS * 2).astype(np.int32)
     return pa.Array.from_buffers(
         pa.binary(), len(points), [None, pa.py_buffer(ends), pa.py_buffer(data)]
     )
@@ -384,13 +387,11 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verified links of each group of work."""
     for table, groups in _whole_groups(batches, ["work"]):
         nodes, sides, parts = (table.column(c).to_numpy() for c in ("node", "side", "part"))
-        tokens, offsets = unpacked(pa.concat_arrays(table.column("tokens").chunks))
         pairs = []
         for start, stop in groups:
-            own = offsets[start : stop + 1]
-            found = cell_links(
-                tokens[own[0] : own[-1]], own - own[0], sides[start:stop], parts[start:stop]
-            )
+            own = table.column("tokens").slice(start, stop - start)
+            tokens, offsets = unpacked(pa.concat_arrays(own.chunks))
+            found = cell_links(tokens, offsets, sides[start:stop], parts[start:stop])
             pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
         yield _ends(pairs)
 
@@ -546,13 +547,12 @@ def node_components(shingles: DataFrame) -> DataFrame:
             "node",
             F.count(F.lit(1)).over(of_token).alias("size"),
             F.bit_xor(F.xxhash64("node")).over(of_token).alias("sign"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).over(of_token).alias("mark"),
         )
         .filter("size > 1"),
         "shared-tokens",
     )
     # equal cells once, under the smallest token
-    distinct = shared.groupBy("size", "sign", "mark").agg(F.min("token").alias("token"))
+    distinct = shared.groupBy("size", "sign").agg(F.min("token").alias("token"))
     cells = stored(
         shared.join(distinct.select("token"), "token").select(
             F.col("token").alias("cell"), "node"
