@@ -343,4 +343,4 @@ def label_mapping(spark, sf):
     + f" FROM (SELECT c_custkey, {SEGMENT_SQL} AS segment FROM customer)",
 )
 def one_hot(spark, sf):
-    return encode.one_hot(segments(spark, sf), "segment", "seg")
+    return encode.one_hot(segments(spark, sf), "segment", "seg", max_columns=100)
