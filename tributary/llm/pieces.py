@@ -82,7 +82,13 @@ class SuffixIndex:
     def __init__(self, codes: np.ndarray, depth: int):
         self.codes = codes
         rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-        covered = 1
+        # as many characters as fit in one number are ranked at once, then twice as many
+        bits = int(rank.max(initial=1)).bit_length()
+        covered = min(63 // bits, depth)
+        padded, first = np.concatenate([rank, np.zeros(depth, np.int64)]), np.zeros(len(rank), np.int64)
+        for k in range(covered):
+            first = first << bits | padded[k : k + len(rank)]
+        rank = np.unique(first, return_inverse=True)[1].astype(np.int64) + 1
         while covered < depth:
             ahead = np.zeros(len(rank), np.int64)
             ahead[: max(len(rank) - covered, 0)] = rank[covered:]
