@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD_CLASS, let, split_words, stored, text_chunks, texts
 from tributary.llm.language import held_out
 
-FIT_ROWS = 12_000
+FIT_ROWS = 4_000
 MOST_TERMS = 400
 LEAST_CONTEXTS = 4
 LEAST_WEIGHT = 2.5
