@@ -222,7 +222,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         ),
     )
     contexts = (
-        sample.select("toxic", F.explode(F.array_distinct(pairs)).alias("pair"))
+        sample.select("toxic", F.explode(pairs).alias("pair"))
         .select("toxic", "pair.word", "pair.before")
         .filter("word <> ''")
         .distinct()
