@@ -114,16 +114,22 @@ class Lexicon:
             if len(t) >= LEAST_FUZZY and weight >= strong and not t.endswith(STEM)
         ]
         self.trie = Trie(fuzzy)
-        self.heads = {t[: len(t) // 2] for t in fuzzy}
-        self.tails = {t[len(t) // 2 :] for t in fuzzy}
+        # lengths a misspelling may have, by the half of the term it keeps
+        self.heads: dict[str, set[int]] = {}
+        self.tails: dict[str, set[int]] = {}
+        for t in fuzzy:
+            near = {len(t) - 1, len(t), len(t) + 1}
+            self.heads.setdefault(t[: len(t) // 2], set()).update(near)
+            self.tails.setdefault(t[len(t) // 2 :], set()).update(near)
         self.head_sizes = sorted({len(h) for h in self.heads})
         self.tail_sizes = sorted({len(t) for t in self.tails})
         self.seen: dict[str, tuple[float, int] | None] = {}
 
     def _may_match(self, word: str) -> bool:
         """One edit leaves the first or the second half of a term in its place."""
-        return any(word[:n] in self.heads for n in self.head_sizes) or any(
-            word[-n:] in self.tails for n in self.tail_sizes
+        size = len(word)
+        return any(size in self.heads.get(word[:n], ()) for n in self.head_sizes) or any(
+            size in self.tails.get(word[-n:], ()) for n in self.tail_sizes
         )
 
     def match(self, word: str) -> tuple[float, int] | None:
