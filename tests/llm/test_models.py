@@ -94,6 +94,36 @@ def test_lexicon_misses_no_misspelling(word, terms):
     assert hit is None or hit[1] == best
 
 
+@settings(max_examples=200, deadline=None)
+@given(
+    st.text("abc", min_size=1, max_size=9),
+    st.dictionaries(st.text("abc", min_size=1, max_size=8), st.floats(0.1, 9.0), min_size=1, max_size=6),
+)
+def test_lexicon_finds_terms_of_any_weight_and_length(word, weights):
+    hit = toxicity.Lexicon(weights).match(word)
+    near = [t for t in weights if distance(word, t) <= 1]
+    assert (hit is None) == (not near)
+    if word in weights:
+        assert hit == (weights[word], 0, toxicity.EXACT)
+    elif near:
+        best = max(near, key=lambda t: (len(t) >= toxicity.SHORT, weights[t]))
+        kind = toxicity.MISSPELLED if len(best) >= toxicity.SHORT else toxicity.SHORT_MISSPELLED
+        assert hit == (weights[best], 1, kind)
+
+
+def test_misspelled_hits_have_features_of_their_own():
+    lexicon = toxicity.Lexicon({"vermin": 8.0, "cretin": 2.6, "scum": 3.0})
+    texts = ["a vermin here", "a cretinn here", "a scun here", "a vermin cretinn scun", "all is well"]
+    names = {name: n for n, name in enumerate(toxicity.FEATURES)}
+    found = toxicity.features(pa.array(texts), lexicon)
+    assert found[:, names["any"]].tolist() == [1, 1, 1, 1, 0]
+    assert found[:, names["most"]].tolist() == [8.0, 2.6, 3.0, 8.0, 0]
+    assert found[:, names["any_misspelled"]].tolist() == [0, 1, 0, 0, 0]
+    assert found[:, names["any_short"]].tolist() == [0, 0, 1, 0, 0]
+    added = found[:, [names["total_misspelled"], names["total_short"]]]
+    assert added[3] == pytest.approx([np.log(11.6 / 9), np.log(14.6 / 11.6)])
+
+
 @pytest.mark.parametrize(
     ("text", "place", "quoted"),
     [

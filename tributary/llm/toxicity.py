@@ -3,14 +3,17 @@
 The lexicon is learned from at most ``FIT_ROWS`` labelled texts: a word counts by
 the number of different words it follows in toxic and in other texts, so copies
 of one text count once; so does each beginning of a word, for inflected terms.
-The whole words make a trie. Each distinct word of a chunk is
+All whole words make a trie. Each distinct word of a chunk is
 turned into a Levenshtein automaton and intersected with the trie, which finds
 the terms it spells or misspells by one edit; a cheap test on the halves of the
 terms keeps all other words away.
 
 Every hit is weighed by its term and by its context: hits inside quotation
 marks, or within a few words of a word of reporting, count as quoted, others as
-abuse. A logistic regression, trained here, turns the sums into a score.
+abuse. A logistic regression, trained here, turns the sums into a score. What
+misspelled hits add to the sums are features of their own, apart for short
+terms, whose neighbours are often other words: the regression decides what an
+edit takes away. Where the fit has no such hit, they count like exact ones.
 
 Null text counts as empty; texts without a hit get the model's lowest scores.
 Rows that repeat an id are rows of their own; labels that repeat an id or
@@ -34,8 +37,7 @@ FIT_ROWS = 4_000
 MOST_TERMS = 400
 LEAST_CONTEXTS = 4
 LEAST_WEIGHT = 2.5
-LEAST_FUZZY = 5  # shorter terms must be spelled exactly,
-FUZZY_SHARE = 0.8  # and so must terms under this share of the heaviest weight
+SHORT = 5  # misspellings of terms of fewer letters are weighed apart
 STEM = "*"  # closes a term that stands for all words it begins
 STEM_SIZES = (4, 5, 6)
 WINDOW = 4
@@ -46,7 +48,9 @@ REPORTING = frozenset(
     "said says quote quoted quotes wrote called calls calling word term slur insult "
     "dit écrit mot sagte schrieb wort dijo escribió palabra".split()
 )
-FEATURES = ("most", "total", "density", "misspelled", "quoted", "any")
+SUMS = ("most", "total", "density", "any", "quoted")
+EXACT, MISSPELLED, SHORT_MISSPELLED = range(3)  # kinds of hits
+FEATURES = (*SUMS, *(f"{s}_misspelled" for s in SUMS), *(f"{s}_short" for s in SUMS))
 
 
 class Trie:
@@ -107,12 +111,7 @@ class Lexicon:
 
     def __post_init__(self):
         self.stems = sorted({len(t) - 1 for t in self.weights if t.endswith(STEM)}, reverse=True)
-        strong = FUZZY_SHARE * max(self.weights.values(), default=0.0)
-        fuzzy = [
-            t
-            for t, weight in self.weights.items()
-            if len(t) >= LEAST_FUZZY and weight >= strong and not t.endswith(STEM)
-        ]
+        fuzzy = [t for t in self.weights if not t.endswith(STEM)]
         self.trie = Trie(fuzzy)
         # lengths a misspelling may have, by the half of the term it keeps
         self.heads: dict[str, set[int]] = {}
@@ -123,7 +122,7 @@ class Lexicon:
             self.tails.setdefault(t[len(t) // 2 :], set()).update(near)
         self.head_sizes = sorted({len(h) for h in self.heads})
         self.tail_sizes = sorted({len(t) for t in self.tails})
-        self.seen: dict[str, tuple[float, int] | None] = {}
+        self.seen: dict[str, tuple[float, int, int] | None] = {}
 
     def _may_match(self, word: str) -> bool:
         """One edit leaves the first or the second half of a term in its place."""
@@ -132,20 +131,21 @@ class Lexicon:
             size in self.tails.get(word[-n:], ()) for n in self.tail_sizes
         )
 
-    def match(self, word: str) -> tuple[float, int] | None:
-        """(weight, distance) of the nearest term of a bare word."""
+    def match(self, word: str) -> tuple[float, int, int] | None:
+        """(weight, distance, kind) of the nearest term of a bare word; of several the heaviest long one."""
         if word in self.weights:
-            return self.weights[word], 0
+            return self.weights[word], 0, EXACT
         for size in self.stems:
             if len(word) > size and (weight := self.weights.get(word[:size] + STEM)):
-                return weight, 0
-        if len(word) < LEAST_FUZZY - 1 or not self._may_match(word):
+                return weight, 0, EXACT
+        if not word or not self._may_match(word):
             return None
         if word not in self.seen:
             if len(self.seen) > 200_000:
                 self.seen.clear()
-            near = LevenshteinAutomaton(word, 1).accepted(self.trie)
-            self.seen[word] = (self.weights[near[0][0]], 1) if near else None
+            near = [t for t, _ in LevenshteinAutomaton(word, 1).accepted(self.trie)]
+            best = max(((len(t) >= SHORT, self.weights[t]) for t in near), default=None)
+            self.seen[word] = best and (best[1], 1, MISSPELLED if best[0] else SHORT_MISSPELLED)
         return self.seen[word]
 
 
@@ -154,32 +154,43 @@ def bare(word: str) -> str:
 
 
 def features(values: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """One row per text: heaviest hit, summed weights, hits per word, misspelled, quoted, any."""
+    """One row per text: the sums over all hits, then what long and short misspellings add to them.
+
+    The sums are the heaviest hit, summed weights, hits per word, any hit, the heaviest quoted hit.
+    """
     codes, offsets, words = split_words(values)
     listed = words.to_pylist()
     hits = [lexicon.match(bare(w)) for w in listed]
     weight = np.array([h[0] if h else 0.0 for h in hits])
-    off = np.array([h[1] if h else 0 for h in hits])
-    out = np.zeros((len(values), len(FEATURES)))
+    kinds = [h[2] if h else EXACT for h in hits]
+    most, total, count, reported = np.zeros((4, len(values), 3))
     places = np.flatnonzero(weight[codes] > 0) if len(codes) else np.zeros(0, int)
     rows = np.searchsorted(offsets, places, side="right") - 1
     for place, row in zip(places.tolist(), rows.tolist(), strict=True):
         code = codes[place]
+        kind = kinds[code]
         start, stop = max(offsets[row], place - WINDOW), min(offsets[row + 1], place + WINDOW + 1)
         around = [listed[c] for c in codes[start:stop]]
-        quoted = is_quoted(around, place - int(start))
-        own = out[row]
-        own[0 if not quoted else 4] = max(own[0 if not quoted else 4], weight[code])
-        if not quoted:
-            own[1] += weight[code]
-            own[2] += 1
-            own[3] += off[code]
-            own[5] = 1
-    sizes = np.maximum(np.diff(offsets), 1)
-    out[:, 1] = np.log1p(out[:, 1])
-    out[:, 2] = np.sqrt(out[:, 2] / sizes)
-    out[:, 3] = np.log1p(out[:, 3])
-    return out
+        if is_quoted(around, place - int(start)):
+            reported[row, kind] = max(reported[row, kind], weight[code])
+        else:
+            most[row, kind] = max(most[row, kind], weight[code])
+            total[row, kind] += weight[code]
+            count[row, kind] += 1
+    sizes = np.maximum(np.diff(offsets), 1)[:, None]
+    count = count.cumsum(1)
+    # per text, sum and kind: the sum over hits up to this kind
+    sums = np.stack(
+        [
+            np.maximum.accumulate(most, 1),
+            np.log1p(total.cumsum(1)),
+            np.sqrt(count / sizes),
+            count > 0,
+            np.maximum.accumulate(reported, 1),
+        ],
+        1,
+    )
+    return np.hstack([sums[:, :, SHORT_MISSPELLED], *np.moveaxis(np.diff(sums), 2, 0)])
 
 
 def is_quoted(around: list[str], place: int) -> bool:
