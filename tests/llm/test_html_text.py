@@ -42,6 +42,45 @@ def test_small_pages(html, text):
     assert main_text(html) == text
 
 
+BODY = "This is the text of the page, long enough to be found by the windows. " * 5
+ASIDE = "<div class='ad'>Buy this now, it is a very good thing to have at home.</div>"
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "content with-sidebar", "layout no-sidebar", "site has-footer", "sticky-nav", "social-science",
+        "elementor-widget elementor-widget-text-editor", "widget", "sidebar", "main-menu",
+    ],
+)
+@pytest.mark.parametrize("inner", ["<article><p>{}</p></article>", "<p>{}</p>", "<div><main>{}</main></div>"])
+def test_named_wrapper_keeps_the_text(name, inner):
+    page = f"<body><p>Home</p><div class='{name}'>{inner.format(BODY)}{ASIDE}</div></body>"
+    assert BODY.strip() in main_text(page) and "Buy" not in main_text(page)
+    assert BODY.strip() in main_text(page.replace("class=", "id=", 1))
+
+
+@pytest.mark.parametrize(
+    "name", ["ad", "site-footer", "sidebar left", "x comments", "cookie-banner", "widget-2", "share-buttons", "side-bar"]
+)
+def test_named_boilerplate_goes(name):
+    card = "<article><p>Another text that may be of interest.</p></article>"
+    for extra in ("<p>Short or long, this is not the text of the page at all.</p>", card):
+        page = f"<main><p>{BODY}</p></main><div class='{name}'>{extra}</div>"
+        assert main_text(page) == BODY.strip()
+    long = f"<main><p>{BODY}</p><div class='{name}'>{BODY * 3}</div></main>"
+    assert main_text(long) == BODY.strip()
+    short = f"<article><p>Short.</p></article><div class='{name}'>Not the text.</div>"
+    assert main_text(short) == "Short."
+
+
+@pytest.mark.parametrize("value", ['title="A hidden valley"', "data-x='is hidden '", "alt=' hidden'"])
+def test_hidden_is_an_attribute_not_a_value(value):
+    assert main_text(f"<p>Down in <a {value}>the valley</a> it rains.</p>") == "Down in the valley it rains."
+    for own in ("hidden", "HIDDEN", "hidden=''", f"{value} hidden"):
+        assert main_text(f"<main>a<div {own}>b</div>c</main>") == "a\n\nc"
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, 1), (1, "u", PAGE, 1), (2, None, None, 1), (None, "v", "", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

@@ -3,8 +3,9 @@
 Markup is stripped to lines: every block element and every piece of boilerplate
 (navigation, headers, footers, asides, forms, scripts, styles, and containers
 whose class or id names an advert, notice, sidebar, menu or comments) ends a
-line; boilerplate lines have no length. Lengths are summed over sliding windows
-of ``WINDOW`` lines. The text surges where the sums rise to the threshold after
+line; boilerplate lines have no length. A class or id counts as a whole name,
+and drops no container that holds the page's marked article or most of its text.
+Lengths are summed over sliding windows of ``WINDOW`` lines. The text surges where the sums rise to the threshold after
 a window below it, and dives where they fall to zero; the lines between are
 kept. Where the page marks its article, only lines inside it have a length and
 any length is a surge, so short paragraphs and short articles stay whole.
@@ -45,12 +46,21 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # An open paragraph ends where one of these begins.
 ENDS_PARAGRAPH = BLOCKS | BOILERPLATE - {"label", "button", "select"}
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|side-bar|widget\w*|menu\w*|nav\w*|"
-    r"breadcrumbs?|cookies?|consent|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|"
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|widgets?|menu\w*|nav\w*|"
+    r"breadcrumbs?|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|"
     r"login|search|comments?|respond|replies|reply|disqus|discussion|share|sharing|social|related|recommend\w*|"
-    r"footer|masthead|topbar|toolbar|pagination|pager|skip-link|copyright|disclaimer)(?:$|[\s_-])",
+    r"footer|masthead|topbar|toolbar|pagination|pager|copyright|disclaimer",
     re.I,
 )
+# What may stand beside such a word in a name; any other word gives the name another meaning.
+BESIDE = frozenset(
+    "site page main top bottom left right primary secondary global mobile header side skip bar box list container "
+    "wrapper area section block link links button buttons icons item items inner outer post posts article "
+    "articles policy unit slot row column panel group form".split()
+)
+PAIRS = frozenset(("side-bar", "skip-link"))
+MOST_TEXT = 0.5  # a container with more of the page's text stays,
+MOST_BESIDE_ARTICLE = 0.9  # or with more than this where an article is marked elsewhere
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 TOKEN = re.compile(
@@ -58,22 +68,22 @@ TOKEN = re.compile(
     r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 SPACES = re.compile(r"\s+")
 
 
 @dataclass
 class Line:
     text: str
-    inside: bool  # an element that marks the article
+    inside: int  # how many open elements mark the article
+    named: tuple[int, ...] = ()  # numbers of the open containers named like boilerplate
+    gap: bool = False  # stands where boilerplate was left out
 
 
 def _attributes(source: str) -> dict[str, str]:
-    if "=" not in source and "hidden" not in source:
-        return {}
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)}
-    if re.search(r"(?:^|\s)hidden(?:\s|$)", source):
-        found["hidden"] = ""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     return found
 
 
@@ -84,8 +94,17 @@ def _is_boilerplate(name: str, attributes: dict[str, str], in_article: bool) ->
         return True
     if not attributes or name in ("body", "html", "article", "main"):
         return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return bool(NAMES.search(named)) or attributes.get("role", "").lower() in ROLES
+    return attributes.get("role", "").lower() in ROLES
+
+
+def _is_named_boilerplate(attributes: dict[str, str]) -> bool:
+    """Whether a whole class name or the id says boilerplate."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        named = [w for w in words if NAMES.fullmatch(w)]
+        if name in PAIRS or named and all(w in named or w in BESIDE for w in words):
+            return True
+    return False
 
 
 def _marks_article(name: str, attributes: dict[str, str]) -> bool:
@@ -100,21 +119,26 @@ def lines_of(html: str) -> list[Line]:
     """The page's lines in order; a line without text stands where boilerplate was left out."""
     lines: list[Line] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, marks the article
-    dropped = articles = 0
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, marks the article, named
+    named: tuple[int, ...] = ()
+    dropped = articles = containers = 0
 
     def close_line(gap: bool = False) -> None:
         text = SPACES.sub(" ", unescape("".join(pieces))).strip()
         pieces.clear()
         if text:
-            lines.append(Line(text, articles > 0))
+            lines.append(Line(text, articles, named))
         if gap:
-            lines.append(Line("", articles > 0))
+            lines.append(Line("", articles, named, True))
 
     def leave(count: int) -> None:
-        nonlocal dropped, articles
+        nonlocal dropped, articles, named
         for _ in range(count):
-            _, boilerplate, article = stack.pop()
+            _, boilerplate, article, container = stack.pop()
+            if container:
+                close_line()
+                lines.append(Line("", articles, named))
+                named = named[:-1]
             dropped -= boilerplate
             articles -= article
 
@@ -137,7 +161,7 @@ def lines_of(html: str) -> list[Line]:
             place = next((n for n in range(len(stack) - 1, -1, -1) if stack[n][0] == name), None)
             was_dropped = dropped > 0
             if place is not None:
-                if name in BLOCKS or any(s[1] or s[0] in BLOCKS for s in stack[place:]):
+                if name in BLOCKS or any(s[1] or s[3] or s[0] in BLOCKS for s in stack[place:]):
                     close_line()
                 leave(len(stack) - place)
                 if was_dropped and not dropped:
@@ -167,11 +191,43 @@ def lines_of(html: str) -> list[Line]:
         if boilerplate and not dropped:
             close_line(gap=True)
         article = _marks_article(name, attributes) and not (dropped or boilerplate)
-        stack.append((name, boilerplate, article))
+        container = not (dropped or boilerplate or article or name in ("body", "html")) and _is_named_boilerplate(attributes)
+        if container:
+            close_line()
+            containers += 1
+            named = (*named, containers)
+            lines.append(Line("", articles, named))
+        stack.append((name, boilerplate, article, container))
         dropped += boilerplate
         articles += article
     close_line()
-    return lines
+    return _without_named(lines) if containers else lines
+
+
+def _without_named(lines: list[Line]) -> list[Line]:
+    """The lines without the containers named like boilerplate, but for those with the article or most text."""
+    total = sum(len(x.text) for x in lines)
+    elsewhere = sum(len(x.text) for x in lines if x.inside and not x.named)
+    sizes: dict[int, list[int]] = {}  # marks around it, characters, those of articles marked in it
+    for line in lines:
+        for container in line.named:
+            size = sizes.setdefault(container, [line.inside, 0, 0])
+            size[1] += len(line.text)
+            size[2] += len(line.text) * (line.inside > size[0])
+    most = MOST_BESIDE_ARTICLE if elsewhere else MOST_TEXT
+    dropped = {
+        container
+        for container, (_, size, marked) in sizes.items()
+        if size <= most * total and (marked <= elsewhere or not marked)
+    }
+    left = []
+    for line in lines:
+        border = not line.text and not line.gap  # of the innermost container
+        if not dropped.isdisjoint(line.named[:-1] if border else line.named):
+            continue
+        if not border or line.named[-1] in dropped:
+            left.append(line)
+    return left
 
 
 def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
