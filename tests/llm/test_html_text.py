@@ -81,6 +81,25 @@ def test_hidden_is_an_attribute_not_a_value(value):
         assert main_text(f"<main>a<div {own}>b</div>c</main>") == "a\n\nc"
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_text_beside_a_small_marked_card(tag):
+    card = f"<{tag}><h3>Also of interest</h3></{tag}>"
+    body = f"<div class='story'><h1>Title</h1><p>By one</p><p>May</p><p>{BODY}</p><p>{BODY}</p><p>End.</p></div>"
+    text = ["Title", "By one", "May", BODY.strip(), BODY.strip(), "End."]
+    assert main_text(body + card).split("\n\n") == [*text, "Also of interest"]
+    assert main_text(card + body).split("\n\n") == ["Also of interest", *text]
+    whole = f"<{tag}><p>{BODY * 5}</p><p>Short.</p></{tag}>"
+    assert main_text(f"<p>{BODY}</p>{whole}<div>{BODY}</div>").split("\n\n") == [(BODY * 5).strip(), "Short."]
+
+
+def test_short_lines_next_to_the_text():
+    menu = "<ul><li><a href='/'>Home</a><li><a href='/b'>About</a></ul>"
+    lines = ["A title", "by someone", "in May", "2024"]
+    opening = "".join(f"<p>{x}</p>" for x in lines)
+    page = f"<body>{menu}<div>{opening}<p>{BODY}</p>{ASIDE}{ASIDE}<p>The end.</p></div></body>"
+    assert main_text(page).split("\n\n") == [*lines, BODY.strip(), "The end."]
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, 1), (1, "u", PAGE, 1), (2, None, None, 1), (None, "v", "", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

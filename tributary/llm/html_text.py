@@ -5,10 +5,16 @@ Markup is stripped to lines: every block element and every piece of boilerplate
 whose class or id names an advert, notice, sidebar, menu or comments) ends a
 line; boilerplate lines have no length. A class or id counts as a whole name,
 and drops no container that holds the page's marked article or most of its text.
-Lengths are summed over sliding windows of ``WINDOW`` lines. The text surges where the sums rise to the threshold after
-a window below it, and dives where they fall to zero; the lines between are
-kept. Where the page marks its article, only lines inside it have a length and
-any length is a surge, so short paragraphs and short articles stay whole.
+Lengths are summed over sliding windows of ``WINDOW`` lines. The text surges
+where the sums rise to the threshold after a window below it, and dives where
+they fall to zero; the lines between are kept, and with them the lines right
+before the surge that are not links.
+
+Marks of an article weigh the lines: one inside counts ``SURGE`` at least, so
+short paragraphs and short articles stay whole; one outside counts the less the
+more of the page's text is marked, and surges at ``SURGE`` a line of the window.
+So a whole article leaves nothing else of its page, and a small marked card does
+not hide a text beside it.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by an empty line. Null or empty html, and a page without text,
@@ -31,7 +37,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import text_chunks, texts
 
 WINDOW = 3
-SURGE = 60  # characters in a window, for pages that mark no article
+SURGE = 60  # characters in a window
 
 # Element names by their part in a page.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object")
@@ -78,6 +84,7 @@ class Line:
     inside: int  # how many open elements mark the article
     named: tuple[int, ...] = ()  # numbers of the open containers named like boilerplate
     gap: bool = False  # stands where boilerplate was left out
+    link: bool = False  # all of its text is links
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -119,25 +126,33 @@ def lines_of(html: str) -> list[Line]:
     """The page's lines in order; a line without text stands where boilerplate was left out."""
     lines: list[Line] = []
     pieces: list[str] = []
+    plain = False  # whether a piece of the line is no link
     stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, marks the article, named
     named: tuple[int, ...] = ()
-    dropped = articles = containers = 0
+    dropped = articles = containers = links = 0
+
+    def add(piece: str) -> None:
+        nonlocal plain
+        pieces.append(piece)
+        plain = plain or not links and any(c.isalnum() for c in piece)
 
     def close_line(gap: bool = False) -> None:
+        nonlocal plain
         text = SPACES.sub(" ", unescape("".join(pieces))).strip()
         pieces.clear()
         if text:
-            lines.append(Line(text, articles, named))
+            lines.append(Line(text, articles, named, link=not plain))
+        plain = False
         if gap:
             lines.append(Line("", articles, named, True))
 
     def leave(count: int) -> None:
-        nonlocal dropped, articles, named
+        nonlocal dropped, articles, named, links
         for _ in range(count):
-            _, boilerplate, article, container = stack.pop()
+            name, boilerplate, article, container = stack.pop()
+            links -= name == "a"
             if container:
                 close_line()
-                lines.append(Line("", articles, named))
                 named = named[:-1]
             dropped -= boilerplate
             articles -= article
@@ -147,25 +162,22 @@ def lines_of(html: str) -> list[Line]:
         token = TOKEN.search(html, at)
         if token is None:
             if not dropped:
-                pieces.append(html[at:])
+                add(html[at:])
             break
         if not dropped:
-            pieces.append(html[at : token.start()])
+            add(html[at : token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
         if not name:
             if token[0].startswith("<![CDATA[") and not dropped:
-                pieces.append(token[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+                add(token[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         if token["close"]:
             place = next((n for n in range(len(stack) - 1, -1, -1) if stack[n][0] == name), None)
-            was_dropped = dropped > 0
             if place is not None:
                 if name in BLOCKS or any(s[1] or s[3] or s[0] in BLOCKS for s in stack[place:]):
                     close_line()
                 leave(len(stack) - place)
-                if was_dropped and not dropped:
-                    close_line(gap=True)
             elif name in BLOCKS:
                 close_line()
             continue
@@ -200,6 +212,7 @@ def lines_of(html: str) -> list[Line]:
         stack.append((name, boilerplate, article, container))
         dropped += boilerplate
         articles += article
+        links += name == "a"
     close_line()
     return _without_named(lines) if containers else lines
 
@@ -230,26 +243,41 @@ def _without_named(lines: list[Line]) -> list[Line]:
     return left
 
 
+def weights_of(lines: list[Line], surge: int = SURGE) -> np.ndarray:
+    """Lengths of the lines, raised inside a marked article, lowered outside by its share of the text."""
+    lengths = np.array([len(x.text) for x in lines], float)
+    inside = np.array([x.inside > 0 for x in lines])
+    share = lengths[inside].sum() / max(lengths.sum(), 1)
+    raised = np.where(lengths > 0, np.maximum(lengths, surge), 0)
+    return np.where(inside, raised, lengths * (1 - share) ** 2)
+
+
 def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between surge and dive of the windows' lengths."""
+    """The lines between surge and dive of the windows' weights."""
     if not lines:
         return []
+    weights = weights_of(lines, surge)
     marked = any(line.inside and line.text for line in lines)
-    lengths = np.array([len(x.text) if x.inside or not marked else 0 for x in lines])
-    sums = np.convolve(lengths, np.ones(window, int))[window - 1 :]  # lines i .. i + window - 1
-    threshold = 1 if marked else min(surge, int(sums.max()))
     kept = np.zeros(len(lines), bool)
-    at = 0
-    while at < len(lines):
-        if sums[at] < max(threshold, 1):
-            at += 1
-            continue
-        end = at
-        while end < len(lines) and sums[end] > 0:
-            end += 1
-        kept[at : min(end + window - 1, len(lines))] = True
-        at = end
-    return [x.text for x, keep, n in zip(lines, kept, lengths, strict=True) if keep and n]
+    # no window reaches over the border of a marked article
+    borders = [n for n in range(1, len(lines)) if (lines[n].inside > 0) != (lines[n - 1].inside > 0)]
+    for first, last in zip([0, *borders], [*borders, len(lines)], strict=True):
+        sums = np.convolve(weights[first:last], np.ones(window))[window - 1 :]  # lines i .. i + window - 1
+        beside = marked and not lines[first].inside
+        threshold = window * surge if beside else max(min(surge, sums.max()), 1)
+        at, size = 0, last - first
+        while at < size:
+            if sums[at] < threshold:
+                at += 1
+                continue
+            start = end = at
+            while start and (before := lines[first + start - 1]).text and not before.link:
+                start -= 1
+            while end < size and sums[end] > 0:
+                end += 1
+            kept[first + start : first + min(end + window - 1, size)] = True
+            at = end
+    return [x.text for x, keep in zip(lines, kept, strict=True) if keep and x.text]
 
 
 def main_text(html: str) -> str:
