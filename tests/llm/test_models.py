@@ -176,3 +176,37 @@ def test_toxicity_of_odd_rows(spark):
     none = toxicity.toxicity(df, marks.limit(0)).collect()
     assert {(x.score, x.predicted) for x in none} == {(0.0, 0)}
     assert toxicity.toxicity(df.limit(0), marks).collect() == []
+
+
+def test_rare_language_is_learned(spark):
+    r = random.Random(7)
+    lexicon = {"xx": "alpha beta gamma delta", "yy": "uno dos tres cuatro", "zz": "yksi kaksi kolme nelja"}
+    langs = ["xx", "yy"] * 3000 + ["zz"] * 24
+    docs = [(n, " ".join(r.choices(lexicon[x].split(), k=12)), x) for n, x in enumerate(langs)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = language.identify(df, rows=150).collect()
+    assert sum(x.lang_pred == "zz" for x in rows if x.doc_id >= 6000) >= 22
+    assert sum(x.lang_pred == langs[x.doc_id] for x in rows) >= 0.99 * len(docs)
+    sample = language.sample_of(df.selectExpr("text", "lang AS label"), 150).collect()
+    assert sum(x.label == "zz" for x in sample) >= 20 and len(sample) <= 400
+
+
+def test_shares_keep_rare_labels_whole():
+    shares = language.shares_of({"a": 89_995, "b": 9_900, "c": 100, "d": 5}, 1000, 100)
+    assert shares == {"a": pytest.approx(0.01), "b": pytest.approx(100 / 9900), "c": 1.0, "d": 1.0}
+
+
+def test_rare_toxic_texts_are_learned(spark):
+    r = random.Random(3)
+    plain = [f"word{n}" for n in range(300)]
+    docs = []
+    for n in range(6000):
+        own = r.choices(plain, k=12)
+        if n % 150 == 0:
+            own[2:2], own[8:8] = ["rotten"], ["vermin"]
+        docs.append((n, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(n, int(n % 150 == 0)) for n, _ in docs], "doc_id long, toxic int")
+    found = {x.doc_id: x.predicted for x in toxicity.toxicity(df, marks, rows=150).collect()}
+    assert sum(found[n] for n in range(0, 6000, 150)) >= 38
+    assert sum(found.values()) <= 45

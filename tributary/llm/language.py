@@ -3,7 +3,8 @@
 Every word is framed by marks and cut into byte n-grams, which are hashed into a
 table of embeddings; a text is the mean of the embeddings of all n-grams of all
 its words. Embeddings and softmax are trained by stochastic gradient descent in
-numpy, on at most ``FIT_ROWS`` labelled texts chosen by a hash of their id. A
+numpy, on about ``FIT_ROWS`` labelled texts chosen by a hash of the text, and for
+each language on ``LEAST_ROWS`` of its rows at least, or all if it has fewer. A
 part of these texts is held back to set the softmax temperature and the score
 under which a prediction counts as rejected.
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD_CLASS, let, ranges, row_of, split_words, text_chunks, texts
 
 FIT_ROWS = 3000
+LEAST_ROWS = 100  # of each language, beyond FIT_ROWS if need be
 FIT_WORDS = 100  # words of a training text, spread over the whole of it
 EMBEDDING_RATE = 20  # embeddings get small gradients: each n-gram is a small share of its text
 BUCKETS = 1 << 15
@@ -157,11 +159,25 @@ def spread_words(text: Column, most: int = FIT_WORDS) -> Column:
     )
 
 
-def sample_of(labelled: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` of the rows (text, label), none of the same text, chosen by a hash of the text."""
-    share = min(1.0, rows / max(labelled.count(), 1))
+def shares_of(counts: dict, rows: int, least: int) -> dict:
+    """The share to sample of each label: ``rows`` of all, but ``least`` of a label or all it has."""
+    total = max(sum(counts.values()), 1)
+    return {label: min(1.0, max(rows / total, least / n)) for label, n in counts.items()}
+
+
+def sample_of(labelled: DataFrame, rows: int, least: int = LEAST_ROWS) -> DataFrame:
+    """About ``rows`` of the rows (text, label) and ``least`` of each label, none of the same text and label.
+
+    Rows are chosen by a hash of the text, counts are taken over all rows. The model
+    holds a column per label, so the labels are few enough for the driver.
+    """
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if not counts:
+        return labelled
+    shares = shares_of(counts, rows, least)
+    listed = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    return labelled.filter(place <= F.lit(share * 1_000_000)).dropDuplicates(["text"])
+    return labelled.filter(place <= listed[F.col("label")] * 1_000_000).dropDuplicates(["text", "label"])
 
 
 def train(docs: DataFrame, rows: int = FIT_ROWS) -> LanguageModel | None:

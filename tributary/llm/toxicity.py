@@ -1,6 +1,7 @@
 """Toxicity scores from a learned lexicon, spelling automata and context windows.
 
-The lexicon is learned from at most ``FIT_ROWS`` labelled texts: a word counts by
+The lexicon is learned from about ``FIT_ROWS`` labelled texts, and from at least
+``LEAST_ROWS`` of the toxic and of the other ones, or all there are: a word counts by
 the number of different words it follows in toxic and in other texts, so copies
 of one text count once; so does each beginning of a word, for inflected terms.
 All whole words make a trie. Each distinct word of a chunk is
@@ -10,7 +11,8 @@ terms keeps all other words away.
 
 Every hit is weighed by its term and by its context: hits inside quotation
 marks, or within a few words of a word of reporting, count as quoted, others as
-abuse. A logistic regression, trained here, turns the sums into a score. What
+abuse. A logistic regression, trained here, turns the sums into a score; its
+intercept is set back to the shares of all labelled rows. What
 misspelled hits add to the sums are features of their own, apart for short
 terms, whose neighbours are often other words: the regression decides what an
 edit takes away. Where the fit has no such hit, they count like exact ones.
@@ -31,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import WORD_CLASS, let, split_words, stored, text_chunks, texts
-from tributary.llm.language import held_out
+from tributary.llm.language import held_out, shares_of
 
 FIT_ROWS = 4_000
+LEAST_ROWS = 1_000  # of the toxic and of the other texts, beyond FIT_ROWS if need be
 MOST_TERMS = 400
 LEAST_CONTEXTS = 4
 LEAST_WEIGHT = 2.5
@@ -283,7 +286,9 @@ def _featured(lexicon: Lexicon):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> ToxicityModel | None:
+def train(
+    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, least: int = LEAST_ROWS
+) -> ToxicityModel | None:
     """The model of the labelled texts outside the held-out fold."""
     marks = (
         labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
@@ -291,11 +296,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> ToxicityM
         .agg((F.max("toxic") > 0).alias("toxic"))
         .filter(~held_out(F.col("doc_id"), 5, 0))
     )
-    total = marks.count()
-    if not total:
+    counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    if not counts:
         return None
-    share = F.lit(min(1.0, rows / total) * 1_000_000)
-    chosen = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) <= share)
+    shares = shares_of(counts, rows, least)
+    share = F.when(F.col("toxic"), shares.get(True, 1.0)).otherwise(shares.get(False, 1.0))
+    chosen = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) <= share * 1_000_000)
     sample = stored(
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(chosen, "doc_id")
@@ -311,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> ToxicityM
     if not len(y) or y.min() == y.max():
         return ToxicityModel(lexicon, np.zeros(len(FEATURES)), -5.0 if not y.any() else 5.0)
     weights, bias = logistic(x, y)
-    return ToxicityModel(lexicon, weights, bias)
+    return ToxicityModel(lexicon, weights, bias - float(np.log(shares[True] / shares[False])))
 
 
 def _scored(model: ToxicityModel | None):
