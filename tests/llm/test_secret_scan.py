@@ -97,3 +97,10 @@ def test_masked_rows(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, row string")
     rows = ss.mask_secrets(df).orderBy("doc_id").collect()
     assert [tuple(r) for r in rows] == [(1, "a password=[REDACTED] b", None), *docs[1:]]
+
+
+def test_only_ascii_letters_fold():
+    """The same string has the same spans whatever else its text holds."""
+    alone = ["to\u212aen=abcdefghijklmnop", "\u017fecret=abcdefghijklmnop"]
+    found = ss.Scanner().scan(ss.pa.array([*alone, *(f"{x} token secret" for x in alone), "ToKen=abcdefghijklmnop"]))
+    assert list(found) == [4] and found[4][0][0] == "assign"

@@ -46,7 +46,7 @@ class SecretRule:
 BASE_RULES = (
     SecretRule(
         "assign",
-        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
         2,
         12,
     ),
