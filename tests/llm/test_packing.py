@@ -80,3 +80,13 @@ def test_search_keeps_items_and_never_adds(sizes):
 )
 def test_search_empties(bins, sizes, best):
     assert len(packing.improve(bins, np.array(sizes), 10)) == best
+
+
+def test_search_goes_on_with_other_donors():
+    bins = [[1, 0], [3, 4, 2], [5]]  # the least filled one has no step
+    assert len(packing.improve(bins, np.array([8, 10, 4, 8, 7, 3]), 20)) == 2
+    lengths = np.random.default_rng(1).integers(1200, 1500, 600)
+    bins = packing.improve(packing.best_fit(lengths, 4096), lengths, 4096)
+    assert sorted(i for b in bins for i in b) == list(range(600))
+    assert all(lengths[b].sum() <= 4096 for b in bins)
+    assert len(bins) <= 1.03 * -(-int(lengths.sum()) // 4096)

@@ -3,10 +3,10 @@
 Documents become ids, closed by an end id; only longer ones are cut into full
 pieces and a rest. Rests are dealt into blocks of about ``BLOCK_BINS`` sequences
 by a hash of their row, and every block is packed on its own: best fit of the
-longest first, then a local search that empties the least filled sequence. It
+longest first, then a local search that empties the less filled sequences. It
 moves a document, exchanges one for one or two for one into another underfull
 sequence, each step increasing the sum of squared fills, until the number of
-sequences is the least the lengths allow or no step is left. A block's size is
+sequences is the least the lengths allow or no pair of sequences has a step left. A block's size is
 set by the token total, so neither tasks nor blocks grow with the corpus.
 
 Null text counts as empty and packs as its end id alone. Rows that repeat an id
@@ -90,12 +90,17 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _step(bins: list[list[int]], lengths: np.ndarray, fills: np.ndarray, capacity: int) -> bool:
-    """The exchange with the least filled sequence that fills another one most; False if none."""
-    donor = int(np.argmin(fills))
-    receivers = np.flatnonzero((fills < capacity) & (np.arange(len(bins)) != donor))
+def _step(
+    bins: list[list[int]],
+    lengths: np.ndarray,
+    fills: np.ndarray,
+    capacity: int,
+    donor: int,
+    receivers: np.ndarray,
+) -> int | None:
+    """The exchange of the donor that fills a receiver most; the receiver's number, None if none."""
     if not len(receivers):
-        return False
+        return None
     own = np.array(bins[donor])
     singles = lengths[own]
     gives = [((i,), int(singles[i])) for i in range(len(own))]
@@ -115,7 +120,7 @@ def _step(bins: list[list[int]], lengths: np.ndarray, fills: np.ndarray, capacit
     score = np.where(gain > 0, gain * (gain + fills[places] - fills[donor]), 0)
     pick = int(np.argmax(score))
     if score[pick] <= 0:
-        return False
+        return None
     receiver, given = int(places[pick]), [int(own[i]) for i in gives[int(best[pick])][0]]
     bins[donor] = [i for i in bins[donor] if i not in given]
     bins[receiver] += given
@@ -124,19 +129,37 @@ def _step(bins: list[list[int]], lengths: np.ndarray, fills: np.ndarray, capacit
         bins[donor].append(int(backs[pick]))
     fills[receiver] += gain[pick]
     fills[donor] -= gain[pick]
-    return True
+    return receiver
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search: exchanges that increase the squared fill until sequences empty."""
+    """Local search: exchanges that increase the squared fill until sequences empty.
+
+    Donors take turns, the least filled first, until a turn of all has no step. A donor
+    that had none tries again only what has changed since.
+    """
     least = -(-int(lengths.sum()) // capacity)
+    count = len(bins)
     fills = np.array([lengths[b].sum() for b in bins])
-    while len(bins) > least and _step(bins, lengths, fills, capacity):
-        empty = np.flatnonzero(fills == 0)
-        for place in empty[::-1].tolist():
-            del bins[place]
-            fills = np.delete(fills, place)
-    return bins
+    clock, changed, tried = 1, np.ones(len(bins), int), np.zeros(len(bins), int)
+    moved = True
+    while moved and count > least:
+        moved = False
+        for donor in np.argsort(fills, kind="stable").tolist():
+            while count > least and 0 < fills[donor] < capacity:
+                open_ = (fills > 0) & (fills < capacity)
+                open_[donor] = False
+                if changed[donor] <= tried[donor]:
+                    open_ &= changed > tried[donor]
+                receiver = _step(bins, lengths, fills, capacity, donor, np.flatnonzero(open_))
+                tried[donor] = clock
+                if receiver is None:
+                    break
+                clock += 1
+                changed[[donor, receiver]] = clock
+                moved = True
+                count -= fills[donor] == 0
+    return [b for b in bins if b]
 
 
 def _packed(capacity: int):
