@@ -142,6 +142,13 @@ def test_pivot_is_complete_or_loud(spark):
         aggregate.pivot_first(df.union(df.limit(1)), "i", "k", ["x", "zz"], "n").collect()
 
 
+def test_pivot_looks_up_no_more_columns_than_allowed(spark):
+    df = spark.createDataFrame([(1, "x", 5), (1, "zz", 9), (2, None, 3)], "i int, k string, n int")
+    assert as_set(aggregate.pivot_first(df, "i", "k", None, "n", max_columns=2)) == {(1, 5, 9)}
+    with pytest.raises(ValueError, match="more than 1 values"):
+        aggregate.pivot_first(df, "i", "k", None, "n", max_columns=1)
+
+
 def test_not_a_number_is_missing_in_a_histogram(spark):
     nan, inf = float("nan"), float("inf")
     df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (nan,), (inf,), (None,)], "x double")

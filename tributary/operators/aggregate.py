@@ -15,6 +15,8 @@ from tributary.functions.numbers import finite
 from tributary.functions.recode import presence_flag
 from tributary.operators.shape import present
 
+MOST_COLUMNS = 1000  # of a pivot whose values are looked up
+
 
 def collapse(df: DataFrame, columns: Sequence[str], weight: str) -> DataFrame:
     """Distinct rows over some columns, with the number of rows each stands for.
@@ -165,15 +167,25 @@ def ordered_category_count(df: DataFrame, column: str, categories: Sequence[str]
 
 
 def pivot_first(
-    df: DataFrame, index: str, columns: str, values: Sequence | None, measure: str
+    df: DataFrame,
+    index: str,
+    columns: str,
+    values: Sequence | None,
+    measure: str,
+    max_columns: int = MOST_COLUMNS,
 ) -> DataFrame:
     """One row per index, one column per value, holding the measure.
 
-    Without ``values`` they are looked up. A value that is not listed, or a second
-    row for one cell, fails the job: neither would have a place.
+    Without ``values`` they are looked up by one job; more than ``max_columns`` of
+    them is an error. A value that is not listed, or a second row for one cell, fails
+    the job: neither would have a place.
     """
     if values is None:
-        found = df.select(columns).filter(F.col(columns).isNotNull()).distinct().collect()
+        found = (
+            df.select(columns).filter(F.col(columns).isNotNull()).distinct().limit(max_columns + 1)
+        ).collect()
+        if len(found) > max_columns:
+            raise ValueError(f"'{columns}' has more than {max_columns} values")
         values = sorted(row[0] for row in found)
     cells = df.filter(F.col(columns).isNotNull())
     listed = F.col(columns).isin(list(values)) if values else F.lit(False)

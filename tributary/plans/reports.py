@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.aggregate import argmax_per_group, pivot_first
+from tributary.operators.aggregate import MOST_COLUMNS, argmax_per_group, pivot_first
 from tributary.operators.star import star_join
 
 
@@ -36,9 +36,11 @@ def sql_report(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -
     return spark.sql(sql)
 
 
-def counts_over_time(counts: DataFrame, period: str, group: str, values, total: str) -> DataFrame:
+def counts_over_time(
+    counts: DataFrame, period: str, group: str, values, total: str, max_columns: int = MOST_COLUMNS
+) -> DataFrame:
     """Counts with one row per period and one column per group value."""
-    return pivot_first(counts, period, group, values, total)
+    return pivot_first(counts, period, group, values, total, max_columns)
 
 
 def most_common(
