@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm import (
+    alignment,
     exact,
     html_text,
     jaccard,
@@ -182,6 +183,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_cross_tokenizer_alignment")
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
