@@ -22,7 +22,9 @@ from tributary.llm import (
     secret_scan,
     token_counts,
     toxicity,
+    warc,
 )
+from tributary.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,6 +225,15 @@ def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 50, label)
 
 
+@query("op13_warc")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_warc(warc.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    return warc.read_pages(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
