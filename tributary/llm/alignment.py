@@ -24,9 +24,11 @@ than id and text are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,15 @@ from pyspark.sql import functions as F
 from tributary.llm.common import let, ranges, text_chunks
 from tributary.session import scratch_path
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 MOST_WORDS = 400_000
-MOST_WORD_BYTES = 32 << 20
+MOST_WORD_BYTES = 24 << 20
 BLOCK_BYTES = 8 << 20  # of the stored batches: a reader holds one block of them
 LOW = (1 << 32) - 1
+STEP_WORDS = 20_000
+OLD_LETTERS = "\u0250"
+# Fixed value: the pattern byte-level vocabularies of this kind split texts by.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 TASK_BITS = 32
 
 ALIGNED = """
@@ -83,7 +89,14 @@ class Side:
 
 
 def byte_level(path: str) -> Side:
+    """A byte-level BPE file.
+
+    Where its merges make its ids in order, a rank table of the same ids encodes the
+    same and faster; it is used for texts whose letters every version of Unicode has
+    (the two libraries split texts by tables of their own).
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -92,9 +105,30 @@ def byte_level(path: str) -> Side:
     vocabulary = [b""] * tokenizer.get_vocab_size()
     for token, number in tokenizer.get_vocab().items():
         vocabulary[number] = bytes(alphabet[c] for c in token)
-    return Side.of(
-        lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], vocabulary
-    )
+    with open(path, encoding="utf-8") as file:
+        stored_form = json.load(file)
+    merges = [m.split(" ") if isinstance(m, str) else m for m in stored_form["model"]["merges"]]
+    numbers = stored_form["model"]["vocab"]
+    split = stored_form["pre_tokenizer"]
+    in_order = all(numbers["".join(m)] == 256 + n for n, m in enumerate(merges))
+    usual = split["type"] == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+
+    def slow(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    if not (in_order and usual):
+        return Side.of(slow, vocabulary)
+    ranks = {vocabulary[n]: n for n in numbers.values()}
+    encoding = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        found = [encoding.encode_ordinary(t) if t.isascii() or max(t) < OLD_LETTERS else None for t in texts]
+        rest = [n for n, ids in enumerate(found) if ids is None]
+        for n, ids in zip(rest, slow([texts[n] for n in rest]), strict=True):
+            found[n] = ids
+        return found
+
+    return Side.of(encode, vocabulary)
 
 
 def sentence_pieces(path: str) -> tuple[Side, bool]:
@@ -153,11 +187,11 @@ class Words:
 
     @classmethod
     def none(cls) -> Words:
-        def flat(kind=np.int64):
+        def flat(kind):
             return np.zeros(0, kind), np.zeros(1, np.int64)
 
-        empty = np.zeros(0, np.int64)
-        return cls(np.zeros(0, bool), flat(), flat(), np.zeros(1, np.int64), empty, empty, empty, flat(np.uint8))
+        ids, stops, first = flat(np.int32), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        return cls(np.zeros(0, bool), ids, ids, first, stops, stops, np.zeros(0, np.int64), flat(np.uint8))
 
     def plus(self, other: Words) -> Words:
         def join(one, two):
@@ -173,10 +207,14 @@ class Words:
         )
 
 
-def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, found), np.int64, count=len(found))
-    flat = np.fromiter((i for ids in found for i in ids), np.int64, count=int(sizes.sum()))
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
+def _flat(encode: Callable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and the texts' offsets."""
+    flats, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for start in range(0, len(texts), STEP_WORDS):
+        found = encode(texts[start : start + STEP_WORDS])
+        sizes.append(np.fromiter(map(len, found), np.int64, count=len(found)))
+        flats.append(np.fromiter(chain.from_iterable(found), np.int32, count=int(sizes[-1].sum())))
+    return np.concatenate(flats), np.cumsum(np.concatenate(sizes))
 
 
 def _only(ids: np.ndarray, offsets: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,8 +289,8 @@ class Aligner:
     def _encode(self, new: pa.Array) -> Words:
         data, at = _buffers(new)
         texts = new.to_pylist()
-        a, a_offsets = _flat(self.a.encode(texts))
-        b, b_offsets = _flat(self.b.encode(texts))
+        a, a_offsets = _flat(self.a.encode, texts)
+        b, b_offsets = _flat(self.b.encode, texts)
         ok = _covered(self.a, a, a_offsets, data, at) & _covered(self.b, b, b_offsets, data, at)
         a, a_offsets = _only(a, a_offsets, ok)
         b, b_offsets = _only(b, b_offsets, ok)
@@ -269,15 +307,15 @@ class Aligner:
             (a, a_offsets),
             (b, b_offsets),
             groups,
-            a_last - a_offsets[word],
-            b_last - b_offsets[word],
-            (a[a_last - 1] << 32) | b[b_last - 1],
+            (a_last - a_offsets[word]).astype(np.int32),
+            (b_last - b_offsets[word]).astype(np.int32),
+            (a[a_last - 1].astype(np.int64) << 32) | b[b_last - 1],
             (text, np.concatenate([[0], text_ends])[groups]),
         )
 
     def places(self, found: pa.Array) -> np.ndarray:
         """Places of distinct cuts in the table, new ones added."""
-        size = len(self.words.text[0]) + 16 * (len(self.words.a[0]) + len(self.words.b[0]))
+        size = len(self.words.text[0]) + 8 * (len(self.words.a[0]) + len(self.words.b[0]))
         if len(self.known) + len(found) > MOST_WORDS or size > MOST_WORD_BYTES:
             self._clear()
         places = pc.index_in(found, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -358,8 +396,8 @@ def _batches(a_path: str, b_path: str):
             pairs, pair = np.unique(own, return_inverse=True)
             times = np.bincount(pair, np.repeat(rows, np.diff(offsets)), len(pairs)).astype(np.int64)
             links, link_ends = _gather(pair, offsets, code, docs)
-            text, text_ends = _gather(*w.text, places, docs)
-            text = memoryview(text)
+            text, word_ends = _buffers(_large(*w.text).take(pa.array(places)))
+            text, text_ends = memoryview(text), word_ends[docs]
             sizes = [np.diff(x)[places] for x in (w.a[1], w.b[1])]
             counts = [np.diff(np.concatenate([[0], np.cumsum(x)])[docs]) for x in sizes]
             digests = [
