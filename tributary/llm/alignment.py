@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import let, ranges, text_chunks
+from tributary.llm.common import give_back, let, ranges, text_chunks
 from tributary.session import scratch_path
 
 CHUNK_BYTES = 2 << 20
@@ -384,7 +384,7 @@ def _aligned(a_path: str, b_path: str):
 
 
 def _batches(a_path: str, b_path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(a_path, b_path)
         first = TaskContext.get().partitionId() << TASK_BITS
         for number, batch in enumerate(text_chunks(batches, limit=CHUNK_BYTES)):
@@ -421,6 +421,10 @@ def _batches(a_path: str, b_path: str):
                 names=["chunk", "docs", "pairs", "times"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from encoded(batches)
+        give_back()
+
     return run
 
 
