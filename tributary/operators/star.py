@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tributary.operators.clean import split_rows
 from tributary.operators.keys import (
+    SMALL_ROWS,
     Numbered,
     attach_number,
     null_safe_match,
     number_distinct,
 )
-from tributary.session import path_exists, remove_path, shared_dir
-from tributary.sources.files import read_runs, write_run
+from tributary.operators.skew import attach_number_split, frequent_hashes
+from tributary.session import remove_path, shared_dir
+from tributary.sources.files import SourceMissing
+from tributary.sources.versions import Snapshot, Table, VersionConflict, VersionLog
 
 
 @dataclass(frozen=True)
@@ -103,13 +107,19 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
     return existing.unionByName(fresh.select(*existing.columns))
 
 
-def new_members(existing: DataFrame, df: DataFrame, dim: Dimension) -> Numbered:
-    """Natural keys a stored dimension lacks, numbered from its highest id on."""
+def new_members(
+    existing: DataFrame, df: DataFrame, dim: Dimension, highest: int | None = None
+) -> Numbered:
+    """Natural keys a stored dimension lacks, numbered from its highest id on.
+
+    The highest id is looked up unless it is known.
+    """
     incoming = df.select(*dim.columns).distinct()
     fresh = incoming.join(
         existing, null_safe_match(incoming, existing, dim.columns), "left_anti"
     )
-    highest = existing.agg(F.coalesce(F.max(dim.id), F.lit(0))).scalar()
+    if highest is None:
+        highest = existing.agg(F.coalesce(F.max(dim.id), F.lit(0))).scalar()
     return number_distinct(fresh, dim.columns, dim.id, start=highest + 1)
 
 
@@ -124,15 +134,20 @@ def build_fact(
     date: str,
     measures: Sequence[str],
     integers: Sequence[str] = (),
+    hot: Mapping[str, Sequence[int]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fact rows with surrogate keys, and the rows rejected for lack of a date.
 
     Every dimension is left-joined on its whole natural key with null matching
-    null. Columns in ``integers`` are cut to whole numbers.
+    null. Columns in ``integers`` are cut to whole numbers. ``hot`` names the
+    frequent keys of dimensions whose join is to keep them apart.
     """
     dated, rejected = split_rows(df.withColumn(date, F.to_date(date)), F.col(date).isNotNull())
     for dim, table in dims:
-        dated = attach_number(dated, table, dim.columns, dim.id)
+        if hot and hot.get(dim.name):
+            dated = attach_number_split(dated, table, dim.columns, dim.id, hot[dim.name])
+        else:
+            dated = attach_number(dated, table, dim.columns, dim.id)
     cut = {c: F.col(c).try_cast("long") for c in integers}
     fact = dated.withColumns(cut) if cut else dated
     return fact.select(*[dim.id for dim, _ in dims], date, *measures), rejected
@@ -142,18 +157,30 @@ class ConstraintBroken(ValueError):
     """A batch breaks a constraint of the star it is loaded into."""
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """What a load has stored: the version it made, rows by table, new members by dimension."""
+
+    version: int
+    rows: Mapping[str, int]
+    members: Mapping[str, int]
+
+
 @dataclass(frozen=True)
 class StarStore:
-    """A star kept as Parquet below one shared path.
+    """A star kept as Parquet below one shared path, in whole versions.
 
-    Dimensions only grow, by members not yet stored. Facts and rejects are
-    written per run into a folder of their own, which a repeated run replaces, so
-    loading a batch twice equals loading it once, and loading a mended batch
-    leaves nothing of the first.
+    Dimensions only grow, by members not yet stored. Facts and rejects are kept per
+    run, and a repeated run replaces its own, so loading a batch twice equals loading
+    it once, and loading a mended batch leaves nothing of the first.
 
     A batch is checked before any of it is visible: ``not_null`` columns hold no
     null, natural keys are at most ``max_length`` characters long, ``check`` (an
     SQL condition on the batch) is not false, and every fact finds its dimensions.
+    All tables of a load become visible by one commit; a load that fails or dies
+    before it leaves the star as it was. Of two loads at once the second to commit
+    starts anew from the other's version, ``attempts`` times at most, so no member
+    is numbered twice.
     """
 
     spark: SparkSession
@@ -165,17 +192,26 @@ class StarStore:
     not_null: Sequence[str] = field(default=())
     max_length: int = 100
     check: str | None = None
+    attempts: int = 3
+
+    @property
+    def log(self) -> VersionLog:
+        return VersionLog(self.spark, self.path)
+
+    def _read(self, snapshot: Snapshot, name: str) -> DataFrame:
+        if name not in snapshot.tables:
+            raise SourceMissing(f"[PATH_NOT_FOUND] version {snapshot.version} of {self.path} has no table '{name}'")
+        return self.log.read(name, snapshot.tables[name])
 
-    def table(self, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        if name in ("facts", "rejects"):
-            return read_runs(self.spark, path)
-        return self.spark.read.parquet(path)
+    def table(self, name: str, version: int | None = None) -> DataFrame:
+        """A table of the last version, or of an earlier one."""
+        return self._read(self.log.latest() if version is None else self.log.at(version), name)
 
     def register_views(self) -> None:
-        """Every table of the star as a view of its name, for SQL reports."""
+        """Every table of one version of the star as a view of its name, for SQL reports."""
+        snapshot = self.log.latest()
         for name in [dim.name for dim in self.dims] + ["dates", "facts"]:
-            self.table(name).createOrReplaceTempView(name)
+            self._read(snapshot, name).createOrReplaceTempView(name)
 
     def violations(self, df: DataFrame) -> DataFrame:
         """Rows of the batch that break each constraint: (constraint, n), none left out."""
@@ -189,53 +225,75 @@ class StarStore:
         cells = [F.struct(F.lit(c).alias("constraint"), F.col(f"n{i}").alias("n")) for i, c in enumerate(broken)]
         return df.agg(*counts).select(F.inline(F.array(*cells)))
 
-    def _require(self, violations: DataFrame) -> None:
-        broken = violations.filter("n > 0").collect()
+    def _require(self, df: DataFrame) -> None:
+        if not any((self.not_null, self.dims, self.check)):
+            return
+        broken = self.violations(df).filter("n > 0").collect()
         if broken:
             listed = "; ".join(f"{r['constraint']} ({r['n']} rows)" for r in broken)
             raise ConstraintBroken(f"{len(broken)} constraints broken: {listed}")
 
-    def _stored(self, name: str) -> DataFrame | None:
-        return self.table(name) if path_exists(self.spark, f"{self.path}/{name}") else None
-
-    def _grow(self, df: DataFrame, dim: Dimension) -> DataFrame:
-        stored = self._stored(dim.name)
-        members = build_dimension(df, dim) if stored is None else new_members(stored, df, dim)
-        if members.rows:
-            members.table.write.mode("append").parquet(f"{self.path}/{dim.name}")
-        return self.table(dim.name)
-
-    def _grow_dates(self, df: DataFrame) -> None:
-        dates = date_dimension(df, self.date)
-        stored = self._stored("dates")
-        if stored is not None:
-            dates = dates.join(stored, self.date, "left_anti")
-        dates.write.mode("append").parquet(f"{self.path}/dates")
+    def _members(self, rows: DataFrame, dim: Dimension, stored: Table | None, load: str) -> Table:
+        """A dimension with the batch's new members; ids are 1 to the number of members."""
+        if stored is None:
+            return self.log.stage(build_dimension(rows, dim).table, dim.name, load)[0]
+        members = new_members(self.log.read(dim.name, stored), rows, dim, stored.rows)
+        if not members.rows:
+            return stored
+        return stored.plus(*self.log.stage(members.table, dim.name, load)[0].parts)
+
+    def _dates(self, rows: DataFrame, stored: Table | None, load: str) -> Table:
+        dates = date_dimension(rows, self.date)
+        if stored is None:
+            return self.log.stage(dates, "dates", load)[0]
+        fresh = dates.join(self.log.read("dates", stored), self.date, "left_anti")
+        return stored.plus(*self.log.stage(fresh, "dates", load)[0].parts)
+
+    def _stage_all(self, df: DataFrame, rows: DataFrame, run: str, base: Snapshot, load: str) -> dict[str, Table]:
+        tables = {dim.name: self._members(rows, dim, base.tables.get(dim.name), load) for dim in self.dims}
+        tables["dates"] = self._dates(rows, base.tables.get("dates"), load)
+        hot = {
+            dim.name: frequent_hashes(rows, dim.columns, ROWS)
+            for dim in self.dims
+            if tables[dim.name].rows > SMALL_ROWS
+        }
+        dims = [(dim, self.log.read(dim.name, tables[dim.name])) for dim in self.dims]
+        fact, rejected = build_fact(df, dims, self.date, self.measures, self.integers, hot)
+        loose = [F.count_if(F.col(dim.id).isNull()).alias(dim.id) for dim in self.dims]
+        facts, seen = self.log.stage(fact, "facts", load, run, loose)
+        if missing := [dim.id for dim in self.dims if seen.get(dim.id)]:
+            raise ConstraintBroken(f"facts without a dimension row: {', '.join(missing)}")
+        for name, staged in (("facts", facts), ("rejects", self.log.stage(rejected, "rejects", load, run)[0])):
+            tables[name] = base.tables[name].with_run(staged.parts[0]) if name in base.tables else staged
+        return tables
 
-    def load(self, df: DataFrame, run: str) -> None:
+    def _load(self, df: DataFrame, run: str, keep: bool) -> Loaded:
+        self._require(df)
+        rows = dimension_rows(df, self.dims, self.date)
+        for attempt in range(1, self.attempts + 1):
+            last, load = self.log.latest(), uuid.uuid4().hex
+            base = last if keep else Snapshot(last.version)
+            try:
+                tables = self._stage_all(df, rows, run, base, load)
+                version = self.log.commit(base, tables).version
+            except BaseException as error:
+                for name in [*(dim.name for dim in self.dims), "dates", "facts", "rejects"]:
+                    remove_path(self.spark, f"{self.path}/{name}/load={load}")
+                if isinstance(error, VersionConflict) and attempt < self.attempts:
+                    continue
+                raise
+            own = {n: sum(p.rows for p in t.parts if p.load == load) for n, t in tables.items()}
+            return Loaded(version, own, {dim.name: own[dim.name] for dim in self.dims})
+        raise ValueError("attempts must be 1 or more")
+
+    def load(self, df: DataFrame, run: str) -> Loaded:
         """Store a batch: new dimension members, dates, facts and rejected rows.
 
         The batch is read for its constraints, once for all dimensions and dates,
         for its facts, and for its undated rows only; it should be a stored one.
         """
-        if any((self.not_null, self.dims, self.check)):
-            self._require(self.violations(df))
-        rows = dimension_rows(df, self.dims, self.date)
-        tables = [(dim, self._grow(rows, dim)) for dim in self.dims]
-        self._grow_dates(rows)
-        fact, rejected = build_fact(df, tables, self.date, self.measures, self.integers)
-        loose = [F.count_if(F.col(dim.id).isNull()).alias(dim.id) for dim in self.dims]
-        seen = Observation(f"facts {run}")
-        write_run(fact.observe(seen, F.count(F.lit(1)), *loose), f"{self.path}/facts", run)
-        write_run(rejected, f"{self.path}/rejects", run)
-        if missing := [dim.id for dim in self.dims if seen.get[dim.id]]:
-            write_run(fact.limit(0), f"{self.path}/facts", run)
-            raise ConstraintBroken(f"facts without a dimension row: {', '.join(missing)}")
+        return self._load(df, run, keep=True)
 
-    def reset(self, df: DataFrame, run: str) -> None:
-        """Drop what is stored and load a batch into an empty star."""
-        if any((self.not_null, self.dims, self.check)):
-            self._require(self.violations(df))
-        for name in [*(dim.name for dim in self.dims), "dates", "facts", "rejects"]:
-            remove_path(self.spark, f"{self.path}/{name}")
-        self.load(df, run)
+    def reset(self, df: DataFrame, run: str) -> Loaded:
+        """A star with nothing but this batch; if it cannot be loaded, the old one stays."""
+        return self._load(df, run, keep=False)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tributary.operators import quality
 from tributary.operators.profile import duplicate_count, watch
@@ -85,11 +84,9 @@ def run_flow(
     quality.save_outcome(outcome, paths.outcomes, run)
     quality.require_valid(outcome)
     store = star_store(spark, paths.star)
-    store.load(table, run)
+    loaded = store.load(table, run)
     counts = [(f"read {tag}", observed.get["n_rows"], None) for tag, _, observed in seen]
     found = duplicate_count(table, v.GRAIN).first()
     counts.append(("consolidated", found["n_rows"], found["n_duplicates"]))
-    for name in ("facts", "rejects"):
-        own = store.table(name).filter(F.col("run") == run)
-        counts.append((name, own.count(), None))
+    counts += [(name, loaded.rows[name], None) for name in ("facts", "rejects")]
     return outcome, spark.createDataFrame(counts, "step string, n_rows long, n_duplicates long")
