@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _CLOCK = "[ H:m[:s[-SSSSSSSSS]]]"
@@ -40,6 +40,41 @@ def mixed_timestamp(col: Column) -> Column:
     return parsed
 
 
+# Formats a column may be in, in order of preference: where several read equally many
+# values, the first of them is taken.
+FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "dd/MM/yyyy", "dd-MM-yyyy", "MM/dd/yyyy", "MM-dd-yyyy")
+
+
+def inferred_timestamps(
+    df: DataFrame, columns: Sequence[str], formats: Sequence[str] = FORMATS
+) -> dict[str, Column]:
+    """For every column its values read by the one format that reads most of them.
+
+    One aggregate over all columns counts what each format reads; its outcome enters
+    the plan as a scalar subquery, so nothing is collected and no value is tried with
+    a format that lost. Values the winner cannot read are null; so is a column no
+    format reads.
+    """
+    counts = [
+        F.count(safe_timestamp(F.col(c), fmt)).alias(f"n{i}_{j}")
+        for i, c in enumerate(columns)
+        for j, fmt in enumerate(formats)
+    ]
+    winners = []
+    for i, c in enumerate(columns):
+        ranked = [F.struct(F.col(f"n{i}_{j}").alias("n"), F.lit(-j).alias("place")) for j in range(len(formats))]
+        best = F.array_max(F.array(*ranked))
+        winners.append(F.when(best["n"] > 0, -best["place"]).alias(f"w{i}"))
+    won = df.agg(*counts).select(F.struct(*winners)).scalar()
+    out = {}
+    for i, c in enumerate(columns):
+        parsed = F.lit(None).cast("timestamp")
+        for j, fmt in reversed(list(enumerate(formats))):
+            parsed = F.when(won[f"w{i}"] == j, safe_timestamp(F.col(c), fmt)).otherwise(parsed)
+        out[c] = parsed
+    return out
+
+
 def translate_months(col: Column, months: Mapping[str, str]) -> Column:
     """Month abbreviations of another language in English."""
     text = F.lower(col)

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tributary.functions.recode import band
 from tributary.functions.text import label
 from tributary.operators import aggregate, encode, profile
+from tributary.operators.carried import Carried
 from tributary.plans import vocabulary as v
 from tributary.plans.catalogue.registry import longs, plant, planted, query, table
+from tributary.session import scratch_path
 
 HOLED_SQL = """
 SELECT event_id, user_id, CAST(ts AS DATE) AS day,
@@ -344,3 +346,89 @@ def label_mapping(spark, sf):
 )
 def one_hot(spark, sf):
     return encode.one_hot(segments(spark, sf), "segment", "seg", max_columns=100)
+
+
+CARRIED_SQL = """
+SELECT o_orderpriority AS priority, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey % 50 END AS area,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 90 END AS total, year(o_orderdate) AS year,
+       o_orderstatus AS status
+FROM orders
+"""
+
+
+@query(
+    "consolidate_carried",
+    f"""
+    SELECT priority, area, COALESCE(SUM(total), 0)::BIGINT AS total FROM ({CARRIED_SQL})
+    WHERE year <> 1994 AND (year <> 1993 OR status = 'F') GROUP BY priority, area
+    """,
+)
+def consolidate_carried(spark, sf):
+    """A run per order year; one is replaced by part of its rows, one by nothing."""
+    customer = F.col("o_custkey")
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("priority"),
+        F.when(customer % 7 != 0, customer % 50).alias("area"),
+        F.when(F.col("o_orderkey") % 3 != 0, customer % 90).alias("total"),
+        F.year("o_orderdate").alias("year"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    store = Carried(spark, scratch_path(spark, "carried"), ["priority", "area"], "total")
+    store.add(rows.filter("year = 1993"), "1993")
+    store.add(rows.filter("year = 1994"), "1994")
+    store.add(rows.filter("year NOT IN (1993, 1994)"), "rest")
+    store.add(rows.filter("year = 1993 AND status = 'F'"), "1993")
+    store.add(rows.filter("year = 1994").limit(0), "1994")
+    return store.table()
+
+
+MEASURED = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query(
+    "number_describe",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS "column", COUNT({c}) AS n_values, round(AVG({c}), 6) AS mean,
+               round(stddev_samp({c}), 6) AS std, MIN({c})::DOUBLE AS low,
+               quantile_disc({c}, 0.25)::DOUBLE AS q25, quantile_disc({c}, 0.5)::DOUBLE AS q50,
+               quantile_disc({c}, 0.75)::DOUBLE AS q75, MAX({c})::DOUBLE AS high
+        FROM (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN {c} END AS {c} FROM lineitem)
+        """
+        for c in MEASURED
+    ),
+)
+def number_describe(spark, sf):
+    """Numbers with gaps, summed up by one aggregate."""
+    lines = table(spark, sf, "lineitem").select(
+        *[F.when(F.col("l_orderkey") % 9 != 0, F.col(c)).alias(c) for c in MEASURED]
+    )
+    found = profile.number_describe(lines)
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query(
+    "date_describe",
+    """
+    SELECT 'day' AS "column", COUNT(day) AS n_values, MIN(day) AS low, MAX(day) AS high
+    FROM (SELECT CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate::DATE END AS day FROM orders)
+    """,
+)
+def date_describe(spark, sf):
+    day = F.when(F.col("o_orderkey") % 9 != 0, F.to_date("o_orderdate")).alias("day")
+    return profile.date_describe(table(spark, sf, "orders").select(day)).drop("q25", "q50", "q75")
+
+
+@query(
+    "column_describe_long",
+    """
+    WITH t AS (SELECT text AS t FROM documents),
+    c AS (SELECT t, COUNT(*) AS n FROM t WHERE t IS NOT NULL GROUP BY t)
+    SELECT 'text' AS "column", SUM(n)::BIGINT AS n_values, COUNT(*) AS n_unique,
+           (SELECT t FROM c ORDER BY n DESC, t LIMIT 1) AS top, MAX(n) AS freq
+    FROM c
+    """,
+)
+def column_describe_long(spark, sf):
+    """Whole documents, of which only the most frequent one is fetched."""
+    return profile.column_describe(table(spark, sf, "documents"), ["text"])

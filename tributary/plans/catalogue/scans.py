@@ -11,7 +11,7 @@ from tributary.operators.star import star_join
 from tributary.plans.catalogue.registry import listed, longs, plant, planted, query, table, text
 from tributary.plans.vocabulary import INGEST_TAGS
 from tributary.session import scratch_path
-from tributary.sources import files, pages
+from tributary.sources import files, pages, types
 
 EXTRACT_SQL = f"""
 SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, CAST(o.o_orderdate AS DATE) AS order_date,
@@ -308,3 +308,83 @@ def step_metrics(spark, sf):
     urgent, kept = profile.watch(orders.filter("o_orderpriority = '1-URGENT'"), "urgent")
     urgent.write.format("noop").mode("overwrite").save()
     return profile.watched_rows(orders, [("read", read), ("urgent", kept)])
+
+
+# Columns of text: numbers with gaps, exponents, codes with leading zeros, dates, times, a mixture.
+TYPED = {
+    "key": "o_orderkey::VARCHAR",
+    "area": "CASE WHEN o_custkey % 5 <> 0 THEN (o_custkey - 100)::VARCHAR END",
+    "price": "(o_custkey % 1000)::VARCHAR || '.' || lpad((o_orderkey % 100)::VARCHAR, 2, '0')",
+    "rate": "CASE WHEN o_orderkey % 3 = 0 THEN (o_custkey % 7)::VARCHAR || 'e-2' ELSE (o_custkey % 7)::VARCHAR END",
+    "code": "lpad((o_custkey % 33)::VARCHAR, 2, '0')",
+    "day": "CASE WHEN o_orderkey % 6 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END",
+    "moment": "CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d 10:11:12') END",
+    "flag": "CASE WHEN o_custkey % 2 = 0 THEN 'True' ELSE 'false' END",
+    "mixed": "CASE WHEN o_orderkey % 50 = 0 THEN 'none' ELSE o_custkey::VARCHAR END",
+    "empty": "NULL::VARCHAR",
+}
+
+
+def untyped_csv(spark, sf):
+    """Orders as a CSV file of these columns."""
+    key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    orders = table(spark, sf, "orders").select(
+        key.cast("string").alias("key"),
+        F.when(customer % 5 != 0, (customer - 100).cast("string")).alias("area"),
+        F.concat((customer % 1000).cast("string"), F.lit("."), F.lpad((key % 100).cast("string"), 2, "0")).alias("price"),
+        F.concat((customer % 7).cast("string"), F.when(key % 3 == 0, F.lit("e-2")).otherwise(F.lit(""))).alias("rate"),
+        F.lpad((customer % 33).cast("string"), 2, "0").alias("code"),
+        F.when(key % 6 != 0, F.date_format(day, "yyyy-MM-dd")).alias("day"),
+        F.date_format(day, "yyyy-MM-dd").alias("moment"),
+        F.when(customer % 2 == 0, F.lit("True")).otherwise(F.lit("false")).alias("flag"),
+        F.when(key % 50 == 0, F.lit("none")).otherwise(customer.cast("string")).alias("mixed"),
+        F.lit(None).cast("string").alias("empty"),
+    )
+    moment = F.when(F.col("key") % 2 == 0, F.col("moment")).otherwise(F.concat("moment", F.lit(" 10:11:12")))
+    path = scratch_path(spark, "untyped")
+    files.write_csv(orders.withColumn("moment", moment), path)
+    return path
+
+
+TYPED_ROWS_SQL = f"SELECT {', '.join(f'{sql} AS {c}' for c, sql in TYPED.items())} FROM orders"
+
+
+def _type_sql(c: str) -> str:
+    def fits(kind: str, also: str = "true") -> str:
+        return f"COUNT({c}) = COUNT(CASE WHEN TRY_CAST({c} AS {kind}) IS NOT NULL AND {also} THEN 1 END)"
+
+    digits = f"max(length(ltrim(split_part({c}, '.', 1), '0-')))", f"max(length(split_part({c}, '.', 2)))"
+    return f"""
+    SELECT '{c}' AS "column", CASE WHEN COUNT({c}) = 0 THEN 'string'
+      WHEN {fits("BIGINT", f"regexp_full_match({c}, '-?[0-9]+')")} THEN 'bigint'
+      WHEN {fits("DOUBLE", f"regexp_full_match({c}, '-?[0-9]*[.]?[0-9]*')")}
+      THEN 'decimal(' || ({digits[0]} + {digits[1]}) || ',' || {digits[1]} || ')'
+      WHEN {fits("DOUBLE")} THEN 'double'
+      WHEN {fits("DATE", f"length({c}) = 10")} THEN 'date'
+      WHEN {fits("TIMESTAMP")} THEN 'timestamp'
+      WHEN {fits("BOOLEAN")} THEN 'boolean' ELSE 'string' END AS type
+    FROM ({TYPED_ROWS_SQL})
+    """
+
+
+@query("inferred_types", " UNION ALL ".join(map(_type_sql, TYPED)))
+def inferred_types(spark, sf):
+    """The type of every column of a CSV file, by one aggregate."""
+    found = types.infer_types(files.read_csv(spark, untyped_csv(spark, sf)))
+    return spark.createDataFrame(list(found.items()), "column string, type string")
+
+
+@query(
+    "typed_csv",
+    f"""
+    SELECT key::BIGINT AS key, area::BIGINT AS area, price::DOUBLE AS price, rate::DOUBLE AS rate,
+           code AS code, day::DATE AS day, strftime(moment::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS moment,
+           flag::BOOLEAN AS flag, mixed, empty
+    FROM ({TYPED_ROWS_SQL})
+    """,
+)
+def typed_csv(spark, sf):
+    """A CSV file in the types its values have, codes with leading zeros left as they are."""
+    rows = types.read_typed_csv(spark, untyped_csv(spark, sf), codes_as_text=True)
+    stamp = F.date_format("moment", "yyyy-MM-dd HH:mm:ss")
+    return rows.withColumns({"price": F.col("price").cast("double"), "moment": stamp})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import keys, star
+from tributary.operators import keys, skew, star
 from tributary.operators.star import Dimension
 from tributary.plans import reports
 from tributary.plans.catalogue.registry import longs, query, table
@@ -202,6 +202,75 @@ def star_reset(spark, sf):
     return store.table(SEGMENT.name).select("segment")
 
 
+@query(
+    "star_commit",
+    f"""
+    WITH b AS ({BATCH_SQL}), f AS (SELECT * FROM b WHERE status = 'F')
+    SELECT 1::BIGINT AS version, (SELECT COUNT(*) FROM b WHERE day IS NOT NULL) AS facts,
+           (SELECT COUNT(*) FROM b WHERE day IS NULL) AS rejects,
+           (SELECT COUNT(*) FROM (SELECT DISTINCT status, priority FROM b)) AS kinds
+    UNION ALL
+    SELECT 2, (SELECT COUNT(*) FROM b), 0, (SELECT COUNT(*) FROM (SELECT DISTINCT status, priority FROM b))
+    UNION ALL
+    SELECT 3, (SELECT COUNT(*) FROM f WHERE day IS NOT NULL), (SELECT COUNT(*) FROM f WHERE day IS NULL),
+           (SELECT COUNT(*) FROM (SELECT DISTINCT status, priority FROM f))
+    """,
+)
+def star_commit(spark, sf):
+    """Three versions of a star, each still whole: a load, its mended rerun, a reset.
+
+    A batch that breaks a constraint on the way makes no version.
+    """
+    store = star.StarStore(
+        spark, scratch_path(spark, "order-star"), (KIND, SEGMENT), "day", ("total",), ("total",),
+        check="total >= 0",
+    )
+    handed = scratch_path(spark, "order-batch")
+    write_parquet(batch(spark, sf), handed)
+    rows = spark.read.parquet(handed)
+    store.load(rows, "day-1")
+    try:
+        store.load(rows.withColumn("total", -F.col("total")), "day-1")
+    except star.ConstraintBroken:
+        store.load(rows.withColumn("day", F.coalesce("day", F.to_date(F.lit("2020-01-01")))), "day-1")
+    store.reset(rows.filter("status = 'F'"), "day-2")
+    parts = []
+    for version in store.log.versions():
+        counts = [
+            store.table(name, version).agg(F.count("*")).scalar().alias(out)
+            for name, out in (("facts", "facts"), ("rejects", "rejects"), ("kind", "kinds"))
+        ]
+        parts.append(spark.range(1).select(F.lit(version).cast("long").alias("version"), *counts))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+HOT_SQL = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_orderkey % 2 = 0 THEN 'sin informacion' WHEN l_orderkey % 11 <> 0 THEN 'p' || l_partkey END AS label
+FROM lineitem
+"""
+
+
+@query(
+    "hot_key_join",
+    f"""
+    WITH r AS ({HOT_SQL})
+    SELECT l_orderkey, l_linenumber, id_label
+    FROM r JOIN (SELECT ROW_NUMBER() OVER (ORDER BY label NULLS FIRST) AS id_label, label
+                 FROM (SELECT DISTINCT label FROM r)) d ON r.label IS NOT DISTINCT FROM d.label
+    """,
+)
+def hot_key_join(spark, sf):
+    """A natural-key lookup in which one label and the null key hold over half of the rows."""
+    key = F.col("l_orderkey")
+    label = F.when(key % 2 == 0, F.lit("sin informacion")).when(
+        key % 11 != 0, F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    )
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", label.alias("label"))
+    dim = keys.number_distinct(rows, ["label"], "id_label").table
+    return skew.attach_number_split(rows, dim, ["label"], "id_label").drop("label")
+
+
 @query(
     "load_violations",
     f"""

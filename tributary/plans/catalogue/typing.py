@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import (
     completed_years,
+    inferred_timestamps,
     mixed_timestamp,
     month_name_date,
     safe_timestamp,
@@ -257,3 +258,27 @@ def numeric_label(spark, sf):
         integer_text(raw).alias("commune_text"),
         bounded_label(integer_text(raw), low, high, v.NOT_REGISTERED).alias("commune"),
     )
+
+
+DAY_FORMATS = {"iso": "yyyy-MM-dd", "compact": "yyyyMMdd", "dashed": "MM-dd-yyyy", "slashed": "dd/MM/yyyy"}
+
+
+@query(
+    "inferred_date",
+    f"""
+    SELECT o_orderkey,
+           {", ".join(f"CASE WHEN o_orderkey % 13 <> {i} THEN o_orderdate::DATE END AS {c}" for i, c in enumerate(DAY_FORMATS))},
+           NULL::DATE AS junk
+    FROM orders
+    """,
+)
+def inferred_date(spark, sf):
+    """Four columns of dates, each in a format of its own with some junk, and one that is only junk."""
+    key = F.col("o_orderkey")
+    texts = [
+        F.when(key % 13 != i, F.date_format("o_orderdate", fmt)).otherwise(F.lit("sin fecha")).alias(c)
+        for i, (c, fmt) in enumerate(DAY_FORMATS.items())
+    ]
+    rows = table(spark, sf, "orders").select("o_orderkey", *texts, F.lit("s/f").alias("junk"))
+    found = inferred_timestamps(rows, [*DAY_FORMATS, "junk"])
+    return rows.select("o_orderkey", *[c.cast("date").alias(name) for name, c in found.items()])

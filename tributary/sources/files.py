@@ -165,8 +165,13 @@ def tag(df: DataFrame, origin: str, column: str = "source") -> DataFrame:
     return df.withColumn(column, F.lit(origin))
 
 
+def folder_name(run: str) -> str:
+    """A run's name as part of a path; Spark reads ASCII escapes back, and no others."""
+    return "".join(quote(c, safe="") if c.isascii() else c for c in run)
+
+
 def _run_folder(run: str) -> str:
-    return f"run={quote(run, safe='')}"
+    return f"run={folder_name(run)}"
 
 
 def write_run(df: DataFrame, path: str, run: str) -> None:
