@@ -70,6 +70,16 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 HEAD = 32  # characters of a value that are shuffled
 
 
+def digest_counts(cells: DataFrame) -> DataFrame:
+    """Rows (column, digest, n, size, head) of the distinct cells; no whole value is shuffled."""
+    digest = F.unhex(F.sha2("value", 256)).alias("digest")
+    return (
+        cells.select("column", digest, F.length("value").alias("size"), F.left("value", F.lit(HEAD)).alias("head"))
+        .groupBy("column", "digest")
+        .agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("head").alias("head"))
+    )
+
+
 def column_describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, distinct values, most frequent value and its frequency per column.
 
@@ -79,14 +89,8 @@ def column_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     Ties go to the smallest value.
     """
     cells = long_form(df, list(columns or text_columns(df)))
-    digest = F.unhex(F.sha2("value", 256)).alias("digest")
     shared_dir(df.sparkSession)
-    counted = (
-        cells.select("column", digest, F.length("value").alias("size"), F.left("value", F.lit(HEAD)).alias("head"))
-        .groupBy("column", "digest")
-        .agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("head").alias("head"))
-        .checkpoint()
-    )
+    counted = digest_counts(cells).checkpoint()
     best = F.min(F.when(F.col("digest").isNotNull(), F.struct((-F.col("n")).alias("neg"), "head")))
     found = counted.groupBy("column").agg(
         F.coalesce(F.sum(F.when(F.col("digest").isNotNull(), F.col("n"))), F.lit(0)).alias("n_values"),
@@ -100,7 +104,7 @@ def column_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     if seen["long"]:
         named = winners.select("column", "digest")
         named = F.broadcast(named) if seen["n"] <= SMALL_ROWS else named
-        tops = cells.withColumn("digest", digest).join(named, ["column", "digest"], "left_semi").select(
+        tops = cells.withColumn("digest", F.unhex(F.sha2("value", 256))).join(named, ["column", "digest"], "left_semi").select(
             "column", F.col("value").alias("top")
         )
     top = tops.groupBy("column").agg(F.min("top").alias("top"))
