@@ -110,18 +110,23 @@ def _spelled(col: Column, expanded: dict[str, str]) -> Column:
     )
 
 
+def _folded_any(col: Column) -> Column:
+    """The fold of a text with characters of any kind, not yet in lower case."""
+    source, target, expanded = _fold_rules()
+    syllables = col.rlike(f"[{chr(SYLLABLES[0])}-{chr(SYLLABLES[1])}]")
+    rare = syllables | _has_any(col, "".join(expanded))
+    spelled = F.when(rare, _spelled(col, expanded)).otherwise(col)
+    return F.translate(spelled, source, target)
+
+
 def fold(col: Column) -> Column:
     """Lower-case text without accents, compatibility forms resolved, trimmed.
 
     JVM expressions only. Pure ASCII values skip the translation; only values
     with a character that becomes several ones are taken apart.
     """
-    source, target, expanded = _fold_rules()
     wide = F.octet_length(col) > F.length(col)
-    syllables = col.rlike(f"[{chr(SYLLABLES[0])}-{chr(SYLLABLES[1])}]")
-    rare = wide & (syllables | _has_any(col, "".join(expanded)))
-    spelled = F.when(rare, _spelled(col, expanded)).otherwise(col)
-    folded = F.lower(F.when(wide, F.translate(spelled, source, target)).otherwise(col))
+    folded = F.lower(F.when(wide, _folded_any(col)).otherwise(col))
     return F.when(_plain_edges(col), folded).otherwise(strip(folded))
 
 

@@ -66,17 +66,18 @@ def fold_text(
     capital letter. All columns are decided by one aggregate, evaluated as a
     subquery of the same query.
     """
-    if not only_if_needed:
-        return map_columns(df, columns, fold)
     chosen = text_columns(df) if columns is None else present(df, columns)
     if not chosen:
         return df
-    flags = df.agg(
-        F.struct(*[F.bool_or(needs_fold(F.col(c))).alias(c) for c in chosen]).alias("flags")
-    ).scalar()
-    return df.withColumns(
-        {c: F.when(flags.getField(c), fold(F.col(c))).otherwise(F.col(c)) for c in chosen}
-    )
+    # One lambda for all columns: the tables of a fold are in the plan once.
+    holder = "__folded"
+    folded = {c: F.get(holder, F.lit(i)) for i, c in enumerate(chosen)}
+    if only_if_needed:
+        flags = df.agg(
+            F.struct(*[F.bool_or(needs_fold(F.col(c))).alias(c) for c in chosen]).alias("flags")
+        ).scalar()
+        folded = {c: F.when(flags.getField(c), new).otherwise(F.col(c)) for c, new in folded.items()}
+    return df.withColumn(holder, F.transform(F.array(*chosen), fold)).withColumns(folded).drop(holder)
 
 
 def unify_unknown(

@@ -75,8 +75,8 @@ def digest_counts(cells: DataFrame) -> DataFrame:
     digest = F.unhex(F.sha2("value", 256)).alias("digest")
     return (
         cells.select("column", digest, F.length("value").alias("size"), F.left("value", F.lit(HEAD)).alias("head"))
-        .groupBy("column", "digest")
-        .agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("head").alias("head"))
+        .groupBy("column", "digest", "size", "head")
+        .agg(F.count("*").alias("n"))
     )
 
 
