@@ -5,7 +5,9 @@ text in the column's own type, so the table can be stored as JSON. A value set
 is as many rows as it has members.
 
 Kinds: ``row_count`` (table), ``null_share`` (NaN counts as null), ``range``
-(numbers, dates), ``length`` (text), ``value_set`` (the columns named as domains).
+(numbers, dates), ``length`` (text), ``value_set`` (the columns named as domains);
+from the history of ``states``: ``type`` (the member), ``distinct_count`` (estimated)
+and ``quantile`` (approximate; the member is its fraction).
 """
 
 from __future__ import annotations
@@ -119,6 +121,16 @@ def _outcome(df: DataFrame, rule: Row) -> tuple[str, str]:
     if kind == "null_share":
         share = f"coalesce(try_divide(count_if({_missing(df, rule['column'])}), count(*)), 0D)"
         return share, f"{share} <= {float(rule['high'])!r}D"
+    if kind == "type":
+        held = df.schema[rule["column"]].dataType.simpleString()
+        same = str(held == rule["member"]).lower()
+        return f"coalesce(max({literal(held)}), {literal(held)})", f"coalesce(bool_and({same}), {same})"
+    if kind in ("distinct_count", "quantile"):
+        values = f"CASE WHEN NOT {_missing(df, rule['column'])} THEN {name} END"
+        seen = f"hll_sketch_estimate(hll_sketch_agg(string({values}), 12))"
+        if kind == "quantile":
+            seen = f"percentile_approx(double({values}), {float(rule['member'])!r}D, 10000)"
+        return seen, f"{seen} BETWEEN {float(rule['low'])!r}D AND {float(rule['high'])!r}D"
     cast = "int" if kind == "length" else df.schema[rule["column"]].dataType.simpleString()
     value = f"length({name})" if kind == "length" else name
     outside = [

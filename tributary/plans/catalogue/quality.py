@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import quality
+from tributary.operators import quality, states
 from tributary.plans.catalogue.registry import query, table
 from tributary.session import scratch_path
+from tributary.sources.files import read_runs, write_run
 
 PROFILE_COLUMNS = ["c_custkey", "c_acctbal", "c_name", "c_mktsegment"]
 
@@ -191,3 +192,46 @@ def stored_outcomes(spark, sf):
     for run in ("007", "2024-01-02", "007"):
         quality.save_outcome(quality.settled(quality.validate(customer, rules)), path, run)
     return quality.load_outcomes(spark, path).select("run", "rule", "ok")
+
+
+@query(
+    "profile_history",
+    """
+    WITH r AS (SELECT o_custkey AS customer, CASE WHEN o_orderkey % 8 <> 0 THEN o_orderdate::DATE END AS day,
+                      CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS priority FROM orders),
+    n AS (SELECT COUNT(*) AS n FROM r)
+    SELECT 'customer: type' AS rule, 'bigint' AS bound UNION ALL SELECT 'day: type', 'date'
+    UNION ALL SELECT 'priority: type', 'string'
+    UNION ALL SELECT 'customer: range', MIN(customer) || ' to ' || MAX(customer) FROM r
+    UNION ALL SELECT 'day: range', MIN(day) || ' to ' || MAX(day) FROM r
+    UNION ALL SELECT 'priority: length', MIN(length(priority)) || ' to ' || MAX(length(priority)) FROM r
+    UNION ALL SELECT 'customer: null_share', round(COUNT(*) FILTER (customer IS NULL) / COUNT(*), 6)::VARCHAR FROM r
+    UNION ALL SELECT 'day: null_share', round(COUNT(*) FILTER (day IS NULL) / COUNT(*), 6)::VARCHAR FROM r
+    UNION ALL SELECT 'priority: null_share', round(COUNT(*) FILTER (priority IS NULL) / COUNT(*), 6)::VARCHAR FROM r
+    UNION ALL SELECT c || ': distinct_count', 'holds' FROM (VALUES ('customer'), ('day'), ('priority')) v(c)
+    UNION ALL SELECT 'customer: quantile ' || f, 'holds' FROM (VALUES ('0.05'), ('0.5'), ('0.95')) v(f)
+    """,
+)
+def profile_history(spark, sf):
+    """Rules of the merged states of three runs; those of sketches are held against all rows."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer"),
+        F.when(key % 8 != 0, F.to_date("o_orderdate")).alias("day"),
+        F.when(key % 5 != 0, F.col("o_orderpriority")).alias("priority"),
+        (key % 3).alias("run"),
+    )
+    path = scratch_path(spark, "states")
+    for run in range(3):
+        write_run(states.column_states(rows.filter(F.col("run") == run).drop("run")), path, f"day-{run}")
+    merged = states.merge_states(read_runs(spark, path).drop("run"))
+    rules = states.rules_from_states(merged)
+    held = quality.validate(rows.drop("run"), rules).filter("kind IN ('distinct_count', 'quantile')")
+    exact = rules.filter("kind NOT IN ('distinct_count', 'quantile')")
+    bound = (
+        F.when(F.col("kind") == "type", F.col("member"))
+        .when(F.col("kind") == "null_share", F.round(F.col("high").cast("double"), 6).cast("string"))
+        .otherwise(F.concat_ws(" to ", "low", "high"))
+    )
+    sketched = held.select("rule", F.when(F.col("ok"), "holds").otherwise(F.col("observed")).alias("bound"))
+    return exact.select("rule", bound.alias("bound")).unionByName(sketched)
