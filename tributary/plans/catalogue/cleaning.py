@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import clean
+from tributary.operators import clean, fused
 from tributary.plans.catalogue.registry import query, table
 
 
@@ -119,3 +119,53 @@ def outlier_rows(spark, sf):
     balance = F.col("c_acctbal")
     outliers, _ = clean.split_rows(table(spark, sf, "customer"), (balance < 0) | (balance >= 9000))
     return outliers.select("c_custkey", "c_acctbal")
+
+
+# Twelve conditions over order lines, in Spark's SQL and DuckDB's alike.
+CONDITIONS = {
+    "small": ("l_quantity < 5", "l_quantity"),
+    "large": ("l_quantity > 45", "l_quantity"),
+    "odd lines": ("l_linenumber % 2 = 1", "l_linenumber"),
+    "late lines": ("l_linenumber > 4", "l_linenumber"),
+    "no discount": ("l_discount = 0", "l_discount"),
+    "high discount": ("l_discount > 0.07", "l_discount"),
+    "no tax": ("l_tax = 0", "l_tax"),
+    "high tax": ("l_tax > 0.06", "l_tax"),
+    "cheap": ("l_extendedprice < 5000", "l_extendedprice"),
+    "dear": ("l_extendedprice > 50000", "l_extendedprice"),
+    "first parts": ("l_partkey <= 100", "l_partkey"),
+    "first suppliers": ("l_suppkey <= 5", "l_suppkey"),
+}
+
+
+@query(
+    "fused_reports",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS report, COUNT(*) AS n_rows, COUNT(*) FILTER ({condition}) AS n_hits,
+               COUNT(*) FILTER ({c} IS NULL) AS n_null,
+               ROUND(COUNT(*) FILTER ({condition}) * 100.0 / COUNT(*), 4)::DOUBLE AS pct_hits,
+               MIN({c})::DOUBLE AS min_value, MAX({c})::DOUBLE AS max_value
+        FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 6 <> 0 THEN {c} END AS {c}) FROM lineitem)
+        """
+        for name, (condition, c) in CONDITIONS.items()
+    ),
+)
+def fused_reports(spark, sf):
+    """Twelve reports on a table with gaps, from one scan."""
+    columns = list(dict.fromkeys(c for _, c in CONDITIONS.values()))
+    lines = table(spark, sf, "lineitem").select(
+        *[F.when(F.col("l_orderkey") % 6 != 0, F.col(c)).alias(c) for c in columns]
+    )
+    found = fused.fused(lines, {n: fused.condition_report(F.expr(cond), c) for n, (cond, c) in CONDITIONS.items()})
+    parts = [
+        rows.select(
+            F.lit(name).alias("report"), "n_rows", "n_hits", "n_null", "pct_hits",
+            F.col("min_value").cast("double").alias("min_value"), F.col("max_value").cast("double").alias("max_value"),
+        )
+        for name, rows in found.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -36,6 +36,11 @@ Where = list[tuple[str, str, str]]
 Fetch = Callable[[int, int, Where], list[dict]]
 CountRows = Callable[[Where], int]
 
+# (key, key, limit) to the first records whose key is above the one and at most the
+# other, in order of the key; and a number of parts to the keys that cut them.
+FetchAfter = Callable[[object, object, int], list[dict]]
+Quantiles = Callable[[int], list]
+
 OPERATORS = {
     EqualTo: "=",
     GreaterThan: ">",
@@ -173,6 +178,104 @@ def paged_source(
     return PagedJson
 
 
+class KeyRange(InputPartition):
+    """Rows whose key is above ``low`` and at most ``high``; None is no end."""
+
+    def __init__(self, low, high):
+        super().__init__((low, high))
+        self.low = low
+        self.high = high
+
+
+class KeysOutOfOrder(RuntimeError):
+    """The service gave keys that do not rise, or lie outside of what was asked for."""
+
+
+def walk_keys(fetch: FetchAfter, key: str, part: KeyRange, page_size: int) -> Iterator[list[dict]]:
+    """Pages of a range, each from the last key of the one before on, until there is none."""
+    last = part.low
+    while records := fetch(last, part.high, page_size):
+        for record in records:
+            now = record[key]
+            if (last is not None and now <= last) or (part.high is not None and now > part.high):
+                raise KeysOutOfOrder(f"key {now!r} behind {last!r}, up to {part.high!r}")
+            last = now
+        yield records
+
+
+def keyset_source(fetch: FetchAfter, quantiles: Quantiles, key: str, name: str = "keyset_json") -> type[DataSource]:
+    """Data source over ``fetch`` and ``quantiles``; register it with the session.
+
+    Options: ``columns`` (comma separated), ``pageSize``, ``tasks``. The ranges are cut
+    at the service's own quantiles of a unique key, and a page is what follows the last
+    key seen, not an offset. So rows that come or go while the service is read move no
+    other row: a row that is there throughout occurs once, and none occurs twice.
+    """
+
+    class KeysetJson(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return name
+
+        def schema(self) -> str:
+            return ", ".join(f"`{c}` string" for c in self.options["columns"].split(","))
+
+        def reader(self, schema) -> DataSourceReader:
+            return KeysetReader(
+                schema.fieldNames(),
+                int(self.options.get("pagesize", PAGE_SIZE)),
+                int(self.options.get("tasks", 8)),
+            )
+
+    class KeysetReader(DataSourceReader):
+        def __init__(self, columns: list[str], page_size: int, tasks: int):
+            self.columns = columns
+            self.page_size = page_size
+            self.tasks = tasks
+
+        def partitions(self):
+            ends = sorted(set(quantiles(self.tasks)))
+            return [KeyRange(*ends_) for ends_ in zip([None, *ends], [*ends, None], strict=True)]
+
+        def read(self, partition):
+            for records in walk_keys(fetch, key, partition, self.page_size):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([cell(r.get(c)) for r in records], pa.string()) for c in self.columns],
+                    names=self.columns,
+                )
+
+    return KeysetJson
+
+
+def http_keyset(url: str, key: str, timeout: int = 120) -> tuple[FetchAfter, Quantiles]:
+    """Rows behind a key, and quantiles of the keys, of a query service over HTTP.
+
+    A quantile is the key of the row at an even share of the offsets; it only cuts the
+    work, so it need not hold when the rows are read.
+    """
+
+    def ask(query: dict):
+        from urllib.parse import urlencode
+        from urllib.request import urlopen
+
+        with urlopen(f"{url}?{urlencode(query)}", timeout=timeout) as reply:
+            return json.load(reply)
+
+    def fetch(low, high, limit: int) -> list[dict]:
+        ends = [(key, ">", str(low))] if low is not None else []
+        ends += [(key, "<=", str(high))] if high is not None else []
+        return ask({"$limit": limit, "$order": key, **_query_text(ends)})
+
+    def quantiles(parts: int) -> list:
+        rows = int(ask({"$select": "count(*) AS n"})[0]["n"])
+        found = []
+        for part in range(1, parts):
+            found += ask({"$select": key, "$order": key, "$limit": 1, "$offset": rows * part // parts})
+        return [row[key] for row in found]
+
+    return fetch, quantiles
+
+
 def _query_text(where: Where) -> dict[str, str]:
     quoted = [f"{c} {op} '{text.replace(chr(39), chr(39) * 2)}'" for c, op, text in where]
     return {"$where": " AND ".join(quoted)} if quoted else {}
