@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,6 +159,13 @@ class ConstraintBroken(ValueError):
     """A batch breaks a constraint of the star it is loaded into."""
 
 
+def together(*calls: Callable) -> list:
+    """Results of calls whose small jobs run side by side; all have ended when one's error is raised."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        running = [pool.submit(call) for call in calls]
+    return [one.result() for one in running]
+
+
 @dataclass(frozen=True)
 class Loaded:
     """What a load has stored: the version it made, rows by table, new members by dimension."""
@@ -250,8 +259,12 @@ class StarStore:
         return stored.plus(*self.log.stage(fresh, "dates", load)[0].parts)
 
     def _stage_all(self, df: DataFrame, rows: DataFrame, run: str, base: Snapshot, load: str) -> dict[str, Table]:
-        tables = {dim.name: self._members(rows, dim, base.tables.get(dim.name), load) for dim in self.dims}
-        tables["dates"] = self._dates(rows, base.tables.get("dates"), load)
+        names = [*(dim.name for dim in self.dims), "dates"]
+        staged = together(
+            *[partial(self._members, rows, dim, base.tables.get(dim.name), load) for dim in self.dims],
+            partial(self._dates, rows, base.tables.get("dates"), load),
+        )
+        tables = dict(zip(names, staged, strict=True))
         hot = {
             dim.name: frequent_hashes(rows, dim.columns, ROWS)
             for dim in self.dims
@@ -260,11 +273,14 @@ class StarStore:
         dims = [(dim, self.log.read(dim.name, tables[dim.name])) for dim in self.dims]
         fact, rejected = build_fact(df, dims, self.date, self.measures, self.integers, hot)
         loose = [F.count_if(F.col(dim.id).isNull()).alias(dim.id) for dim in self.dims]
-        facts, seen = self.log.stage(fact, "facts", load, run, loose)
+        (facts, seen), (rejects, _) = together(
+            partial(self.log.stage, fact, "facts", load, run, loose),
+            partial(self.log.stage, rejected, "rejects", load, run),
+        )
         if missing := [dim.id for dim in self.dims if seen.get(dim.id)]:
             raise ConstraintBroken(f"facts without a dimension row: {', '.join(missing)}")
-        for name, staged in (("facts", facts), ("rejects", self.log.stage(rejected, "rejects", load, run)[0])):
-            tables[name] = base.tables[name].with_run(staged.parts[0]) if name in base.tables else staged
+        for name, own in (("facts", facts), ("rejects", rejects)):
+            tables[name] = base.tables[name].with_run(own.parts[0]) if name in base.tables else own
         return tables
 
     def _load(self, df: DataFrame, run: str, keep: bool) -> Loaded:
