@@ -120,3 +120,40 @@ def test_query_keeps_every_article_paragraph(spark, sf_dir):
     for page in pages:
         inner = re.search(r"<article>(.*?)(</article>|\Z)", page.html, re.S)[1]
         assert got[page.page_id].split() == unescape(re.sub(r"<[^>]*>", " ", inner)).split()
+
+
+PARTS = [f"Paragraph {n} " + "goes on for long enough to be found by the windows of the page. " * 3 for n in ("ONE", "TWO", "THREE")]
+
+
+@pytest.mark.parametrize(
+    "tags",
+    [
+        ('<p class="a"">', '<p class="b">', "<p>"),
+        ("<p data-x=it's>", "<p title=\"it's\">", "<p>"),
+        ('<p><img alt=5">', '<p x"y="z">', "<p>"),
+        ("<p class = 'a' b=\"c>d\">", "<p / data-x=/a/b/>", "<p =x =>"),
+        ("<p a='>'b>", '<p "">', "<p ''>"),
+        ("<p a=>", "<p a= >", "<p a=\n'b'c=d>"),
+    ],
+)
+@pytest.mark.parametrize("wrapper", ["<article>{}</article>", "<div>{}</div>"])
+def test_quotation_marks_that_open_no_value(tags, wrapper):
+    page = "<body>" + wrapper.format("".join(f"{t}{p}</p>" for t, p in zip(tags, PARTS, strict=True))) + "</body>"
+    assert main_text(page).split("\n\n") == [p.strip() for p in PARTS]
+
+
+@pytest.mark.parametrize("name", ["commentlist", "user-comments", "comment-list", "reader-comments", "left-rail"])
+@pytest.mark.parametrize("wrapper", ["<article>{}</article>", "<div>{}</div>"])
+def test_comments_and_rails_go(name, wrapper):
+    rest = "What a nonsense, I have never read anything like it, and it goes on for a long time."
+    body = "".join(f"<p>{p}</p>" for p in PARTS) + f"<ol class='{name}'><li>{rest}</li></ol>"
+    assert main_text(f"<body>{wrapper.format(body)}</body>").split("\n\n") == [p.strip() for p in PARTS]
+
+
+def test_tags_without_an_end_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for page in ("<p " + "a=" * 200_000, "<p " + 'a="' * 100_001, "<" * 300_000, "<p a='" + "x" * 500_000):
+        main_text(page)
+    assert time.perf_counter() - start < 10

@@ -54,7 +54,7 @@ ENDS_PARAGRAPH = BLOCKS | BOILERPLATE - {"label", "button", "select"}
 NAMES = re.compile(
     r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|widgets?|menu\w*|nav\w*|"
     r"breadcrumbs?|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|"
-    r"login|search|comments?|respond|replies|reply|disqus|discussion|share|sharing|social|related|recommend\w*|"
+    r"login|search|comments?|commentlists?|respond|replies|reply|disqus|discussion|share|sharing|social|related|recommend\w*|"
     r"footer|masthead|topbar|toolbar|pagination|pager|copyright|disclaimer",
     re.I,
 )
@@ -62,19 +62,23 @@ NAMES = re.compile(
 BESIDE = frozenset(
     "site page main top bottom left right primary secondary global mobile header side skip bar box list container "
     "wrapper area section block link links button buttons icons item items inner outer post posts article "
-    "articles policy unit slot row column panel group form".split()
+    "articles policy unit slot row column panel group form user users reader readers thread".split()
 )
-PAIRS = frozenset(("side-bar", "skip-link"))
+PAIRS = frozenset(("side-bar", "skip-link", "side-rail", "left-rail", "right-rail"))
 MOST_TEXT = 0.5  # a container with more of the page's text stays,
 MOST_BESIDE_ARTICLE = 0.9  # or with more than this where an article is marked elsewhere
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
+# As browsers read a tag: a quotation mark opens a value only right after the equals
+# sign and if another one closes it; elsewhere it is a character like any other.
+ATTRIBUTE_NAME = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|["'][^\s>]*+)"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
+    rf"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[\s/]++|{ATTRIBUTE_NAME}(?:\s*+=\s*+{VALUE}?+)?+)*+)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+ATTRIBUTE = re.compile(rf"""({ATTRIBUTE_NAME})(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 SPACES = re.compile(r"\s+")
 
 
