@@ -90,3 +90,28 @@ def test_search_goes_on_with_other_donors():
     assert sorted(i for b in bins for i in b) == list(range(600))
     assert all(lengths[b].sum() <= 4096 for b in bins)
     assert len(bins) <= 1.03 * -(-int(lengths.sum()) // 4096)
+
+
+def test_blocks_of_many_empty_texts_are_bounded(spark, monkeypatch):
+    """Rows without tokens of their own are dealt by their number; no sequence is wasted but one a block."""
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 500)
+    seen = []
+    packed = packing._packed
+
+    def watched(capacity):
+        inner = packed(capacity)
+
+        def run(frame):
+            if len(frame) > 700:
+                raise ValueError(f"a block of {len(frame)} rows")
+            return inner(frame)
+
+        seen.append(capacity)
+        return run
+
+    monkeypatch.setattr(packing, "_packed", watched)
+    docs = [(n, None if n % 2 else "") for n in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = packing.pack(df, PATH, capacity=64).collect()
+    assert seen == [64]
+    assert check_packed(rows, docs, 64) <= 4000 // 64 + 1 + 8

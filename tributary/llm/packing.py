@@ -31,6 +31,7 @@ from tributary.llm.tokens import WordTokens
 CAPACITY = 4096
 END_ID = 1
 BLOCK_BINS = 2000
+BLOCK_ROWS = 500_000  # and no more pieces than about this, however short they are
 
 
 def _pieces(path: str, capacity: int, end_id: int):
@@ -204,8 +205,8 @@ def pack(
     )
     full = pieces.filter(F.col("length") == capacity)
     rests = pieces.filter(F.col("length") < capacity)
-    total = rests.agg(F.sum("length")).first()[0] or 0
-    blocks = max(1, round(total / (capacity * block_bins)))
+    total, count = rests.agg(F.sum("length"), F.count("*")).first()
+    blocks = max(1, round((total or 0) / (capacity * block_bins)), -(-count // BLOCK_ROWS))
     packed = (
         rests.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
         .groupBy("block")
