@@ -104,3 +104,53 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["component"] for r in components.components(df).collect()}
     assert got == {**{n: 0 for n in range(41)}, **{n: 100 for n in range(100, 160)}, 200: 100}
     assert components.components(df.limit(0)).collect() == []
+
+
+def long_texts(seed):
+    """Unrelated texts of up to 9,000 words and near copies of them, at the borders of the point widths too."""
+    r = random.Random(seed)
+    docs = []
+    for words in (1026, 1030, 2050, 2200, 4100, 5000, 9000):
+        for _ in range(3):
+            own = [f"w{r.randrange(100_000)}" for _ in range(words)]
+            docs.append(" ".join(own))
+            docs.append(" ".join(own[: int(len(own) * 0.83)]))
+            docs.append(" ".join(own[: int(len(own) * 0.79)]))
+            docs.append(" ".join(own + ["end", "word"]))
+    r.shuffle(docs)
+    return [(n, text) for n, text in enumerate(docs)]
+
+
+def test_long_texts_against_brute_force(spark):
+    docs = long_texts(3)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted((tuple(r) for r in jaccard.near_duplicates(df).collect()), key=str)
+    assert got == brute(docs)
+
+
+def test_wide_points_lose_nothing_and_keep_unrelated_texts_apart():
+    texts = [text for _, text in long_texts(5)]
+    tokens, offsets = jaccard.shingle_tokens(pa.array(texts))
+    points, sizes = jaccard.Points.of(tokens, offsets), np.diff(offsets)
+    assert sorted(set(points.classes.tolist())) == [0, 1, 2, 3, 4]
+    again = jaccard.Points.read(pa.chunked_array([points.binary().slice(2)]))
+    assert np.array_equal(again.dense(np.array([0, 1]), 0), points.dense(np.array([2, 3]), 0))
+    sets = [set(tokens[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    sides = np.arange(len(sets)) % 2
+    for own in (np.zeros(len(sets), int), sides):
+        found = set()
+        for a, b in jaccard.point_pairs(points, sizes, own, np.arange(len(sets))):
+            found |= {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+        for i, x in enumerate(sets):
+            for k in range(i):
+                both = len(x & sets[k])
+                if own[i] != own[k] or not own.any():
+                    if 100 * both >= 80 * (len(x) + len(sets[k]) - both):
+                        assert frozenset((i, k)) in found
+        assert all(sets[i] & sets[k] for i, k in map(tuple, found))
+
+
+def test_full_counts_stay_bounds():
+    tokens = np.arange(1, 1001, dtype=np.uint64) * np.uint64(jaccard.GROUPS)  # all in one group
+    points = jaccard.Points.of(tokens, np.array([0, 1000]))
+    assert points.dense(np.array([0]), 0).sum() >= 1000

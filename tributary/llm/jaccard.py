@@ -9,7 +9,9 @@ and are never expanded into pairs.
    ``n - ceil(0.8 n) + 1`` tokens of either, so nodes that share such a token
    form a cell. Frequent tokens come last in the order (this moves work, never
    results); equal cells are kept once.
-3. Tokens are hashed into groups. In a cell the group counts are the points of
+3. Tokens are hashed into groups, twice as many for each doubling of a set beyond
+   ``WIDE`` tokens, so that the counts of unrelated long texts stay apart; sets of
+   different widths are compared at the lesser one. In a cell the counts are the points of
    an R-tree whose boxes hold coordinate maxima: the sum of the minima of a
    query and a box bounds the overlap from above. Surviving pairs connect nodes
    to candidate groups; a linked pair is always in one group.
@@ -40,6 +42,7 @@ from tributary.llm.components import components
 
 SIZE = 5
 GROUPS = 256
+WIDE = 1024  # tokens of the largest set with GROUPS groups
 FANOUT = 16
 # A leaf ends where its tokens, and LEAST_WEIGHT more for each node, reach this.
 LEAF_WEIGHT = 1_000_000
@@ -49,7 +52,7 @@ LEAST_WEIGHT = 500
 FREQUENT = 500
 MOST_FREQUENT = 200_000
 MOST_BROADCAST = 1_000_000
-FULL = 65_535  # group counts are kept in two bytes
+FULL, BOX_FULL = 255, 65_535  # counts of a point are kept in one byte, of a box in two
 TOKEN_BYTES = 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
@@ -197,6 +200,58 @@ def group_counts(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.bincount(flat, minlength=size * GROUPS).reshape(size, GROUPS).astype(np.int32)
 
 
+class Points:
+    """Group counts of sets, one byte each; a set of class c has ``GROUPS << c`` of them.
+
+    Sets that may link differ by one class at most.
+    """
+
+    def __init__(self, flat: np.ndarray, widths: np.ndarray):
+        self.flat, self.starts = flat, np.cumsum(widths) - widths
+        self.classes = np.log2(np.maximum(widths, 1) // GROUPS).astype(np.int64)
+
+    @classmethod
+    def of(cls, tokens: np.ndarray, offsets: np.ndarray) -> Points:
+        sizes = np.diff(offsets)
+        doublings = np.ceil(np.log2(np.maximum(sizes, WIDE) / WIDE)).astype(np.int64)
+        widths = np.int64(GROUPS) << doublings
+        starts, rows = np.cumsum(widths) - widths, row_of(offsets)
+        groups = (tokens % widths[rows].astype(np.uint64)).astype(np.int64)
+        counts = np.bincount(starts[rows] + groups, minlength=int(widths.sum()))
+        return cls(np.minimum(counts, FULL).astype(np.uint8), widths)
+
+    @classmethod
+    def read(cls, column: pa.ChunkedArray) -> Points:
+        column = pa.concat_arrays(column.chunks)
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        return cls(data, np.diff(ends).astype(np.int64))
+
+    def binary(self) -> pa.Array:
+        ends = np.append(self.starts, len(self.flat)).astype(np.int32)
+        return pa.Array.from_buffers(
+            pa.binary(), len(self.starts), [None, pa.py_buffer(ends), pa.py_buffer(self.flat)]
+        )
+
+    def rows(self, start: int, stop: int) -> Points:
+        """The points of these rows."""
+        widths = np.int64(GROUPS) << self.classes[start:stop]
+        first = int(self.starts[start]) if start < stop else 0
+        return Points(self.flat[first : first + int(widths.sum())], widths)
+
+    def dense(self, rows: np.ndarray, at: int) -> np.ndarray:
+        """Counts of some rows, of class ``at`` or above, folded to that class."""
+        width = GROUPS << at
+        out = np.zeros((len(rows), width), np.int32)
+        for c in np.unique(self.classes[rows]).tolist():
+            own = np.flatnonzero(self.classes[rows] == c)
+            for fold in range(1 << (c - at)):
+                counts = self.flat[(self.starts[rows[own]] + fold * width)[:, None] + np.arange(width)]
+                # at least FULL: bounds stay bounds
+                out[own] += np.where(counts == FULL, np.int32(1 << 22), counts)
+        return out
+
+
 class CountTree:
     """Bulk-loaded R-tree of group counts: boxes of FANOUT entries with maxima and size range."""
 
@@ -230,8 +285,9 @@ class CountTree:
             lengths = np.minimum(FANOUT, count - starts)
             query, entry = np.repeat(query, lengths), ranges(starts, lengths)
 
-    def _passing(self, depth, query, entry, points, sizes, step=8_000):
+    def _passing(self, depth, query, entry, points, sizes):
         top, low, high = self.levels[depth]
+        step = max(1, 8_000 * GROUPS // top.shape[1])
         n = sizes[query]
         fits = (4 * low[entry] <= 5 * n) & (5 * high[entry] >= 4 * n)
         query, entry = query[fits], entry[fits]
@@ -249,23 +305,32 @@ def box_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def point_pairs(
-    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray, step: int = 64
+    points: Points, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray, step: int = 64
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different parts that the tree lets through, some queries at a time.
+    """Pairs of different parts that the trees let through, some queries at a time.
 
-    Points of side 1 are looked up in the tree of side 0, or, where side 1 is
-    empty, those of side 0 among themselves. ``parts`` may change in between.
+    Points of side 1 are looked up in the trees of side 0, or, where side 1 is
+    empty, those of side 0 among themselves. Each class has a tree, which points
+    of its own and of the next class are looked up in. ``parts`` may change in between.
     """
-    indexed, asking = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-    if not len(asking):
-        asking = indexed
-    tree = CountTree(points[indexed], sizes[indexed])
-    for start in range(0, len(asking), step):
-        ask = asking[start : start + step]
-        query, entry = tree.matches(points[ask], sizes[ask])
-        left, right = ask[query], indexed[entry]
-        different = parts[left] != parts[right]
-        yield left[different], right[different]
+    two = sides.any()
+    for c in np.unique(points.classes).tolist():
+        own, above = points.classes == c, points.classes == c + 1
+        jobs = [(own, own | above)]
+        if two:
+            left, right = sides == 0, sides == 1
+            jobs = [(own & left, (own | above) & right), (above & left, own & right)]
+        for indexed, asking in jobs:
+            indexed, asking = np.flatnonzero(indexed), np.flatnonzero(asking)
+            if not len(indexed) or not len(asking):
+                continue
+            tree = CountTree(points.dense(indexed, c), sizes[indexed])
+            for start in range(0, len(asking), step):
+                ask = asking[start : start + step]
+                query, entry = tree.matches(points.dense(ask, c), sizes[ask])
+                a, b = ask[query], indexed[entry]
+                different = parts[a] != parts[b]
+                yield a[different], b[different]
 
 
 def _connect(pairs, parts: np.ndarray, holds) -> list[tuple[int, int]]:
@@ -280,9 +345,9 @@ def _connect(pairs, parts: np.ndarray, holds) -> list[tuple[int, int]]:
 
 
 def candidate_links(
-    points: np.ndarray, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray
+    points: Points, sizes: np.ndarray, sides: np.ndarray, parts: np.ndarray
 ) -> list[tuple[int, int]]:
-    """Pairs the tree lets through, as many as connect what they connect."""
+    """Pairs the trees let through, as many as connect what they connect."""
     parts = np.unique(parts, return_inverse=True)[1]
     return _connect(point_pairs(points, sizes, sides, parts), parts, lambda a, b: True)
 
@@ -299,7 +364,7 @@ def cell_links(
         return 100 * common >= 80 * (len(mine) + len(other) - common)
 
     parts = np.unique(parts, return_inverse=True)[1]
-    points = group_counts(tokens, offsets)
+    points = Points.of(tokens, offsets)
     return _connect(point_pairs(points, np.diff(offsets), sides, parts), parts, linked)
 
 
@@ -333,20 +398,21 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield cut(pa.Table.from_batches(held))
 
 
-def _points(table: pa.Table, name: str) -> np.ndarray:
+def _tops(table: pa.Table, name: str) -> np.ndarray:
+    """The maxima of boxes."""
     column = pa.concat_arrays(table.column(name).chunks)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    points = data.view(np.uint16).reshape(len(column), GROUPS).astype(np.int32)
-    points[points == FULL] = 1 << 22  # at least FULL: bounds stay bounds
-    return points
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    tops = data.view(np.uint16).reshape(len(column), GROUPS).astype(np.int32)
+    tops[tops == BOX_FULL] = 1 << 22
+    return tops
 
 
-def _binary(points: np.ndarray) -> pa.Array:
-    data = np.ascontiguousarray(np.minimum(points, FULL).astype(np.uint16))
-    ends = (np.arange(len(points) + 1) * GROUPS * 2).astype(np.int32)
+def _binary(tops: np.ndarray) -> pa.Array:
+    data = np.ascontiguousarray(np.minimum(tops, BOX_FULL).astype(np.uint16))
+    ends = (np.arange(len(tops) + 1) * GROUPS * 2).astype(np.int32)
     return pa.Array.from_buffers(
-        pa.binary(), len(points), [None, pa.py_buffer(ends), pa.py_buffer(data)]
+        pa.binary(), len(tops), [None, pa.py_buffer(ends), pa.py_buffer(data)]
     )
 
 
@@ -357,7 +423,7 @@ def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("node"),
                 pa.array(np.diff(offsets)),
-                _binary(group_counts(tokens, offsets)),
+                Points.of(tokens, offsets).binary(),
             ],
             names=["node", "n", "point"],
         )
@@ -371,14 +437,14 @@ def _ends(pairs: list) -> pa.RecordBatch:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate links of each group of work."""
     for table, groups in _whole_groups(batches, ["work"]):
-        points = _points(table, "point")
+        points = Points.read(table.column("point"))
         nodes, sizes, sides, parts = (
             table.column(c).to_numpy() for c in ("node", "n", "side", "part")
         )
         pairs = []
         for start, stop in groups:
             own = slice(start, stop)
-            found = candidate_links(points[own], sizes[own], sides[own], parts[own])
+            found = candidate_links(points.rows(start, stop), sizes[own], sides[own], parts[own])
             pairs += [(nodes[start + a], nodes[start + b]) for a, b in found]
         yield _ends(pairs)
 
@@ -402,6 +468,7 @@ def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.array([start for start, _ in groups])
         sizes, parts = table.column("n").to_numpy(), table.column("part").to_numpy()
         low, high = np.minimum.reduceat(parts, cuts), np.maximum.reduceat(parts, cuts)
+        points = Points.read(table.column("point")).dense(np.arange(table.num_rows), 0)
         yield pa.RecordBatch.from_arrays(
             [
                 table.column("cell").combine_chunks().take(pa.array(cuts)),
@@ -409,7 +476,7 @@ def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.minimum.reduceat(sizes, cuts)),
                 pa.array(np.maximum.reduceat(sizes, cuts)),
                 pa.array(low, mask=low != high),
-                _binary(np.maximum.reduceat(_points(table, "point"), cuts)),
+                _binary(np.maximum.reduceat(points, cuts)),
             ],
             names=["cell", "leaf", "low", "high", "part", "top"],
         )
@@ -419,7 +486,7 @@ def _near_boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         table = pa.Table.from_batches([batch])
         need = 4 * (table.column("low").to_numpy() + table.column("low_b").to_numpy())
-        near = 9 * box_bound(_points(table, "top"), _points(table, "top_b")) >= need
+        near = 9 * box_bound(_tops(table, "top"), _tops(table, "top_b")) >= need
         yield from table.select(["cell", "a", "b"]).filter(pa.array(near)).to_batches()
 
 
