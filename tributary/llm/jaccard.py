@@ -52,7 +52,7 @@ LEAST_WEIGHT = 500
 FREQUENT = 500
 MOST_FREQUENT = 200_000
 MOST_BROADCAST = 1_000_000
-FULL, BOX_FULL = 255, 65_535  # counts of a point are kept in one byte, of a box in two
+FULL, BOX_FULL = 15, 65_535  # counts of a point are stored in four bits, of a box in two bytes
 TOKEN_BYTES = 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
@@ -201,7 +201,7 @@ def group_counts(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Points:
-    """Group counts of sets, one byte each; a set of class c has ``GROUPS << c`` of them.
+    """Group counts of sets, at most ``FULL``; a set of class c has ``GROUPS << c`` of them.
 
     Sets that may link differ by one class at most.
     """
@@ -225,12 +225,14 @@ class Points:
         column = pa.concat_arrays(column.chunks)
         ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
         data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
-        return cls(data, np.diff(ends).astype(np.int64))
+        flat = np.stack([data >> 4, data & 15], axis=1).reshape(-1)
+        return cls(flat, 2 * np.diff(ends).astype(np.int64))
 
     def binary(self) -> pa.Array:
-        ends = np.append(self.starts, len(self.flat)).astype(np.int32)
+        ends = (np.append(self.starts, len(self.flat)) // 2).astype(np.int32)
+        data = self.flat[0::2] << 4 | self.flat[1::2]
         return pa.Array.from_buffers(
-            pa.binary(), len(self.starts), [None, pa.py_buffer(ends), pa.py_buffer(self.flat)]
+            pa.binary(), len(self.starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]
         )
 
     def rows(self, start: int, stop: int) -> Points:
