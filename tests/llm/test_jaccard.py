@@ -1,10 +1,13 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tributary.llm import components, jaccard
+from tributary.llm.common import settled, stored
+from tributary.session import shared_dir
 
 
 def shingles(text):
@@ -154,3 +157,25 @@ def test_full_counts_stay_bounds():
     tokens = np.arange(1, 1001, dtype=np.uint64) * np.uint64(jaccard.GROUPS)  # all in one group
     points = jaccard.Points.of(tokens, np.array([0, 1000]))
     assert points.dense(np.array([0]), 0).sum() >= 1000
+
+
+def test_tables_on_the_way_are_removed(spark):
+    shared = Path(shared_dir(spark))
+    before = set(shared.iterdir())
+    df = spark.createDataFrame(variants(3, families=3), "doc_id long, text string")
+    left = jaccard.near_duplicates(df)
+    assert [p.name.split("-")[0] for p in set(shared.iterdir()) - before] == ["grouped"]
+    assert left.count() == df.count()
+    before = set(shared.iterdir())
+    kept = jaccard.keep_one(df)
+    assert [p.name.split("-")[0] for p in set(shared.iterdir()) - before] == ["dropped"]
+    assert kept.count() == left.select("component_id").distinct().count()
+
+    def failing():
+        stored(df, "half")
+        raise ValueError("lost")
+
+    before = set(shared.iterdir())
+    with pytest.raises(ValueError, match="lost"):
+        settled(spark, failing, "whole")
+    assert set(shared.iterdir()) == before

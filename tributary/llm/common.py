@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.session import scratch_path
+from tributary.session import remove_path, scratch_path
 
 # White space of every contract here: space and the five ASCII controls 9-13.
 SPACE = " \t\n\x0b\f\r"
@@ -20,13 +21,39 @@ WORD_CLASS = r"[^\x20\x09-\x0D]"
 CHUNK_BYTES = 8 << 20
 
 
+# paths of the tables stored by the body of the innermost ``settled``
+_on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below the shared folder and read again; removed when the driver's JVM ends."""
+    """``df`` written below the shared folder and read again.
+
+    Removed at the end of the ``settled`` around it, else when the driver's JVM ends.
+    """
     path = scratch_path(df.sparkSession, name)
+    if (paths := _on_the_way.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, body: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``body`` as a stored table; those stored on the way to it are removed."""
+    paths: list[str] = []
+    outer = _on_the_way.set(paths)
+    try:
+        df = body()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+    finally:
+        _on_the_way.reset(outer)
+        for passing in paths:
+            remove_path(spark, passing)
+    if (around := _on_the_way.get()) is not None:
+        around.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ranges, row_of, split_words, stored, text_chunks, texts
+from tributary.llm.common import ranges, row_of, settled, split_words, stored, text_chunks, texts
 from tributary.llm.components import components
 
 SIZE = 5
@@ -602,8 +602,8 @@ def shingle_rows(rows: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(_shingled, schema), "shingles")
 
 
-def node_components(shingles: DataFrame) -> DataFrame:
-    """(node, component) of every node that links with another."""
+def _cells(shingles: DataFrame) -> DataFrame:
+    """(cell, node) of nodes that share a prefix token; equal cells once."""
     prefixes = shingles.select("node", "tokens").mapInArrow(
         _prefixes(_frequent(shingles)), "token long, node long"
     )
@@ -622,29 +622,42 @@ def node_components(shingles: DataFrame) -> DataFrame:
     )
     # equal cells once, under the smallest token
     distinct = shared.groupBy("size", "sign").agg(F.min("token").alias("token"))
-    cells = stored(
-        shared.join(distinct.select("token"), "token").select(
-            F.col("token").alias("cell"), "node"
-        ),
-        "cells",
-    )
-    wanted = _small(stored(cells.select("node").distinct(), "cell-nodes"))
-    points = stored(
-        shingles.join(wanted, "node")
-        .select("node", "tokens")
-        .mapInArrow(_pointed, "node long, n long, point binary")
-        .dropDuplicates(["node"]),
-        "points",
+    return shared.join(distinct.select("token"), "token").select(
+        F.col("token").alias("cell"), "node"
     )
-    candidates = components(_joined(cells, points))
-    groups = stored(candidates.select(F.col("component").alias("cell"), "node"), "groups")
-    tokens = stored(
-        shingles.join(_small(groups.select("node")), "node")
-        .select("node", "tokens")
-        .dropDuplicates(["node"]),
-        "node-tokens",
-    )
-    return components(_joined(groups, points, tokens))
+
+
+def _of_nodes(shingles: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, tokens) of some nodes, as often as they occur."""
+    return shingles.join(_small(nodes), "node").select("node", "tokens")
+
+
+def node_components(shingles: DataFrame) -> DataFrame:
+    """(node, component) of every node that links with another."""
+    spark = shingles.sparkSession
+
+    def found() -> DataFrame:
+        cells = settled(spark, lambda: _cells(shingles), "cells")
+        wanted = stored(cells.select("node").distinct(), "cell-nodes")
+        points = stored(
+            _of_nodes(shingles, wanted)
+            .mapInArrow(_pointed, "node long, n long, point binary")
+            .dropDuplicates(["node"]),
+            "points",
+        )
+        groups = settled(
+            spark,
+            lambda: components(_joined(cells, points)).select(
+                F.col("component").alias("cell"), "node"
+            ),
+            "groups",
+        )
+        tokens = stored(
+            _of_nodes(shingles, groups.select("node")).dropDuplicates(["node"]), "node-tokens"
+        )
+        return components(_joined(groups, points, tokens))
+
+    return settled(spark, found, "node-components")
 
 
 def _small(nodes: DataFrame) -> DataFrame:
@@ -667,7 +680,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    grouped = stored(_grouped(rows), "grouped")
+    grouped = settled(docs.sparkSession, lambda: _grouped(rows), "grouped")
     least = (
         grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
     )
@@ -688,16 +701,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col(text_col).alias("text"),
         *[c.alias(n) for n, c in keys.items()],
     )
-    grouped = stored(_grouped(rows).filter("group IS NOT NULL"), "grouped")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "mark")
-    best = grouped.groupBy("group").agg(F.min(rank).alias("best"))
-    alike = (
-        grouped.join(best, "group")
-        .groupBy("key", "mark")
-        .agg(F.max(rank == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("n"))
-        .filter("NOT stays OR n > 1")
-    )
-    alike = stored(alike, "dropped")
+
+    def repeated() -> DataFrame:
+        grouped = settled(
+            docs.sparkSession, lambda: _grouped(rows).filter("group IS NOT NULL"), "grouped"
+        )
+        rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "mark")
+        best = grouped.groupBy("group").agg(F.min(rank).alias("best"))
+        return (
+            grouped.join(best, "group")
+            .groupBy("key", "mark")
+            .agg(F.max(rank == F.col("best")).alias("stays"), F.count(F.lit(1)).alias("n"))
+            .filter("NOT stays OR n > 1")
+        )
+
+    alike = settled(docs.sparkSession, repeated, "dropped")
     count = alike.count()
     dropped = F.broadcast(alike) if count <= 500_000 else alike  # 21 bytes each
     keyed = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in keys.items()])
