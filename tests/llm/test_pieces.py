@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -79,3 +80,41 @@ def test_rows(spark):
     back = sorted((tuple(r) for r in pieces.decode(encoded, PATH).collect()), key=str)
     assert back == sorted([(1, "a b"), (1, "a b"), (2, ""), (None, "c")], key=str)
     assert pieces.piece_digests(df.limit(0), PATH).collect() == []
+
+
+def long_cuts():
+    r = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
+    words = ["the", "ing", "tion", "日本", "é", "\n", "=", "😀", "ﬁ", "Wort", "------", "0000"]
+    return [
+        "".join(r.choice(letters, 30_000)),
+        "".join(r.choice(words, 12_000)),
+        *(c * 9_001 for c in ("x", "-", "ab", "日本", "\n", "😀", "=", "é", "the", " ", "0", "1234567")),
+        "short " + "".join(r.choice(letters, 2_100)) + " and short",
+    ]
+
+
+def test_long_cuts(encoder, library):
+    same(encoder, library, long_cuts())
+
+
+def test_windows_that_never_fit_are_relaxed_whole(encoder, library, monkeypatch):
+    monkeypatch.setattr(pieces.PieceEncoder, "_joined", lambda *_: None)
+    fresh = pieces.PieceEncoder(PATH)
+    same(fresh, library, ["abc" * 900, "x" * 2_500, "a b"])
+
+
+def test_a_megabyte_without_a_space(library):
+    fresh = pieces.PieceEncoder(PATH)
+    r = np.random.default_rng(7)
+    text = "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000))
+    start = time.process_time()
+    ids, _ = fresh.encode(pa.array([text]))
+    assert time.process_time() - start < 30  # one numpy round a character took minutes
+    assert ids.tolist() == library.encode(text)
+
+
+def test_texts_decoded_together(encoder):
+    ids, offsets = encoder.encode(pa.array([*ODD, "▁ a▁"]))
+    together = encoder.decode_all(ids, offsets).to_pylist()
+    assert together == [encoder.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
