@@ -54,6 +54,23 @@ def test_any_texts(values):
 ENCODER, LIBRARY = pieces.PieceEncoder(PATH), SentencePieceProcessor(model_file=PATH)
 
 
+def test_borders_say_what_merging_says(encoder):
+    v, r = encoder.vocabulary, np.random.default_rng(0)
+    ids = np.array(sorted(v.ids.values()))
+    short = np.array([i for i in ids if len(v.pieces[i]) < 4])
+    odd = np.flatnonzero(v.borders.odd)
+    left = np.concatenate([r.choice(ids, 5000), r.choice(short, 15000), r.choice(odd, 500), r.choice(short, 500)])
+    right = np.concatenate([r.choice(ids, 5000), r.choice(short, 15000), r.choice(short, 500), r.choice(odd, 500)])
+    # neighbours that do merge: the halves of pieces, and one piece twice
+    whole = [v.pieces[i] for i in r.choice(ids, 5000)]
+    halves = [(v.ids[p[:k]], v.ids[p[k:]]) for p in whole for k in range(1, len(p)) if p[:k] in v.ids and p[k:] in v.ids]
+    left = np.concatenate([left, [a for a, _ in halves], short])
+    right = np.concatenate([right, [b for _, b in halves], short])
+    want = [v.agree(a, b) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    assert v.borders.apart(left, right).tolist() == want
+    assert not all(want) and any(want)
+
+
 def test_suffix_index_finds_every_occurrence():
     codes = np.array([1, 2, 1, 2, 1, -1, 2, 1, 1])
     wanted = np.array([[1, -1, -1], [1, 2, -1], [2, 1, 1], [3, -1, -1]])

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,29 +56,115 @@ class Vocabulary:
         }
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         # a piece no merge leads to never occurs
-        self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p]}
+        steps = {p: self._steps(p) for p in self.ids}
+        self.ids = {p: i for p, i in self.ids.items() if len(steps[p]) == len(p) - 1}
         self.longest = max(map(len, self.ids))
-        self.agree = lru_cache(maxsize=1_000_000)(self._agree)
+        self.borders = Borders(self, {p: steps[p] for p in self.ids})
+
+    def _steps(self, text: str) -> list[tuple[float, int, list[str]]]:
+        """Merges of the best-scored neighbours first: (score, place, parts after it)."""
+        parts, steps = list(text), []
+        scores = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores:
+            best = max(scores)
+            if best == -np.inf:
+                break
+            i = scores.index(best)
+            parts = [*parts[:i], parts[i] + parts[i + 1], *parts[i + 2 :]]
+            steps.append((best, i, parts))
+            del scores[i]
+            for k in (i - 1, i):
+                if 0 <= k < len(scores):
+                    scores[k] = self.scores.get(parts[k] + parts[k + 1], -np.inf)
+        return steps
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging the best-scored neighbours first."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(
-                (self.scores.get(parts[i] + parts[i + 1], -np.inf), -i) for i in range(len(parts) - 1)
-            )
-            if best[0] == -np.inf:
-                break
-            i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        steps = self._steps(text)
+        return steps[-1][2] if steps else list(text)
 
-    def _agree(self, left: int, right: int) -> bool:
+    def agree(self, left: int, right: int) -> bool:
         """Whether the two pieces stay apart when their text is merged."""
         a, b = self.pieces[left], self.pieces[right]
         return self.merged(a + b) == [a, b]
 
 
+class Borders:
+    """Whether pieces side by side stay apart, for many pairs at once.
+
+    While two pieces are merged next to each other, each is made by its own merges, in
+    order of score, unless a merge over the border has its turn before. Only the parts
+    that lie at the border matter: of the left piece the last part, of the right piece
+    the first, each from the merge that makes it to the merge that takes it up. Two such
+    parts that are there at one time merge if the vocabulary has their join and its score
+    comes before the end of either. Pieces whose own scores do not fall from merge to
+    merge are merged one pair at a time.
+    """
+
+    def __init__(self, v: Vocabulary, steps: dict[str, list]):
+        self.vocabulary, size = v, len(v.pieces)
+        self.size = size
+        self.odd = np.zeros(size, bool)
+        joins = {}
+        spans: tuple[list, list] = ([], [])  # at the left border, at the right one
+        counts = np.zeros((2, size), np.int64)
+        for p, i in sorted(v.ids.items(), key=lambda item: item[1]):
+            times = [-s for s, _, _ in steps[p]]
+            self.odd[i] = any(a > b for a, b in zip(times, times[1:], strict=False))
+            for side, spot in enumerate((0, -1)):
+                part, since = p[spot], -np.inf
+                for time, (_, _, parts) in zip(times, steps[p], strict=True):
+                    if parts[spot] != part:
+                        self.odd[i] |= time == since or part not in v.ids
+                        spans[side].append((v.ids.get(part, -1), since, time))
+                        counts[side, i] += 1
+                        part, since = parts[spot], time
+                spans[side].append((i, since, np.inf))
+                counts[side, i] += 1
+        for p, score in v.scores.items():
+            for k in range(1, len(p)):
+                if p[:k] in v.ids and p[k:] in v.ids:
+                    joins[v.ids[p[:k]] * size + v.ids[p[k:]]] = -score
+        self.joins = np.array(sorted(joins), np.int64)
+        self.times = np.array([joins[k] for k in self.joins.tolist()])
+        self.offsets = [np.concatenate([[0], np.cumsum(c)]) for c in counts]
+        self.parts, self.since, self.until = zip(
+            *(
+                (
+                    np.array([x[0] for x in side], np.int64),
+                    np.array([x[1] for x in side], np.float64),
+                    np.array([x[2] for x in side], np.float64),
+                )
+                for side in spans
+            ),
+            strict=True,
+        )
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        found = np.ones(len(left), bool)
+        odd = self.odd[left] | self.odd[right]
+        agree = self.vocabulary.agree
+        found[odd] = [agree(a, b) for a, b in zip(left[odd].tolist(), right[odd].tolist(), strict=True)]
+        plain = np.flatnonzero(~odd)
+        # every part at the end of the left piece beside every part at the start of the right one
+        starts, ends = self.offsets
+        a, b = left[plain], right[plain]
+        wide, high = ends[a + 1] - ends[a], starts[b + 1] - starts[b]
+        pair = np.repeat(np.arange(len(plain)), wide * high)
+        inside = ranges(np.zeros(len(plain), np.int64), wide * high)
+        x, y = ends[a][pair] + inside // high[pair], starts[b][pair] + inside % high[pair]
+        # of merges with one score the left one comes first
+        there = (self.since[1][x] <= self.until[0][y]) & (self.since[0][y] < self.until[1][x])
+        pair, x, y = pair[there], x[there], y[there]
+        keys = self.parts[1][x] * self.size + self.parts[0][y]
+        place = np.minimum(np.searchsorted(self.joins, keys), len(self.joins) - 1)
+        joined = self.joins[place] == keys
+        pair, x, y, time = pair[joined], x[joined], y[joined], self.times[place[joined]]
+        meets = (time < self.until[1][x]) & (time <= self.until[0][y])
+        found[plain[pair[meets]]] = False
+        return found
+
+
 class SuffixIndex:
     """Suffix array of code points, in order of the first ``depth`` of them."""
 
@@ -130,7 +215,11 @@ class SuffixIndex:
 
 
 class PieceEncoder:
-    """Encodes texts; cuts seen before are kept, at most ``MOST_KNOWN``."""
+    """Encodes texts; cuts seen before are kept, at most ``MOST_KNOWN``.
+
+    Made on the driver and sent to the tasks with their code: its tables are bounded by the
+    vocabulary (some 20 MB for 32,000 pieces), and each task begins without known cuts.
+    """
 
     def __init__(self, path: str):
         self.vocabulary = v = Vocabulary(path)
@@ -160,11 +249,9 @@ class PieceEncoder:
         self.offsets = np.zeros(1, np.int64)
 
     def _agreeing(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        v = self.vocabulary
-        size = len(v.pieces)
+        size = len(self.vocabulary.pieces)
         pairs, place = np.unique(left * size + right, return_inverse=True)
-        found = np.array([v.agree(int(p) // size, int(p) % size) for p in pairs], bool)
-        return found[place]
+        return self.vocabulary.borders.apart(pairs // size, pairs % size)[place]
 
     def _encode_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all cuts, flat, and their offsets."""
@@ -343,8 +430,9 @@ class PieceEncoder:
 
 
 def _encoded(path: str):
+    encoder = PieceEncoder(path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
         for batch in text_chunks(batches, limit=CHUNK):
             values = texts(batch)
             ids, offsets = encoder.encode(values)
@@ -360,8 +448,9 @@ def _encoded(path: str):
 
 
 def _decoded(path: str):
+    encoder = PieceEncoder(path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
         for batch in batches:
             lists = batch.column("ids")
             found = [encoder.decode(np.array(x.as_py() or [], np.int64)) for x in lists]
@@ -373,8 +462,9 @@ def _decoded(path: str):
 
 
 def _digests(path: str):
+    encoder = PieceEncoder(path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
         for batch in text_chunks(batches, limit=CHUNK):
             values = texts(batch)
             ids, offsets = encoder.encode(values)
