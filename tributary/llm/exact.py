@@ -5,7 +5,9 @@ sorted externally, so equal contents lie next to each other; each row is then
 compared in full with the row before it. Runs of equal rows may cross a
 partition border, so a run of any size is spread over as many tasks as its rows
 need; the first and last run of each partition (two rows per partition) decide
-which runs belong together.
+which runs belong together. There equality is by SHA-256 digest, not by text. Sizes
+are counted per run of one partition, and only the few runs that were joined over
+borders are summed further, so no task holds more of a group than one partition does.
 
 The sort key is the head of the content, then its SHA-256 digest, so splitters
 stay short whatever the texts are. Null text counts as empty. Of equal rows the
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import SPACE_CLASS, stored
+from tributary.llm.common import SPACE_CLASS, stored, texts
 
 HEAD = 32
 RUN_FIELDS = [
@@ -36,19 +38,19 @@ RUN_FIELDS = [
 ]
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the text of one sorted partition by the numbers of its runs of equal rows."""
+def _runs(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+    """Numbers the runs of equal rows of one sorted partition; the text stays only if asked for."""
     part, run, last = TaskContext.get().partitionId(), -1, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        content = pc.replace_substring_regex(batch.column("text"), SPACE_CLASS + "+", "")
+        content = pc.replace_substring_regex(texts(batch), SPACE_CLASS + "+", "")
         new = np.ones(batch.num_rows, dtype=bool)
         new[1:] = pc.not_equal(content[1:], content[:-1]).to_numpy(zero_copy_only=False)
         new[0] = last is None or content[0].as_py() != last
         numbers = run + np.cumsum(new)
         run, last = int(numbers[-1]), content[-1].as_py()
-        kept = [n for n in batch.schema.names if n != "text"]
+        kept = [n for n in batch.schema.names if with_text or n != "text"]
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(n) for n in kept),
@@ -60,20 +62,21 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sorted_runs(rows: DataFrame) -> DataFrame:
+def _sorted_runs(rows: DataFrame, with_text: bool = False) -> DataFrame:
     """Rows of (doc_id, text, more) in content order, with digest, partition, run, first."""
     order = ["head", "text_sha256", F.desc("points"), F.asc_nulls_last("doc_id")]
-    content = F.regexp_replace("text", SPACE_CLASS + "+", "")
+    whole = F.coalesce("text", F.lit(""))
+    content = F.regexp_replace(whole, SPACE_CLASS + "+", "")
     keyed = rows.withColumns(
         {
             "head": F.substring(content, 1, HEAD),
             "text_sha256": F.sha2(content, 256),
-            "points": F.char_length("text"),
+            "points": F.char_length(whole),
         }
     )
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("head", "points")
-    fields = [f for f in ranged.schema.fields if f.name != "text"]
-    return ranged.mapInArrow(_runs, T.StructType(fields + RUN_FIELDS))
+    fields = [f for f in ranged.schema.fields if with_text or f.name != "text"]
+    return ranged.mapInArrow(lambda batches: _runs(batches, with_text), T.StructType(fields + RUN_FIELDS))
 
 
 def _joined_runs(runs: DataFrame) -> list[tuple[int, int, int, int]]:
@@ -103,52 +106,53 @@ def _joined_runs(runs: DataFrame) -> list[tuple[int, int, int, int]]:
     return joined
 
 
-def _members(runs: DataFrame) -> DataFrame:
-    """The runs joined over partition borders; ``kept`` marks the first row of each group."""
-    joined = runs.sparkSession.createDataFrame(
-        _joined_runs(runs), "part int, run long, to_part int, to_run long"
-    )
-    rest = [c for c in runs.columns if c not in ("part", "run", "first")]
-    return runs.join(F.broadcast(joined), ["part", "run"], "left").select(
-        *rest,
-        F.coalesce("to_part", "part").alias("part"),
-        F.coalesce("to_run", "run").alias("run"),
-        (F.col("first") & F.col("to_part").isNull()).alias("kept"),
-    )
-
-
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    runs = stored(_sorted_runs(rows), "exact-runs")
+    sizes = runs.groupBy("part", "run").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("first"), F.col("doc_id"))).alias("keep")
     )
-    members = _members(stored(_sorted_runs(rows), "exact-runs"))
-    groups = (
-        members.groupBy("part", "run")
-        .agg(
-            F.count(F.lit(1)).alias("group_size"),
-            F.max(F.when(F.col("kept"), F.col("doc_id"))).alias("keep_id"),
-        )
-        .filter("group_size > 1")
+    # at most two runs per partition: those that were joined, and those they were joined to
+    joined = _joined_runs(runs)
+    linked = docs.sparkSession.createDataFrame(
+        joined + [(*to, *to) for to in sorted({j[2:] for j in joined})],
+        "part int, run long, to_part int, to_run long",
+    ).withColumn("own", (F.col("part") == F.col("to_part")) & (F.col("run") == F.col("to_run")))
+    whole = (
+        sizes.join(F.broadcast(linked), ["part", "run"])
+        .groupBy("to_part", "to_run")
+        .agg(F.sum("n").alias("all_n"), F.max(F.when(F.col("own"), F.col("keep"))).alias("all_keep"))
     )
-    return members.join(groups, ["part", "run"], "left").select(
-        "doc_id",
-        F.when(F.col("group_size").isNull(), F.col("doc_id"))
-        .otherwise(F.col("keep_id"))
-        .alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        "kept",
-        "text_sha256",
+    borders = linked.join(whole, ["to_part", "to_run"]).drop("to_part", "to_run")
+    return (
+        runs.join(sizes.filter("n > 1"), ["part", "run"], "left")
+        .join(F.broadcast(borders), ["part", "run"], "left")
+        .select(
+            "doc_id",
+            F.when(F.col("own").isNotNull(), F.col("all_keep"))
+            .when(F.col("n").isNotNull(), F.col("keep"))
+            .otherwise(F.col("doc_id"))
+            .alias("keep_id"),
+            F.coalesce("all_n", "n", F.lit(1).cast("long")).alias("group_size"),
+            (F.col("first") & F.coalesce("own", F.lit(True))).alias("kept"),
+            "text_sha256",
+        )
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.struct("*").alias("row"),
+        quoted[id_col].cast("long").alias("doc_id"),
+        quoted[text_col].alias("text"),
+        F.struct(*[column for c, column in quoted.items() if c != text_col]).alias("row"),
+    )
+    first = stored(_sorted_runs(rows, with_text=True).filter("first"), "exact-first")
+    joined = docs.sparkSession.createDataFrame(
+        [j[:2] for j in _joined_runs(first)], "part int, run long"
+    )
+    return first.join(F.broadcast(joined), ["part", "run"], "left_anti").select(
+        *[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in quoted]
     )
-    first = stored(_sorted_runs(rows).filter("first"), "exact-first")
-    return _members(first).filter("kept").select("row.*")
