@@ -159,6 +159,47 @@ def test_full_counts_stay_bounds():
     assert points.dense(np.array([0]), 0).sum() >= 1000
 
 
+def test_cells_of_one_least_node_are_one_and_lose_no_link(spark):
+    docs = variants(4)
+    short = " ".join(f"s{n}" for n in range(20))
+    docs += [(-1, short), (-2, short + " ".join(f" t{n}" for n in range(40)))]
+    docs += [(-n - 3, text) for n, (_, text) in enumerate(docs[:20])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = jaccard.shingle_rows(df)
+    node = {r["doc_id"]: r["node"] for r in rows.select("doc_id", "node").collect()}
+    found = [tuple(r) for r in jaccard._cells(rows).select("cell", "node").collect()]
+    cells = {}
+    for cell, member in found:
+        cells.setdefault(cell, set()).add(member)
+    assert len(found) == len(set(found))
+    assert all(min(members) == cell and len(members) > 1 for cell, members in cells.items())
+    # a passage of a text three times as long is no reason for a cell
+    assert not {node[-1], node[-2]} & {member for _, member in found}
+    sets = [(node[d], shingles(text)) for d, text in docs]
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            both = len(x & y)
+            if a != b and both and 100 * both >= 80 * (len(x) + len(y) - both):
+                assert any({a, b} <= members for members in cells.values())
+
+
+def test_tokens_go_straight_to_their_work(spark, monkeypatch):
+    names = []
+
+    def noted(df, name):
+        names.append(name)
+        return stored(df, name)
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    monkeypatch.setattr(jaccard, "MOST_BROADCAST", 20)
+    docs = variants(5)
+    docs += [(-n - 1, text) for n, (_, text) in enumerate(docs[:40] + docs[:10])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = sorted((tuple(r) for r in jaccard.near_duplicates(df).collect()), key=str)
+    assert got == brute(docs)
+    assert "node-tokens" not in names and names.count("links") > 2
+
+
 def test_tables_on_the_way_are_removed(spark):
     shared = Path(shared_dir(spark))
     before = set(shared.iterdir())

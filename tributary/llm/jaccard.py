@@ -7,8 +7,9 @@ and are never expanded into pairs.
 1. Shingles become 48-bit tokens, written once per row.
 2. Routing: in any common order of tokens, linked sets share one of the first
    ``n - ceil(0.8 n) + 1`` tokens of either, so nodes that share such a token
-   form a cell. Frequent tokens come last in the order (this moves work, never
-   results); equal cells are kept once.
+   form a cell, cut where their sizes are too far apart for any link. Cells with
+   the same least node become one. Frequent tokens come last in the order (this
+   moves work, never results).
 3. Tokens are hashed into groups, twice as many for each doubling of a set beyond
    ``WIDE`` tokens, so that the counts of unrelated long texts stay apart; sets of
    different widths are compared at the lesser one. In a cell the counts are the points of
@@ -29,6 +30,7 @@ an id are rows of their own. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,12 @@ LEAST_WEIGHT = 500
 # more than once; at most so many are broadcast (8 bytes each).
 FREQUENT = 500
 MOST_FREQUENT = 200_000
+# Nodes, or rows of work (four numbers each), broadcast at once; more work goes in several passes.
 MOST_BROADCAST = 1_000_000
+# A token and, in its low bits, the logarithm of a set's size in thousandths. Sizes
+# whose logarithms are so many thousandths apart differ by more than 5 : 4.
+SIZE_BITS = 16
+TOO_FAR = 225
 FULL, BOX_FULL = 15, 65_535  # counts of a point are stored in four bits, of a box in two bytes
 TOKEN_BYTES = 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
@@ -181,12 +188,11 @@ def _prefixes(frequent: np.ndarray):
             order = np.lexsort((late, rows))  # tokens ascend within a row already
             lengths = sizes - (4 * sizes + 4) // 5 + 1
             at = ranges(offsets[:-1], lengths)
+            logs = np.floor(1000 * np.log(sizes)).astype(np.uint64)
+            keys = tokens[order][at] << np.uint64(SIZE_BITS) | logs[rows[at]]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(tokens[order][at].view(np.int64)),
-                    batch.column("node").take(pa.array(rows[at])),
-                ],
-                names=["token", "node"],
+                [pa.array(keys.view(np.int64)), batch.column("node").take(pa.array(rows[at]))],
+                names=["key", "node"],
             )
 
     return run
@@ -419,7 +425,8 @@ def _binary(tops: np.ndarray) -> pa.Array:
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_chunks(batches, "tokens", CHUNK):
+    for whole in text_chunks(batches, "tokens", CHUNK):
+        batch = _first_of_node(whole)
         tokens, offsets = unpacked(batch.column("tokens"))
         yield pa.RecordBatch.from_arrays(
             [
@@ -451,9 +458,36 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _ends(pairs)
 
 
+def _new_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows less those that repeat a node and its work within the task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        pairs = zip(batch.column("work").to_pylist(), batch.column("node").to_pylist(), strict=True)
+        new = []
+        for at, pair in enumerate(pairs):
+            if pair not in seen:
+                seen.add(pair)
+                new.append(at)
+        yield batch.take(pa.array(new, pa.int64()))
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by work and node less those that repeat the one before."""
+    last = None
+    for batch in batches:
+        work, node = (batch.column(c).to_numpy() for c in ("work", "node"))
+        if not len(work):
+            continue
+        new = np.ones(len(work), bool)
+        new[1:] = (work[1:] != work[:-1]) | (node[1:] != node[:-1])
+        new[0] = (work[0], node[0]) != last
+        last = work[-1], node[-1]
+        yield batch.filter(pa.array(new))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links of each group of work."""
-    for table, groups in _whole_groups(batches, ["work"]):
+    """Verified links of each group of work; rows are sorted by work and node."""
+    for table, groups in _whole_groups(_once(batches), ["work"]):
         nodes, sides, parts = (table.column(c).to_numpy() for c in ("node", "side", "part"))
         pairs = []
         for start, stop in groups:
@@ -535,47 +569,57 @@ def _placed(cells: DataFrame) -> DataFrame:
     return ranked.withColumn("leaves", F.max("leaf").over(in_cell) + 1)
 
 
-def _search(work: DataFrame, payload: DataFrame, verify: bool) -> DataFrame:
-    """Links (a, b) of every group of work; rows are (work, side, node, part)."""
-    search = _linked if verify else _candidates
+def _search(rows: DataFrame, verify: bool) -> DataFrame:
+    """Links (a, b) of every group of work; rows are (work, side, node, part) and points or tokens."""
+    search, order = (_linked, ["work", "node"]) if verify else (_candidates, ["work"])
     return stored(
-        work.join(payload, "node")
-        .repartition("work")
-        .sortWithinPartitions("work")
-        .mapInArrow(search, "a long, b long"),
+        rows.repartition("work").sortWithinPartitions(*order).mapInArrow(search, "a long, b long"),
         "links",
     )
 
 
-def _joined(cells: DataFrame, points: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+def _verified(work: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``_search`` with the tokens of all nodes, which move but once, to their work.
+
+    The work is broadcast, some whole groups at a time.
+    """
+    passes = max(1, -(-work.count() // MOST_BROADCAST))
+    links = []
+    for k in range(passes):
+        own = work.filter(F.pmod("work", F.lit(passes)) == k)
+        rows = _of_nodes(shingles, F.broadcast(own))
+        links.append(_search(rows.mapInArrow(_new_rows, rows.schema), True))
+    return reduce(DataFrame.unionAll, links)
+
+
+def _joined(cells: DataFrame, points: DataFrame, shingles: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that connect, in every cell (cell, node), what is linked there.
 
-    Links are verified where ``tokens`` are given, else as the points bound them.
+    Links are verified where ``shingles`` are given, else as the points bound them.
     """
-    payload = points if tokens is None else tokens
+    verify = shingles is not None
     sized = cells.join(points.select("node", "n"), "node")
     placed = stored(_placed(sized.withColumn("part", F.col("node"))).drop("n"), "placed")
-    several = placed.filter("leaves > 1")
-    hot = not several.isEmpty()
     work = placed.filter("leaves = 1").select(
         F.xxhash64("cell").alias("work"), F.lit(0).alias("side"), "node", "part"
     )
-    if hot:
-        # a leaf by itself, and the next leaf's rows looked up in it
-        leaf = F.col("leaf")
-        alone, ahead, behind = _place(leaf, True, 0), _place(leaf, False, 0), _place(leaf - 1, False, 1)
-        places = several.withColumn("place", F.explode(F.array(alone, ahead, behind)))
-        work = work.unionAll(
-            places.filter("place.leaf >= 0").select(
-                F.xxhash64("cell", "place.leaf", "place.alone").alias("work"),
-                "place.side",
-                "node",
-                "part",
-            )
-        )
-    first = _search(work, payload, tokens is not None)
-    if not hot:
-        return first
+    whole = _verified(work, shingles) if verify else _search(work.join(points, "node"), False)
+    several = placed.filter("leaves > 1")
+    if several.isEmpty():
+        return whole
+    hot = _small(stored(several.select("node").distinct(), "hot-nodes"))
+    points = stored(points.join(hot, "node"), "hot-points")
+    payload = points
+    if verify:
+        payload = stored(_of_nodes(shingles, hot).dropDuplicates(["node"]), "node-tokens")
+    # a leaf by itself, and the next leaf's rows looked up in it
+    leaf = F.col("leaf")
+    alone, ahead, behind = _place(leaf, True, 0), _place(leaf, False, 0), _place(leaf - 1, False, 1)
+    places = several.withColumn("place", F.explode(F.array(alone, ahead, behind)))
+    work = places.filter("place.leaf >= 0").select(
+        F.xxhash64("cell", "place.leaf", "place.alone").alias("work"), "place.side", "node", "part"
+    )
+    first = whole.unionAll(_search(work.join(payload, "node"), verify))
     found = components(first)
     again = (
         several.select("cell", "node")
@@ -592,7 +636,7 @@ def _joined(cells: DataFrame, points: DataFrame, tokens: DataFrame | None = None
         "cell", F.xxhash64("cell", "a", "b").alias("work"), F.explode(places).alias("place")
     ).select("cell", "work", "place.leaf", "place.side")
     work = members.join(spread, ["cell", "leaf"]).select("work", "side", "node", "part")
-    return first.unionAll(_search(work, payload, tokens is not None))
+    return first.unionAll(_search(work.join(payload, "node"), verify))
 
 
 def shingle_rows(rows: DataFrame) -> DataFrame:
@@ -603,33 +647,37 @@ def shingle_rows(rows: DataFrame) -> DataFrame:
 
 
 def _cells(shingles: DataFrame) -> DataFrame:
-    """(cell, node) of nodes that share a prefix token; equal cells once."""
+    """(cell, node) of nodes that share a prefix token and may link by their sizes.
+
+    The cell is the least node of those with a token, so cells that share it are one.
+    """
     prefixes = shingles.select("node", "tokens").mapInArrow(
-        _prefixes(_frequent(shingles)), "token long, node long"
+        _prefixes(_frequent(shingles)), "key long, node long"
     )
-    of_token = Window.partitionBy("token")
-    shared = stored(
-        prefixes.repartition("token")
-        .dropDuplicates(["token", "node"])
-        .select(
-            "token",
-            "node",
-            F.count(F.lit(1)).over(of_token).alias("size"),
-            F.bit_xor(F.xxhash64("node")).over(of_token).alias("sign"),
-        )
-        .filter("size > 1"),
-        "shared-tokens",
+    token = F.shiftrightunsigned("key", SIZE_BITS)
+    size = F.col("key").bitwiseAND((1 << SIZE_BITS) - 1)
+    by_size = Window.partitionBy("token").orderBy("size")
+    # null at a token's ends
+    below = F.col("size") - F.lag("size").over(by_size) < TOO_FAR
+    above = F.lead("size").over(by_size) - F.col("size") < TOO_FAR
+    near = (
+        prefixes.repartition(token)
+        .select(token.alias("token"), size.alias("size"), "node")
+        .select("*", F.coalesce(below, F.lit(False)).alias("below"), above.alias("above"))
+        .filter("below OR above")
     )
-    # equal cells once, under the smallest token
-    distinct = shared.groupBy("size", "sign").agg(F.min("token").alias("token"))
-    return shared.join(distinct.select("token"), "token").select(
-        F.col("token").alias("cell"), "node"
+    # ties are peers in a sum over a range, so equal sizes stay together
+    chained = near.withColumn("chain", F.sum(F.when(F.col("below"), 0).otherwise(1)).over(by_size))
+    least = F.min("node").over(Window.partitionBy("token", "chain"))
+    stars = stored(
+        chained.select(least.alias("cell"), "node").filter("cell <> node").distinct(), "stars"
     )
+    return stars.unionAll(stars.select("cell", F.col("cell").alias("node")).distinct())
 
 
-def _of_nodes(shingles: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, tokens) of some nodes, as often as they occur."""
-    return shingles.join(_small(nodes), "node").select("node", "tokens")
+def _of_nodes(shingles: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows with the tokens of their node, as often as the node occurs."""
+    return shingles.select("node", "tokens").join(rows, "node")
 
 
 def node_components(shingles: DataFrame) -> DataFrame:
@@ -639,9 +687,11 @@ def node_components(shingles: DataFrame) -> DataFrame:
     def found() -> DataFrame:
         cells = settled(spark, lambda: _cells(shingles), "cells")
         wanted = stored(cells.select("node").distinct(), "cell-nodes")
+        # points first: where the join moves rows, they are not as long as tokens
         points = stored(
-            _of_nodes(shingles, wanted)
+            shingles.select("node", "tokens")
             .mapInArrow(_pointed, "node long, n long, point binary")
+            .join(_small(wanted), "node")
             .dropDuplicates(["node"]),
             "points",
         )
@@ -652,10 +702,7 @@ def node_components(shingles: DataFrame) -> DataFrame:
             ),
             "groups",
         )
-        tokens = stored(
-            _of_nodes(shingles, groups.select("node")).dropDuplicates(["node"]), "node-tokens"
-        )
-        return components(_joined(groups, points, tokens))
+        return components(_joined(groups, points, shingles))
 
     return settled(spark, found, "node-components")
 
