@@ -101,6 +101,21 @@ def test_packed_tokens_come_back():
     assert np.diff(offsets).tolist() == [2, 0, 0, 1]
 
 
+def test_packed_sets_of_any_size_come_back_in_fewer_bytes():
+    r = np.random.default_rng(6)
+    sizes = [0, 1, 41, 42, 43, 44, 0, 50, 51, 300, 5000, 0]
+    sets = [np.unique(r.integers(0, 1 << 48, n).astype(np.uint64)) for n in sizes]
+    top = np.uint64((1 << 48) - 1)
+    sets += [top - np.arange(60, dtype=np.uint64)[::-1], np.arange(60, dtype=np.uint64), top[None]]
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    column = jaccard.packed(np.concatenate(sets), offsets)
+    for start in range(len(sets) + 1):
+        tokens, ends = jaccard.unpacked(column.slice(start))
+        assert tokens.tolist() == [t for s in sets[start:] for t in s.tolist()]
+        assert ends.tolist() == (offsets[start:] - offsets[start]).tolist()
+    assert len(column[10].as_py()) < 5.2 * 5000
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(n, n + 1) for n in range(0, 40)] + [(100, n) for n in range(101, 160)] + [(7, 7), (200, 150)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(4)

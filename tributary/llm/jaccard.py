@@ -60,7 +60,9 @@ MOST_BROADCAST = 1_000_000
 SIZE_BITS = 16
 TOO_FAR = 225
 FULL, BOX_FULL = 15, 65_535  # counts of a point are stored in four bits, of a box in two bytes
-TOKEN_BYTES = 6
+# Sets of so many tokens are stored with five bytes a token and their upper bytes, which
+# ascend, as a bitmap; smaller ones with six, and these take fewer bytes than any of the former.
+SPLIT, LOW, WHOLE = 43, 5, 6
 CHUNK = 4 << 20  # bytes of text or tokens handled at once
 TOKEN_MASK = np.uint64((1 << 48) - 1)
 ODD = np.array(
@@ -98,12 +100,34 @@ def shingle_tokens(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys & TOKEN_MASK, np.concatenate([[0], np.cumsum(sizes)])
 
 
+def _places(offsets: np.ndarray, starts: np.ndarray, split: np.ndarray):
+    """Each token's row, place in its row, first byte and whether its row is split."""
+    rows = row_of(offsets)
+    place = np.arange(len(rows)) - offsets[rows]
+    own = split[rows]
+    return rows, place, starts[rows] + place * np.where(own, LOW, WHOLE), own
+
+
 def packed(tokens: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Six bytes a token, one binary value per row."""
-    data = np.ascontiguousarray(tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:])
-    ends = (offsets * TOKEN_BYTES).astype(np.int32)
+    """About 5.2 bytes a token, one binary value per row; tokens ascend within a row."""
+    sizes = np.diff(offsets)
+    split = sizes >= SPLIT
+    maps = np.where(split, (sizes + 256 + 7) // 8, 0)
+    ends = np.concatenate([[0], np.cumsum(np.where(split, LOW, WHOLE) * sizes + maps)])
+    rows, place, at, own = _places(offsets, ends[:-1], split)
+    data = np.zeros(int(ends[-1]), np.uint8)
+    first = tokens << np.where(own, np.uint64(64 - 8 * LOW), np.uint64(64 - 8 * WHOLE))
+    parts = first.astype(">u8").view(np.uint8).reshape(-1, 8)
+    for k in range(LOW):
+        data[at + k] = parts[:, k]
+    data[at[~own] + LOW] = parts[~own, LOW]
+    # the upper byte u of the i-th token sets bit u + i
+    bits = np.zeros(8 * int(maps.sum()), np.uint8)
+    upper = (tokens >> np.uint64(8 * LOW)).astype(np.int64)
+    bits[(8 * (np.cumsum(maps) - maps)[rows] + place + upper)[own]] = 1
+    data[ranges(ends[:-1] + LOW * sizes, maps)] = np.packbits(bits)
     return pa.Array.from_buffers(
-        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]
+        pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]
     )
 
 
@@ -111,12 +135,22 @@ def unpacked(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and offsets of a column made by ``packed``."""
     values = pa.concat_arrays([values])
     ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset :][: len(values) + 1]
-    start, stop = int(ends[0]), int(ends[-1])
-    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[start:stop]
-    wide = np.zeros((len(data) // TOKEN_BYTES, 8), np.uint8)
-    wide[:, 2:] = data.reshape(-1, TOKEN_BYTES)
-    tokens = wide.reshape(-1).view(">u8").astype(np.uint64)
-    return tokens, (ends.astype(np.int64) - start) // TOKEN_BYTES
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    starts, lengths = ends[:-1].astype(np.int64) - ends[0], np.diff(ends).astype(np.int64)
+    split = lengths > WHOLE * (SPLIT - 1)
+    # 8 * length is 41 * size + 256, and at most 7 more
+    sizes = np.where(split, (8 * lengths - 256) // (8 * LOW + 1), lengths // WHOLE)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    rows, place, at, own = _places(offsets, starts, split)
+    # the eight bytes from every byte on, as numbers
+    eight = np.ndarray(len(data) + 1, ">u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    tokens = eight[at].astype(np.uint64)
+    tokens >>= np.where(own, np.uint64(64 - 8 * LOW), np.uint64(64 - 8 * WHOLE))
+    maps = np.where(split, lengths - LOW * sizes, 0)
+    bits = np.flatnonzero(np.unpackbits(data[ranges(starts + LOW * sizes, maps)]))
+    upper = bits - (8 * (np.cumsum(maps) - maps)[rows] + place)[own]
+    tokens[own] |= upper.astype(np.uint64) << np.uint64(8 * LOW)
+    return tokens, offsets
 
 
 def _nodes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
