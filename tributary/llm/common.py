@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterator
 from contextvars import ContextVar
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,19 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(
+    run: Callable[..., Iterator[pa.RecordBatch]],
+) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``run``, a function over a task's batches, with its memory given back at the end."""
+
+    @wraps(run)
+    def whole(*args) -> Iterator[pa.RecordBatch]:
+        yield from run(*args)
+        give_back()
+
+    return whole
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The column with null as empty text."""
     return pc.fill_null(batch.column(column), "")

@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import SPACE_CLASS, stored, texts
+from tributary.llm.common import SPACE_CLASS, giving_back, stored, text_chunks, texts
 
 HEAD = 32
+CHUNK = 2 << 20  # bytes of text compared at once, and sent back at once
 RUN_FIELDS = [
     T.StructField("part", T.IntegerType()),
     T.StructField("run", T.LongType()),
@@ -38,12 +39,11 @@ RUN_FIELDS = [
 ]
 
 
+@giving_back
 def _runs(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     """Numbers the runs of equal rows of one sorted partition; the text stays only if asked for."""
     part, run, last = TaskContext.get().partitionId(), -1, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in text_chunks(batches, limit=CHUNK):
         content = pc.replace_substring_regex(texts(batch), SPACE_CLASS + "+", "")
         new = np.ones(batch.num_rows, dtype=bool)
         new[1:] = pc.not_equal(content[1:], content[:-1]).to_numpy(zero_copy_only=False)

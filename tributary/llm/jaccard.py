@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ranges, row_of, settled, split_words, stored, text_chunks, texts
+from tributary.llm.common import giving_back, ranges, row_of, settled, split_words, stored, text_chunks, texts
 from tributary.llm.components import components
 
 SIZE = 5
@@ -161,8 +161,9 @@ def _nodes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, names, np.uint64(0)).view(np.int64)
 
 
+@giving_back
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in text_chunks(batches, limit=CHUNK):
+    for whole in text_chunks(batches, limit=CHUNK // 2):
         for start in range(0, whole.num_rows, 1 << 16):
             batch = whole.slice(start, 1 << 16)
             tokens, offsets = shingle_tokens(texts(batch))
@@ -185,6 +186,7 @@ def _first_of_node(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.take(pa.array(np.sort(first[names[first] != 0])))
 
 
+@giving_back
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches, "tokens", 2 * CHUNK):
         tokens, _ = unpacked(_first_of_node(batch).column("tokens"))
@@ -212,6 +214,7 @@ def _frequent(shingles: DataFrame) -> np.ndarray:
 
 
 def _prefixes(frequent: np.ndarray):
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in text_chunks(batches, "tokens", CHUNK):
             batch = _first_of_node(whole)
@@ -458,6 +461,7 @@ def _binary(tops: np.ndarray) -> pa.Array:
     )
 
 
+@giving_back
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in text_chunks(batches, "tokens", CHUNK):
         batch = _first_of_node(whole)
@@ -477,6 +481,7 @@ def _ends(pairs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
 
+@giving_back
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate links of each group of work."""
     for table, groups in _whole_groups(batches, ["work"]):
@@ -492,6 +497,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _ends(pairs)
 
 
+@giving_back
 def _new_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows less those that repeat a node and its work within the task."""
     seen: set[tuple[int, int]] = set()
@@ -519,6 +525,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(new))
 
 
+@giving_back
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verified links of each group of work; rows are sorted by work and node."""
     for table, groups in _whole_groups(_once(batches), ["work"]):

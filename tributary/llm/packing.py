@@ -25,9 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ranges, stored, text_chunks, texts
+from tributary.llm.common import giving_back, ranges, stored, text_chunks, texts
 from tributary.llm.tokens import WordTokens
 
+CHUNK = 2 << 20  # bytes of text encoded at once; ids and their places take about 30 times that
 CAPACITY = 4096
 END_ID = 1
 BLOCK_BINS = 2000
@@ -35,9 +36,10 @@ BLOCK_ROWS = 500_000  # and no more pieces than about this, however short they a
 
 
 def _pieces(path: str, capacity: int, end_id: int):
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = WordTokens(path), TaskContext.get().partitionId() << 33
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, limit=CHUNK):
             ids, offsets = encoder.encode(texts(batch))
             sizes = np.diff(offsets) + 1
             closed = np.full(int(sizes.sum()), end_id, "<u4")

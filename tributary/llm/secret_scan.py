@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import text_chunks, texts
+from tributary.llm.common import giving_back, text_chunks, texts
 
 MASK = "[REDACTED]"
+CHUNK = 2 << 20  # bytes of text indexed at once; codes and their places take about 15 times that
 
 
 @dataclass(frozen=True)
@@ -257,10 +258,11 @@ def _listed(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end, _, _ in spans)
 
 
+@giving_back
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scanner = Scanner()
     base = [r.kind for r in BASE_RULES]
-    for batch in text_chunks(batches):
+    for batch in text_chunks(batches, limit=CHUNK):
         found = scanner.scan(texts(batch))
         spans = [found.get(row, []) for row in range(batch.num_rows)]
         firsts = [[s for s in own if s[0] in base] for own in spans]
@@ -292,9 +294,10 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*pieces, text[done:]])
 
 
+@giving_back
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scanner = Scanner()
-    for batch in text_chunks(batches):
+    for batch in text_chunks(batches, limit=CHUNK):
         values = batch.column("text").to_pylist()
         for row, spans in scanner.scan(texts(batch)).items():
             values[row] = masked(values[row], spans)

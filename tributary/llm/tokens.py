@@ -8,6 +8,7 @@ words seen before come from a table kept by the task.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 from tributary.llm.common import ranges, split_words
 
 MOST_WORDS = 1_000_000
+WORDS_AT_ONCE = 32_768  # an encoding takes about 100 times the memory of its word
 # ASCII punctuation but the apostrophe, behind a letter or digit, at a word's end.
 CLOSING = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~]+)$"
 
@@ -36,26 +38,29 @@ class WordTokens:
         self.offsets = np.zeros(1, np.int64)
 
     def _places(self, words: pa.Array) -> np.ndarray:
-        """Places of the words in the table, new ones added."""
+        """Places of the words, all different, in the table; new ones are added."""
         if len(self.words) + len(words) > MOST_WORDS:
             self._clear()
-        known = pc.index_in(words, value_set=self.words)
-        new = words.filter(pc.is_null(known))
-        if len(new):
-            found = [
-                e.ids
-                for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)
-            ]
-            sizes = np.fromiter(map(len, found), np.int64, count=len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, count=int(sizes.sum()))
-            at = len(self.words) + np.arange(len(new))
+        # hashes the words of the chunk, not the table, which may be many times larger
+        asked = pc.index_in(self.words, value_set=words)
+        held = np.flatnonzero(pc.is_valid(asked).to_numpy(zero_copy_only=False))
+        places = np.full(len(words), -1, np.int64)
+        places[asked.drop_null().to_numpy()] = held
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = words.take(pa.array(missing))
+            places[missing] = len(self.words) + np.arange(len(new))
+            flat, sizes = [], []
+            for start in range(0, len(new), WORDS_AT_ONCE):
+                some = new.slice(start, WORDS_AT_ONCE).to_pylist()
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, found), np.int64, count=len(found)))
+                flat.append(np.fromiter(chain.from_iterable(found), np.int32, count=int(sizes[-1].sum())))
             self.words = pa.concat_arrays([self.words, new.cast(pa.string())])
-            self.ids = np.concatenate([self.ids, flat])
-            self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        places = known.to_numpy(zero_copy_only=False).astype(np.float64)
-        if len(new):
-            places[np.isnan(places)] = at
-        return places.astype(np.int64)
+            self.ids = np.concatenate([self.ids, *flat])
+            ends = self.offsets[-1] + np.cumsum(np.concatenate(sizes))
+            self.offsets = np.concatenate([self.offsets, ends])
+        return places
 
     def _encode_parts(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         codes, offsets, parts = split_words(values)
