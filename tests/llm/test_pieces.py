@@ -79,6 +79,55 @@ def test_suffix_index_finds_every_occurrence():
     assert found == [(0, 0), (0, 2), (0, 4), (0, 7), (0, 8), (1, 0), (1, 2), (2, 6)]
 
 
+@pytest.mark.parametrize("letters", [1, 3, 300, 20_000])
+def test_suffix_index_finds_pieces_longer_than_one_number(letters):
+    r = np.random.default_rng(letters)
+    alphabet = np.sort(r.choice(np.arange(1, 0x10FFFF), letters, replace=False))
+    parts = [r.choice(alphabet, r.integers(1, 9)) for _ in range(40)]
+    codes = np.concatenate([np.append(np.concatenate([parts[k] for k in r.integers(0, 40, 6)]), -1) for _ in range(60)])
+    codes = np.concatenate([codes, alphabet[:300]])  # many code points leave room for few in a number
+    if letters > 300:
+        codes = np.concatenate([codes, alphabet])
+    longest = 16
+    rows = [codes[k : k + r.integers(1, longest + 1)] for k in r.integers(0, len(codes), 250)]
+    rows = [x[: np.argmax(x == -1)] if -1 in x else x for x in rows]
+    rows += [codes[-n:] for n in (1, 4, 5, 16)] + [np.append(codes[-3:], alphabet[0]), np.array([0]), np.array([0x110000])]
+    rows = [np.array(x) for x in {tuple(x.tolist()) for x in rows if len(x) and -1 not in x}]
+    wanted = np.full((len(rows), longest), -1)
+    for n, x in enumerate(rows):
+        wanted[n, : len(x)] = x
+    number, start = pieces.SuffixIndex(codes, longest).occurrences(wanted, np.array([len(x) for x in rows]))
+    want = []
+    for n, x in enumerate(rows):
+        seen = np.lib.stride_tricks.sliding_window_view(codes, len(x))
+        want += [(n, k) for k in np.flatnonzero((seen == x).all(axis=1)).tolist()]
+    assert sorted(zip(number.tolist(), start.tolist(), strict=True)) == sorted(want)
+
+
+def test_a_text_is_sorted_about_once_for_all_pieces(encoder):
+    r = np.random.default_rng(8)
+    codes = r.choice(np.array([ord(c) for c in "aaabcdeeeefghiiilmnnooorrssttu\u2581"]), 400_000)
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            start = time.process_time()
+            run()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    def index():
+        pieces.SuffixIndex(codes, encoder.vocabulary.longest).occurrences(encoder.wanted, encoder.sizes)
+
+    numbers = r.integers(0, 1 << 62, len(codes))
+    assert least(index) < 5 * least(lambda: np.argsort(numbers))  # 10 when every suffix was ranked three times
+
+
+@pytest.mark.parametrize("text", [" a", "a ", "  ", " ", "a  b", "▁▁a ▁ b▁", "\n \n", "a\0 \1 b", "▁", "a▁ ▁b   c"])
+def test_runs_of_marks(encoder, library, text):
+    same(encoder, library, [text, "", text * 2])
+
+
 def test_query_against_library(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in QUERIES["op3_sentencepiece"](spark, sf_dir).collect()}

@@ -3,8 +3,8 @@
 A text is marked as the model marks it (a space is ``▁``, one goes in front) and
 cut before every run of marks, which no piece crosses. The distinct cuts of a
 chunk are concatenated and indexed by a suffix array over as many characters as
-the longest piece has; every piece is binary-searched for its range of
-occurrences. The occurrences are edges between positions. Sorted by position
+fit in one number, and where pieces are longer over as many more; every piece is
+binary-searched for its range of occurrences. These are edges between positions. Sorted by position
 they are relaxed from left to right: at each position exactly one edge continues
 the encoding of the text before it, the one whose piece and its predecessor
 would not have merged otherwise; for a model whose merges have an order this
@@ -166,52 +166,72 @@ class Borders:
 
 
 class SuffixIndex:
-    """Suffix array of code points, in order of the first ``depth`` of them."""
+    """Suffix array of code points, in order of as many of them as fit in one number.
+
+    Where a piece is longer, the suffixes that begin as it does are put in order of
+    what follows, as many code points at a time, up to the end of the piece.
+    """
 
     def __init__(self, codes: np.ndarray, depth: int):
-        self.codes = codes
-        rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-        # as many characters as fit in one number are ranked at once, then twice as many
-        bits = int(rank.max(initial=1)).bit_length()
-        covered = min(63 // bits, depth)
-        padded, first = np.concatenate([rank, np.zeros(depth, np.int64)]), np.zeros(len(rank), np.int64)
-        for k in range(covered):
-            first = first << bits | padded[k : k + len(rank)]
-        rank = np.unique(first, return_inverse=True)[1].astype(np.int64) + 1
-        while covered < depth:
-            ahead = np.zeros(len(rank), np.int64)
-            ahead[: max(len(rank) - covered, 0)] = rank[covered:]
-            rank = np.unique(rank * (len(codes) + 2) + ahead, return_inverse=True)[1] + 1
-            covered *= 2
-        self.order = np.argsort(rank, kind="stable")
-        self.padded = np.concatenate([codes, np.full(depth + 1, -2, codes.dtype)])
-
-    def _search(self, wanted: np.ndarray, sizes: np.ndarray, after: bool) -> np.ndarray:
-        """First place whose suffix is not below (or, with ``after``, is above) each piece."""
+        # code points as small numbers in the same order; 0 stands for what the text does not hold
+        self.least = int(codes.min(initial=0))
+        used = np.zeros(int(codes.max(initial=0)) - self.least + 2, bool)
+        used[codes - self.least] = True
+        self.small = np.where(used, np.cumsum(used), 0)
+        self.bits = int(self.small.max(initial=1)).bit_length()
+        self.covered = min(63 // self.bits, depth)
+        size = len(codes)
+        padded = np.concatenate([self.small[codes - self.least], np.zeros(self.covered, np.int64)])
+        first = np.zeros(size, np.int64)
+        for k in range(self.covered):
+            first <<= self.bits
+            first |= padded[k : k + size]
+        self.order = np.argsort(first)
+        self.keys = first[self.order]
+        # of equal beginnings the first place, counted from 1; 0 beyond the end
+        place = np.arange(1, size + 1)
+        place[1:][self.keys[1:] == self.keys[:-1]] = 0
+        self.rank = np.zeros(size + 1, np.int64)
+        self.rank[self.order] = np.maximum.accumulate(place)
+
+    def _ranks(self, wanted: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row, the ranks (first, after the last) of suffixes that begin with it."""
         low = np.zeros(len(sizes), np.int64)
-        high = np.full(len(sizes), len(self.order), np.int64)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            middle = (low + high) // 2
-            start = self.order[np.minimum(middle, len(self.order) - 1)]
-            below = np.zeros(len(sizes), bool)
-            equal = np.ones(len(sizes), bool)
-            for k in range(wanted.shape[1]):
-                own = self.padded[np.minimum(start + k, len(self.padded) - 1)]
-                inside = k < sizes
-                below |= equal & inside & (own < wanted[:, k])
-                equal &= ~inside | (own == wanted[:, k])
-            right = below | equal if after else below
-            low = np.where(open_ & right, middle + 1, low)
-            high = np.where(open_ & ~right, middle, high)
+        high = np.zeros(len(sizes), np.int64)
+        for k in range(self.covered):
+            inside = k < sizes
+            own = wanted[:, k] if k < wanted.shape[1] else 0
+            low = low << self.bits | np.where(inside, own, 0)
+            high = high << self.bits | np.where(inside, own, (1 << self.bits) - 1)
+        return np.searchsorted(self.keys, low) + 1, np.searchsorted(self.keys, high, side="right") + 1
 
     def occurrences(self, wanted: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece number, start) of every occurrence of every piece."""
-        first = self._search(wanted, sizes, after=False)
-        counts = self._search(wanted, sizes, after=True) - first
-        return np.repeat(np.arange(len(sizes)), counts), self.order[ranges(first, counts)]
+        inside = (wanted >= self.least) & (wanted - self.least < len(self.small))
+        wanted = np.where(inside, self.small[np.where(inside, wanted - self.least, 0)], 0)
+        absent = (wanted == 0) & (np.arange(wanted.shape[1]) < sizes[:, None])
+        number = np.flatnonzero(~absent.any(axis=1))
+        at, keys, done = self.order, np.arange(1, len(self.order) + 1), 0
+        group, width = np.zeros(len(number), np.int64), len(self.order) + 2
+        numbers, starts = [number[:0]], [at[:0]]
+        while len(number):
+            low, high = self._ranks(wanted[number, done : done + self.covered], sizes[number] - done)
+            first = np.searchsorted(keys, group * width + low)
+            counts = np.searchsorted(keys, group * width + high) - first
+            done += self.covered
+            here = sizes[number] <= done
+            numbers.append(np.repeat(number[here], counts[here]))
+            starts.append(at[ranges(first[here], counts[here])])
+            # longer pieces go on among the suffixes that begin as they do
+            on = ~here & (counts > 0)
+            number = number[on]
+            first, one, group = np.unique(first[on], return_index=True, return_inverse=True)
+            counts = counts[on][one]
+            at = at[ranges(first, counts)]
+            keys = np.repeat(np.arange(len(first)), counts) * width + self.rank[at + done]
+            order = np.argsort(keys)
+            at, keys = at[order], keys[order]
+        return np.concatenate(numbers), np.concatenate(starts)
 
 
 class PieceEncoder:
@@ -253,19 +273,20 @@ class PieceEncoder:
         pairs, place = np.unique(left * size + right, return_inverse=True)
         return self.vocabulary.borders.apart(pairs // size, pairs % size)[place]
 
-    def _encode_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_cuts(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all cuts, flat, and their offsets."""
-        found: list = [None] * len(cuts)
-        todo = {n for n, cut in enumerate(cuts) if len(cut) > LONG}
+        todo = set(np.flatnonzero(pc.utf8_length(values).to_numpy() > LONG).tolist())
         if not todo:
-            return self._relaxed(cuts)
+            return self._relaxed(values)
+        cuts = values.to_pylist()
+        found: list = [None] * len(cuts)
         short = [n for n in range(len(cuts)) if n not in todo]
         for step in STEPS:
             windows: dict[str, int] = {}
             for n in todo:
                 for start in range(0, len(cuts[n]), step):
                     windows.setdefault(self._window(cuts[n], start, step), len(windows))
-            ids, offsets = self._relaxed(list(windows))
+            ids, offsets = self._relaxed(pa.array(list(windows), pa.string()))
             for n in list(todo):
                 own = self._joined(cuts[n], step, windows, ids, offsets)
                 if own is not None:
@@ -275,7 +296,7 @@ class PieceEncoder:
                 break
         whole = short + sorted(todo)
         if whole:
-            ids, offsets = self._relaxed([cuts[n] for n in whole])
+            ids, offsets = self._relaxed(values.take(pa.array(whole)))
             for k, n in enumerate(whole):
                 found[n] = ids[offsets[k] : offsets[k + 1]]
         counts = np.array([len(x) for x in found])
@@ -311,15 +332,15 @@ class PieceEncoder:
         v = self.vocabulary
         return left in v.byte_of or right in v.byte_of or v.agree(left, right)
 
-    def _relaxed(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _relaxed(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all cuts, each relaxed from its start to its end."""
         v = self.vocabulary
-        joined = "\0".join(cuts)
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        lengths = np.fromiter(map(len, cuts), np.int64, count=len(cuts))
+        lengths = pc.utf8_length(cuts).to_numpy().astype(np.int64)
         starts = np.cumsum(lengths + 1) - lengths - 1
         ends = starts + lengths
-        codes = codes.copy()
+        whole = pa.ListArray.from_arrays(pa.array([0, len(cuts)], pa.int32()), cuts)
+        joined = pc.binary_join(whole, "\0")[0].as_py()
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
         codes[ends[:-1]] = -1  # between two cuts
         number, start = SuffixIndex(codes, v.longest).occurrences(self.wanted, self.sizes)
         stop, piece = start + self.sizes[number], self.piece_ids[number]
@@ -328,8 +349,9 @@ class PieceEncoder:
         bare = np.flatnonzero(~covered[: len(codes)] & (codes >= 0))
         start, stop = np.concatenate([start, bare]), np.concatenate([stop, bare + 1])
         piece = np.concatenate([piece, np.full(len(bare), -1)])  # -1: byte pieces
-        cut_of = np.searchsorted(starts, start, side="right") - 1
-        depth = stop - starts[cut_of]
+        depth = stop - np.repeat(starts, lengths + 1)[start]
+        if depth.max(initial=0) < 1 << 16:
+            depth = depth.astype(np.uint16)  # put in order by digits
         order = np.argsort(depth, kind="stable")
         start, stop, piece, depth = start[order], stop[order], piece[order], depth[order]
         at_start = np.zeros(len(codes) + 2, bool)
@@ -378,7 +400,7 @@ class PieceEncoder:
         new = cuts.filter(pc.is_null(known))
         places = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         if len(new):
-            ids, offsets = self._encode_cuts(new.to_pylist())
+            ids, offsets = self._encode_cuts(new.cast(pa.string()))
             places[places < 0] = len(self.cuts) + np.arange(len(new))
             self.cuts = pa.concat_arrays([self.cuts, new.cast(pa.string())])
             self.ids = np.concatenate([self.ids, ids])
@@ -387,12 +409,12 @@ class PieceEncoder:
 
     def encode(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and the texts' offsets."""
-        marked = pc.replace_substring(values, " ", MARK)
-        marked = pc.if_else(pc.equal(values, ""), "", pc.binary_join_element_wise(MARK, marked, ""))
         # cut before each run of marks: a character the texts do not hold goes in front of it
         fence = next(c for c in FENCES if not pc.any(pc.match_substring(values, c)).as_py())
-        fenced = pc.replace_substring_regex(marked, f"([^{MARK}])({MARK}+)", f"\\1{fence}\\2")
-        lists = pc.split_pattern(fenced, fence)
+        spaced = pc.replace_substring(values, MARK, " ")
+        fenced = pc.binary_join_element_wise(MARK, pc.replace_substring(spaced, " ", fence + MARK), "")
+        fenced = pc.replace_substring(fenced, MARK + fence, MARK)
+        lists = pc.split_pattern(pc.if_else(pc.equal(values, ""), "", fenced), fence)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         encoded = lists.flatten().dictionary_encode()
         places = self._places(encoded.dictionary)[encoded.indices.to_numpy(zero_copy_only=False)]
