@@ -146,3 +146,40 @@ def test_one_long_text_without_a_space(models):
     places, _ = aligner.batch(pa.array([text]))
     assert len(places) == 1 and aligner.words.ok.all()
     assert time.perf_counter() - start < 30
+
+
+def test_stored_rows_and_blocks_are_bounded(spark, models, monkeypatch):
+    """Before, a row held all documents of a chunk, and a block all rows of a task."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 32 << 10)
+    monkeypatch.setattr(alignment, "ROW_LINKS", 2000, raising=False)
+    draw = np.random.default_rng(3)
+    docs = [(n, " ".join(map(str, draw.integers(0, 9000, size)))) for n, size in enumerate([*[300] * 50, 5000, 0])]
+    docs += [*enumerate(ODD), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    batches = alignment.aligned_batches(df, A, B)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+    for r in batches.collect():
+        assert len(r.docs) == 1 or sum(len(d.codes) for d in r.docs) <= 2000
+    (path,) = batches.inputFiles()
+    file = pq.ParquetFile(path.removeprefix("file:"))
+    codes = [file.read_row_group(n, columns=["docs"])["docs"].nbytes for n in range(file.num_row_groups)]
+    assert len(codes) > 3 and max(codes) < 200_000
+    assert found(alignment.alignment_digests(df, A, B)) == brute(models, docs)
+
+
+def test_cuts_encoded_in_steps_are_the_same(models, monkeypatch):
+    import pyarrow as pa
+
+    texts = pa.array([*ODD, "one two three four five", *ODD])
+    whole, steps = alignment.Aligner(A, B), alignment.Aligner(A, B)
+    want, want_docs = whole.batch(texts)
+    monkeypatch.setattr(alignment, "STEP_WORDS", 3)
+    got, docs = steps.batch(texts)
+    assert np.array_equal(got, want) and np.array_equal(docs, want_docs)
+    for name, one in vars(whole.words).items():
+        other = getattr(steps.words, name)
+        pairs = zip(one, other, strict=True) if isinstance(one, tuple) else [(one, other)]
+        assert all(np.array_equal(x, y) and x.dtype == y.dtype for x, y in pairs), name

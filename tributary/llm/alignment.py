@@ -12,8 +12,9 @@ Neither tokenizer has a token that goes on over a space behind a visible charact
 so texts are cut there, each distinct cut of a batch is encoded and aligned once,
 and what was found is put together again per document. A vocabulary of B with such
 a token switches the cuts off. Links are counted over the whole corpus: a batch of
-documents is one stored row with a dictionary of its id pairs, only these
-dictionaries are shuffled, and each batch gets the counts of its own pairs back.
+documents has a dictionary of its id pairs, and gets the counts of these pairs back.
+Its documents are stored as rows of a bounded number of links in row groups of a
+bounded size, so no step holds more of a task than that (or one document).
 
 Null and empty texts, and texts whose A or B bytes are not a space and the text
 (B writes a space for U+2581), have no tokens. Strings of special tokens are plain
@@ -37,13 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import give_back, let, ranges, text_chunks
+from tributary.llm.common import arrow_batches, give_back, let, ranges, text_chunks
 from tributary.session import scratch_path
 
 CHUNK_BYTES = 2 << 20
 MOST_WORDS = 400_000
 MOST_WORD_BYTES = 24 << 20
-BLOCK_BYTES = 8 << 20  # of the stored batches: a reader holds one block of them
+ARROW_BYTES = CHUNK_BYTES - (128 << 10)  # so that the last text seldom goes beyond a chunk
+ROW_LINKS = 1 << 16  # links of a stored row, if it is not of one document
+BLOCK_BYTES = 2 << 20  # of the stored rows: a reader holds one block of them decoded
 LOW = (1 << 32) - 1
 STEP_WORDS = 20_000
 OLD_LETTERS = "\u0250"
@@ -193,18 +196,21 @@ class Words:
         ids, stops, first = flat(np.int32), np.zeros(0, np.int32), np.zeros(1, np.int64)
         return cls(np.zeros(0, bool), ids, ids, first, stops, stops, np.zeros(0, np.int64), flat(np.uint8))
 
-    def plus(self, other: Words) -> Words:
-        def join(one, two):
-            return np.concatenate([one[0], two[0]]), np.concatenate([one[1], one[1][-1] + two[1][1:]])
+    def add(self, others: list[Words]) -> None:
+        """Appends the others, one array after the other, so there are never two of the whole table."""
 
-        return Words(
-            np.concatenate([self.ok, other.ok]),
-            join(self.a, other.a),
-            join(self.b, other.b),
-            np.concatenate([self.groups, self.groups[-1] + other.groups[1:]]),
-            *(np.concatenate([getattr(self, k), getattr(other, k)]) for k in ("a_stops", "b_stops", "pairs")),
-            join(self.text, other.text),
-        )
+        def offsets(parts):
+            before = np.cumsum([0, *(p[-1] for p in parts)])
+            return np.concatenate([parts[0][:1], *(b + p[1:] for b, p in zip(before[:-1], parts, strict=True))])
+
+        every = [self, *others]
+        for name in ("a", "b", "text"):
+            parts = [getattr(w, name) for w in every]
+            setattr(self, name, (np.concatenate([v for v, _ in parts]), offsets([o for _, o in parts])))
+            del parts
+        self.groups = offsets([w.groups for w in every])
+        for name in ("ok", "a_stops", "b_stops", "pairs"):
+            setattr(self, name, np.concatenate([getattr(w, name) for w in every]))
 
 
 def _flat(encode: Callable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -318,13 +324,16 @@ class Aligner:
         size = len(self.words.text[0]) + 8 * (len(self.words.a[0]) + len(self.words.b[0]))
         if len(self.known) + len(found) > MOST_WORDS or size > MOST_WORD_BYTES:
             self._clear()
-        places = pc.index_in(found, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        # hashes the cuts of the chunk, not the table, which may be many times larger
+        asked = pc.index_in(self.known, value_set=found)
+        places = np.full(len(found), -1, np.int64)
+        places[asked.drop_null().to_numpy()] = np.flatnonzero(asked.is_valid().to_numpy(zero_copy_only=False))
         unknown = places < 0
         if unknown.any():
             new = found.filter(pa.array(unknown))
             places[unknown] = len(self.known) + np.arange(len(new))
             self.known = pa.concat_arrays([self.known, new])
-            self.words = self.words.plus(self._encode(new))
+            self.words.add([self._encode(new.slice(n, STEP_WORDS)) for n in range(0, len(new), STEP_WORDS)])
         return places
 
     def batch(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -383,43 +392,64 @@ def _aligned(a_path: str, b_path: str):
     return run
 
 
+def _stops(sizes: np.ndarray) -> np.ndarray:
+    """Borders of runs of documents that have ``ROW_LINKS`` links at most, or are one document."""
+    ends, stops = np.cumsum(sizes), [0]
+    while stops[-1] < len(sizes):
+        before = ends[stops[-1] - 1] if stops[-1] else 0
+        stops.append(max(stops[-1] + 1, int(np.searchsorted(ends, before + ROW_LINKS, side="right"))))
+    return np.array(stops)
+
+
+def _chunk_rows(aligner: Aligner, batch: pa.RecordBatch, chunk: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk: its documents in order; the first row has the dictionary of all of them."""
+    places, docs = aligner.batch(batch.column("text"))
+    w = aligner.words
+    used, code = np.unique(places, return_inverse=True)
+    times = np.bincount(code, minlength=len(used))
+    own, offsets = _gather(w.pairs, w.groups, used, np.arange(len(used) + 1))
+    pairs, pair = np.unique(own, return_inverse=True)
+    times = np.bincount(pair, np.repeat(times, np.diff(offsets)), len(pairs)).astype(np.int64)
+
+    def per_doc(ends: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate([[0], np.cumsum(np.diff(ends)[places])])[docs])
+
+    counts = [per_doc(x) for x in (w.a[1], w.b[1], w.groups)]
+    stops = _stops(counts[-1])
+    for start, stop in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True):
+        first, last = docs[start], docs[stop]
+        at = docs[start : stop + 1] - first
+        links, link_ends = _gather(pair, offsets, code[first:last], at)
+        text, word_ends = _buffers(_large(*w.text).take(pa.array(places[first:last])))
+        text, text_ends = memoryview(text), word_ends[at]
+        digests = [
+            hashlib.sha256(text[s : e - 1]).hexdigest() if e > s else ""
+            for s, e in zip(text_ends[:-1].tolist(), text_ends[1:].tolist(), strict=True)
+        ]
+        rows = pa.StructArray.from_arrays(
+            [batch.column("doc_id").slice(start, stop - start), *(pa.array(c[start:stop]) for c in counts),
+             pa.array(digests, pa.string()), _lists(links, link_ends)],
+            names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "codes"],
+        )
+        one, several = pa.array([0, stop - start], pa.int32()), pa.array([0, len(pairs)], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([chunk], pa.int64()),
+                pa.ListArray.from_arrays(one, rows),
+                pa.ListArray.from_arrays(several, pa.array(pairs, pa.int64())),
+                pa.ListArray.from_arrays(several, pa.array(times, pa.int64())),
+            ],
+            names=["chunk", "docs", "pairs", "times"],
+        )
+        pairs, times = pairs[:0], times[:0]
+
+
 def _batches(a_path: str, b_path: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(a_path, b_path)
         first = TaskContext.get().partitionId() << TASK_BITS
         for number, batch in enumerate(text_chunks(batches, limit=CHUNK_BYTES)):
-            places, docs = aligner.batch(batch.column("text"))
-            w = aligner.words
-            used, code = np.unique(places, return_inverse=True)
-            rows = np.bincount(code, minlength=len(used))
-            own, offsets = _gather(w.pairs, w.groups, used, np.arange(len(used) + 1))
-            pairs, pair = np.unique(own, return_inverse=True)
-            times = np.bincount(pair, np.repeat(rows, np.diff(offsets)), len(pairs)).astype(np.int64)
-            links, link_ends = _gather(pair, offsets, code, docs)
-            text, word_ends = _buffers(_large(*w.text).take(pa.array(places)))
-            text, text_ends = memoryview(text), word_ends[docs]
-            sizes = [np.diff(x)[places] for x in (w.a[1], w.b[1])]
-            counts = [np.diff(np.concatenate([[0], np.cumsum(x)])[docs]) for x in sizes]
-            digests = [
-                hashlib.sha256(text[s : e - 1]).hexdigest() if e > s else ""
-                for s, e in zip(text_ends[:-1].tolist(), text_ends[1:].tolist(), strict=True)
-            ]
-            rows = pa.StructArray.from_arrays(
-                [batch.column("doc_id"), *map(pa.array, counts), pa.array(np.diff(link_ends)), pa.array(digests, pa.string()),
-                 _lists(links, link_ends)],
-                names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "codes"],
-            )
-            one = pa.array([0, batch.num_rows], pa.int32())
-            several = pa.array([0, len(pairs)], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([first + number], pa.int64()),
-                    pa.ListArray.from_arrays(one, rows),
-                    pa.ListArray.from_arrays(several, pa.array(pairs, pa.int64())),
-                    pa.ListArray.from_arrays(several, pa.array(times)),
-                ],
-                names=["chunk", "docs", "pairs", "times"],
-            )
+            yield from _chunk_rows(aligner, batch, first + number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from encoded(batches)
@@ -442,10 +472,16 @@ def align(
 def aligned_batches(
     docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Stored batches of documents: digests and links by code, the distinct id pairs and their counts."""
+    """Stored batches of documents: digests and links by code, the distinct id pairs and their counts.
+
+    A batch (``chunk``) is some rows, of which the first has the pairs and their counts.
+    """
     found = _rows(docs, id_col, text_col).mapInArrow(_batches(a_path, b_path), BATCH)
     path = scratch_path(docs.sparkSession, "aligned")
-    found.write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
+    # the size of a block or page is looked at after so many rows, by default 100
+    sizes = {"parquet.block.size": BLOCK_BYTES, "parquet.page.size.row.check.min": 1}
+    with arrow_batches(docs.sparkSession, ARROW_BYTES):
+        found.write.options(**sizes).parquet(path)
     return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 

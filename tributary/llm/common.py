@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
 
@@ -20,6 +21,7 @@ SPACE = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 CHUNK_BYTES = 8 << 20
+ARROW_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 # paths of the tables stored by the body of the innermost ``settled``
@@ -76,6 +78,17 @@ def text_chunks(
             pa.default_memory_pool().release_unused()
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Jobs started inside send Python about ``limit`` bytes at once, not rows by the thousand."""
+    before = spark.conf.get(ARROW_KEY, None)
+    spark.conf.set(ARROW_KEY, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_KEY) if before is None else spark.conf.set(ARROW_KEY, before)
+
+
 def give_back() -> None:
     """Freed memory back to the system: an idle worker stays, beside the JVM's next stages."""
     pa.default_memory_pool().release_unused()
